@@ -1,0 +1,23 @@
+"""Size-checked broadcast join.
+
+A broadcast hint skips Spark's own size check, so the hint is only given
+after the small side has been counted against an explicit bound (one cheap
+``limit(n+1).count()`` job on a small table). Beyond the bound the plain
+join is returned and Catalyst/AQE choose the strategy.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(big: DataFrame, small: DataFrame, on: Column | str | list, how: str = "inner",
+               *, max_rows: int = 100_000) -> DataFrame:
+    if has_at_most(small, max_rows):
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
