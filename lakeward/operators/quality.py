@@ -143,11 +143,11 @@ CHECK_NAMES: tuple[str, ...] = tuple(C.GATE_MESSAGES)
 
 
 def checks(metrics_row: DataFrame) -> DataFrame:
-    """One row per gate: position, check, passed, observed, expected, message."""
+    """One row per gate: position, check_name, passed, observed, expected, message."""
     rows = [
         F.struct(
             F.lit(pos).alias("position"),
-            F.lit(name).alias("check"),
+            F.lit(name).alias("check_name"),
             F.coalesce(pred, F.lit(False)).alias("passed"),
             observed.cast("string").alias("observed"),
             expected.cast("string").alias("expected"),

@@ -129,7 +129,7 @@ select *, case when lag_minutes is not null and sla_minutes is not null
 from freshness"""),
     "checks": (("metrics",), """
 select * from (
-  select 1 as position, 'bronze_non_empty' as "check", coalesce(bronze_rows > 0, false) as passed,
+  select 1 as position, 'bronze_non_empty' as check_name, coalesce(bronze_rows > 0, false) as passed,
          cast(bronze_rows as varchar) as observed, '> 0' as expected, 'bronze layer is empty' as message from metrics
   union all select 2, 'silver_non_empty', coalesce(silver_rows > 0, false), cast(silver_rows as varchar), '> 0',
          'silver layer is empty' from metrics

@@ -64,3 +64,47 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("ingestion_ts"),
         F.concat(F.lit("batch_"), F.col("l_suppkey") % 4).alias("source_file"),
     )
+
+
+# Shapes of the four CSV batches written from the view (test input).
+#   batch_0: contract order
+#   batch_1: columns in reverse order (allowed drift)
+#   batch_2: contract + additive ``source_system`` (allowed drift)
+#   batch_3: contract order ("clean") or, in the "breaking" variant, ``status``
+#            renamed to ``state`` and some amounts not numbers
+CONTRACT_ORDER = ("event_id", "order_id", "customer_id", "region", "status",
+                  "order_amount", "event_ts", "ingestion_ts")
+CSV_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+
+
+def write_csv_batches(spark: SparkSession, sf_dir: str, root: str, variant: str = "clean") -> str:
+    """Write the order-event view as four CSV batch directories under
+    ``root``; returns the glob that matches them (``root/*.csv``).
+
+    The view is materialised once as Parquet, then each batch is written from
+    it (one scan each), so the fixture joins run only once."""
+    root = root.rstrip("/")
+    staged = f"{root}/_staged_order_events"
+    order_events(spark, sf_dir).write.mode("overwrite").parquet(staged)
+    events = spark.read.parquet(staged)
+    text = events.select(
+        "source_file", "event_id", "order_id", "customer_id", "region", "status",
+        F.col("order_amount").cast("string").alias("order_amount"),
+        F.date_format("event_ts", CSV_TS_FORMAT).alias("event_ts"),
+        F.date_format("ingestion_ts", CSV_TS_FORMAT).alias("ingestion_ts"),
+    )
+    for k in range(4):
+        part = text.where(F.col("source_file") == f"batch_{k}").drop("source_file")
+        if k == 1:
+            part = part.select(*reversed(CONTRACT_ORDER))
+        elif k == 2:
+            part = part.withColumn("source_system", F.concat(F.lit("erp-"), F.length("event_id") % 3))
+        elif k == 3 and variant == "breaking":
+            part = part.withColumn(
+                "order_amount",
+                F.when(F.minute(F.col("ingestion_ts").cast("timestamp")) % 7 == 3, F.lit("not-a-decimal"))
+                .otherwise(F.col("order_amount")),
+            ).withColumnRenamed("status", "state")
+        (part.write.mode("overwrite").option("header", "true")
+         .csv(f"{root}/batch_{k}.csv"))
+    return f"{root}/*.csv"
