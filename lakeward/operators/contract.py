@@ -33,7 +33,7 @@ BIT: dict[str, int] = {name: 1 << i for i, name in enumerate(CLASSES)}
 
 RE_BOOLEAN = r"^(?i)(true|false)$"
 RE_INTEGER = r"^-?(0|[1-9][0-9]*)$"
-RE_DOUBLE = r"^-?([0-9]+\.[0-9]*|\.[0-9]+|[0-9]+)([eE][-+]?[0-9]+)?$|^NaN$"
+RE_DOUBLE = r"^-?(([0-9]+\.[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?|[0-9]+[eE][-+]?[0-9]+)$|^NaN$"
 RE_TIME = r"^[0-9]{2}:[0-9]{2}:[0-9]{2}$"
 RE_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 _TS = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?"

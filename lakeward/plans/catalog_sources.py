@@ -76,7 +76,7 @@ from (
            when regexp_full_match(trim(value), '(?i)(true|false)') then 1
            when regexp_full_match(trim(value), '-?(0|[1-9][0-9]*)') then
                 case when try_cast(trim(value) as bigint) is not null then 2 else 4 end
-           when regexp_full_match(trim(value), '-?([0-9]+\\.[0-9]*|\\.[0-9]+|[0-9]+)([eE][-+]?[0-9]+)?|NaN') then 8
+           when regexp_full_match(trim(value), '-?(([0-9]+\\.[0-9]*|\\.[0-9]+)([eE][-+]?[0-9]+)?|[0-9]+[eE][-+]?[0-9]+)|NaN') then 8
            when regexp_full_match(trim(value), '[0-9]{2}:[0-9]{2}:[0-9]{2}') then 16
            when regexp_full_match(trim(value), '[0-9]{4}-[0-9]{2}-[0-9]{2}') then 32
            when regexp_full_match(trim(value), '[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\\.[0-9]+)?)?')
