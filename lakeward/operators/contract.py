@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.config import RAW_CONTRACT
-from lakeward.sources.batches import FileHeader, headers, read_batches
+from lakeward.sources.batches import FileHeader, batch_label, headers, read_batches
 
 # ---------------------------------------------------------------------------
 # Type classes a CSV sniffer assigns, first match wins.
@@ -45,19 +45,35 @@ INCOMPATIBLE = "incompatible_column_type"
 
 
 def value_class_bit(value: Column) -> Column:
-    """Class bit of one CSV value (0 for NULL)."""
-    v = F.trim(value)
+    """Class bit of one CSV value (0 for NULL); the value is taken as read
+    (the contract scan trims surrounding spaces at parse time).
+
+    Cheap dispatch first: text whose first character cannot start a number,
+    date or time is BOOLEAN, NaN or VARCHAR without any regular expression; a
+    value with ``:`` can only be a time or timestamp, one without only a
+    number or date. At most three anchored patterns run per value."""
+    numeric_start = F.substring(value, 1, 1).isin(*"0123456789-.")
+    with_colon = (
+        F.when(value.rlike(RE_TIMESTAMP), F.lit(BIT[TIMESTAMP]))
+        .when(value.rlike(RE_TIMESTAMPTZ), F.lit(BIT[TIMESTAMPTZ]))
+        .when(value.rlike(RE_TIME), F.lit(BIT[TIME]))
+        .otherwise(F.lit(BIT[VARCHAR]))
+    )
+    without_colon = (
+        F.when(value.rlike(RE_INTEGER),
+               F.when(value.try_cast("bigint").isNotNull(), F.lit(BIT[BIGINT])).otherwise(F.lit(BIT[HUGEINT])))
+        .when(value.rlike(RE_DOUBLE), F.lit(BIT[DOUBLE]))
+        .when(value.rlike(RE_DATE), F.lit(BIT[DATE]))
+        .otherwise(F.lit(BIT[VARCHAR]))
+    )
     return (
         F.when(value.isNull(), F.lit(0))
-        .when(v.rlike(RE_BOOLEAN), F.lit(BIT[BOOLEAN]))
-        .when(v.rlike(RE_INTEGER),
-              F.when(v.try_cast("bigint").isNotNull(), F.lit(BIT[BIGINT])).otherwise(F.lit(BIT[HUGEINT])))
-        .when(v.rlike(RE_DOUBLE), F.lit(BIT[DOUBLE]))
-        .when(v.rlike(RE_TIME), F.lit(BIT[TIME]))
-        .when(v.rlike(RE_DATE), F.lit(BIT[DATE]))
-        .when(v.rlike(RE_TIMESTAMP), F.lit(BIT[TIMESTAMP]))
-        .when(v.rlike(RE_TIMESTAMPTZ), F.lit(BIT[TIMESTAMPTZ]))
-        .otherwise(F.lit(BIT[VARCHAR]))
+        .when(~numeric_start,
+              F.when((F.length(value) <= 5) & F.lower(value).isin("true", "false"), F.lit(BIT[BOOLEAN]))
+              .when(value == F.lit("NaN"), F.lit(BIT[DOUBLE]))
+              .otherwise(F.lit(BIT[VARCHAR])))
+        .when(F.instr(value, ":") > 0, with_colon)
+        .otherwise(without_colon)
     )
 
 
@@ -85,19 +101,19 @@ def observed_types(
 ) -> DataFrame:
     """(file_name, column, position, observed_type) for every batch column."""
     hs = file_headers if file_headers is not None else headers(spark, paths)
-    raw = read_batches(spark, paths, hs, with_label=True)
-    value_cols = [c for c in raw.columns if c not in ("source_file", "source_batch")]
-    cells = raw.select(
-        F.col("source_batch").alias("file_name"),
+    raw = read_batches(spark, paths, hs, trim_values=True)
+    value_cols = [c for c in raw.columns if c != "source_file"]
+    # One row per batch: OR of the class bits of every value, per column.
+    # The batch label is derived after the aggregation (per batch, not per row).
+    wide = raw.groupBy("source_file").agg(
+        *[F.bit_or(value_class_bit(F.col(f"`{c}`"))).alias(c) for c in value_cols])
+    masks = wide.select(
+        batch_label(F.col("source_file")).alias("file_name"),
         F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in value_cols
+            F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("mask")) for c in value_cols
         ])).alias("cell"),
-    )
-    masks = (
-        cells.where(F.col("cell.value").isNotNull())
-        .groupBy("file_name", F.col("cell.column").alias("column"))
-        .agg(F.bit_or(value_class_bit(F.col("cell.value"))).alias("mask"))
-    )
+    ).select("file_name", "cell.column", F.col("cell.mask").alias("mask")).groupBy("file_name", "column").agg(
+        F.bit_or("mask").alias("mask"))
     # Every header column appears even if it has no values (header-only file).
     declared = spark.createDataFrame(
         sorted({(h.label, c, i) for h in hs for i, c in enumerate(h.columns)}),

@@ -74,6 +74,11 @@ class FileHeader:
     label: str
     columns: tuple[str, ...]
 
+    @property
+    def batch_slashes(self) -> int:
+        """``substring_index(file_path, '/', n)`` gives the batch path."""
+        return self.batch.count("/") + 1
+
 
 def parse_header(line: str) -> tuple[str, ...]:
     line = line.lstrip("﻿").rstrip("\r\n")
@@ -108,27 +113,33 @@ def read_batches(
     paths: str | Sequence[str],
     file_headers: list[FileHeader] | None = None,
     with_label: bool = False,
+    trim_values: bool = False,
 ) -> DataFrame:
     """All columns of all batches as strings, matched by name, plus
-    ``source_file`` (the batch path) and, optionally, ``source_batch``."""
+    ``source_file`` (the batch path) and, optionally, ``source_batch``.
+    ``trim_values`` strips surrounding spaces in the parser (contract scan)."""
     patterns = _as_list(paths)
     hs = file_headers if file_headers is not None else headers(spark, patterns)
     if not hs:
         raise FileNotFoundError(f"no input files match {patterns}")
-    groups: dict[tuple[str, ...], list[str]] = {}
+    # One read per (header, batch depth); the batch path of a row is a
+    # per-file constant, cut from the file path without a regular expression.
+    groups: dict[tuple[tuple[str, ...], int], list[str]] = {}
     for h in hs:
-        groups.setdefault(h.columns, []).append(h.file_path)
+        groups.setdefault((h.columns, h.batch_slashes), []).append(h.file_path)
     frames = []
-    for cols, files in sorted(groups.items()):
+    for (cols, slashes), files in sorted(groups.items()):
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
         df = (
             spark.read.schema(schema)
             .option("header", "true")
             .option("enforceSchema", "true")
             .option("mode", "PERMISSIVE")
+            .option("ignoreLeadingWhiteSpace", str(trim_values).lower())
+            .option("ignoreTrailingWhiteSpace", str(trim_values).lower())
             .csv(files)
         )
-        bp = batch_path(F.col("_metadata.file_path"), patterns)
+        bp = F.substring_index(F.col("_metadata.file_path"), "/", slashes)
         extra = [bp.alias("source_file")]
         if with_label:
             extra.append(batch_label(bp).alias("source_batch"))

@@ -40,12 +40,13 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust_region = join_small(
         customer, nation_region, F.col("c_nationkey") == F.col("n_nationkey"), max_rows=10_000
     ).select("c_custkey", "r_name")
-    # customer and orders grow with the data: no hint, Catalyst/AQE pick the
-    # strategy from measured sizes (sort-merge at scale, skew-split by AQE).
-    order_region = orders.join(cust_region, F.col("o_custkey") == F.col("c_custkey")).select(
-        "o_orderkey", "o_custkey", "r_name"
-    )
-    joined = li.join(order_region, F.col("l_orderkey") == F.col("o_orderkey"))
+    # customer and orders grow with the data: broadcast only under a row
+    # bound (1M rows of two or three narrow columns), else a sort-merge
+    # shuffle join that AQE can split when a key is skewed.
+    order_region = join_small(
+        orders, cust_region, F.col("o_custkey") == F.col("c_custkey"), max_rows=1_000_000
+    ).select("o_orderkey", "o_custkey", "r_name")
+    joined = join_small(li, order_region, F.col("l_orderkey") == F.col("o_orderkey"), max_rows=1_000_000)
 
     return joined.select(
         F.concat(F.lit("evt-"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("event_id"),
@@ -84,7 +85,7 @@ def write_csv_batches(spark: SparkSession, sf_dir: str, root: str, variant: str
     The view is materialised once as Parquet, then each batch is written from
     it (one scan each), so the fixture joins run only once."""
     root = root.rstrip("/")
-    staged = f"{root}/_staged_order_events"
+    staged = f"{root}/staged_order_events"
     order_events(spark, sf_dir).write.mode("overwrite").parquet(staged)
     events = spark.read.parquet(staged)
     text = events.select(

@@ -2,8 +2,9 @@
 
 A broadcast hint skips Spark's own size check, so the hint is only given
 after the small side has been counted against an explicit bound (one cheap
-``limit(n+1).count()`` job on a small table). Beyond the bound the plain
-join is returned and Catalyst/AQE choose the strategy.
+``limit(n+1).count()`` job). Beyond the bound both sides are shuffled
+(sort-merge, which spills) — and the big side is never broadcast, even when
+a pruned static size estimate looks small.
 """
 
 from __future__ import annotations
@@ -20,4 +21,4 @@ def join_small(big: DataFrame, small: DataFrame, on: Column | str | list, how: s
                *, max_rows: int = 100_000) -> DataFrame:
     if has_at_most(small, max_rows):
         return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    return big.join(small.hint("merge"), on, how)
