@@ -1 +1 @@
-
+"""Order-event medallion build and data-reliability checks on Spark."""

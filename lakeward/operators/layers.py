@@ -7,6 +7,8 @@ push filters for the following step.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,8 +45,11 @@ def bronze(raw: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 
 
 def required_keys_present(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
-    """Rows whose key columns are all non-null (pushed to the scan)."""
-    return df.dropna(how="any", subset=list(settings.required_keys))
+    """Rows whose key columns are all non-null. Written as a conjunction of
+    ``IS NOT NULL`` (not ``dropna``) so it reaches the Parquet scan as
+    pushed filters."""
+    cond = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in settings.required_keys])
+    return df.where(cond)
 
 
 def silver_projection(deduped: DataFrame) -> DataFrame:

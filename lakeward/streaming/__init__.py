@@ -1 +1,8 @@
+"""Streaming.
 
+The reference processes append-only CSV batches with full rebuilds; it has
+no stream source, watermark, trigger or stateful operator. "Late data" is
+the latest-state ordering rule (``operators.layers.latest_state``) and a
+"watermark" is a max timestamp (``operators.quality.metrics``). Nothing is
+defined here on purpose.
+"""
