@@ -6,7 +6,8 @@ Spark's multi-file CSV reader maps columns by position, so files whose
 headers differ (reordered, added or renamed columns) would silently shift
 values. Here:
 
-1. one distributed job reads the first line of every file (``headers``);
+1. one distributed job reads the first line of every file (``headers``),
+   touching only the head of each file;
 2. files are grouped by distinct header, each group is read with an
    all-string schema named by that header;
 3. the groups are combined with ``unionByName(allowMissingColumns=True)``.
@@ -86,11 +87,49 @@ def parse_header(line: str) -> tuple[str, ...]:
     return tuple(c for c in row)
 
 
-def headers(spark: SparkSession, paths: str | Sequence[str]) -> list[FileHeader]:
-    """First line of every file under ``paths``, one distributed job."""
-    patterns = _as_list(paths)
-    text = spark.read.option("recursiveFileLookup", "true").text(patterns)
-    lines = (
+_HEAD_BYTES = 1 << 16
+
+
+def _arrow_location(uri: str):
+    """pyarrow filesystem and path for a Spark file URI."""
+    from urllib.parse import unquote
+
+    import pyarrow.fs as pafs
+
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), unquote(re.sub(r"^file:(//)?", "", uri))
+    scheme = uri.split(":", 1)[0]
+    mapped = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    return pafs.FileSystem.from_uri(mapped + uri[len(scheme):])
+
+
+def _first_lines(batches):
+    """mapInPandas body: the first line of each file, reading only its head.
+    A file pyarrow cannot open yields a NULL header (handled by the caller)."""
+    import pandas as pd
+
+    for pdf in batches:
+        heads = []
+        for uri in pdf["file_path"]:
+            try:
+                fs, path = _arrow_location(uri)
+                with fs.open_input_stream(path, compression="detect") as stream:
+                    buf = b""
+                    while b"\n" not in buf and len(buf) < (1 << 24):
+                        chunk = stream.read(_HEAD_BYTES)
+                        if not chunk:
+                            break
+                        buf += chunk
+                heads.append(buf.split(b"\n", 1)[0].decode("utf-8", errors="replace"))
+            except Exception:  # noqa: BLE001 - fall back to the Spark text scan
+                heads.append(None)
+        yield pd.DataFrame({"file_path": pdf["file_path"], "header": heads})
+
+
+def _headers_by_text_scan(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """First line per file via Spark's text reader (reads the whole files)."""
+    text = spark.read.text(list(files))
+    return (
         text.select(
             F.col("value"),
             F.col("_metadata.file_path").alias("file_path"),
@@ -100,9 +139,31 @@ def headers(spark: SparkSession, paths: str | Sequence[str]) -> list[FileHeader]
         .where(F.col("block_start") == 0)
         .groupBy("file_path")
         .agg(F.min_by("value", "pos").alias("header"))
-        .select("file_path", "header", batch_path(F.col("file_path"), patterns).alias("batch"))
-        .select("file_path", "header", "batch", batch_label(F.col("batch")).alias("label"))
     )
+
+
+def headers(spark: SparkSession, paths: str | Sequence[str]) -> list[FileHeader]:
+    """First line of every file under ``paths``.
+
+    Files are listed with the ``binaryFile`` source without its content
+    column (listing only), then each task reads just the head of its files.
+    Only file paths and header lines reach the driver (one row per file)."""
+    patterns = _as_list(paths)
+    listing = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(patterns)
+        .select(F.col("path").alias("file_path"))
+    )
+    heads = listing.mapInPandas(_first_lines, "file_path string, header string")
+    rows = {r["file_path"]: r["header"] for r in heads.collect()}
+    unreadable = sorted(p for p, h in rows.items() if h is None)
+    if unreadable:
+        rows.update({r["file_path"]: r["header"] for r in _headers_by_text_scan(spark, unreadable).collect()})
+    if not rows:
+        return []
+    meta = spark.createDataFrame(sorted(rows.items()), "file_path string, header string")
+    lines = meta.select(
+        "file_path", "header", batch_path(F.col("file_path"), patterns).alias("batch")
+    ).select("file_path", "header", "batch", batch_label(F.col("batch")).alias("label"))
     out = [FileHeader(r["file_path"], r["batch"], r["label"], parse_header(r["header"] or ""))
            for r in lines.collect()]
     return sorted(out, key=lambda h: h.file_path)

@@ -18,7 +18,12 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def join_small(big: DataFrame, small: DataFrame, on: Column | str | list, how: str = "inner",
-               *, max_rows: int = 100_000) -> DataFrame:
-    if has_at_most(small, max_rows):
+               *, max_rows: int = 100_000, bounded_by: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``small`` when it has at most ``max_rows`` rows, else shuffle.
+
+    ``bounded_by`` is a plain scan whose row count bounds ``small`` (e.g. the
+    base table of a key-preserving join chain), so the check does not run
+    the joins that produce ``small``."""
+    if has_at_most(bounded_by if bounded_by is not None else small, max_rows):
         return big.join(F.broadcast(small), on, how)
     return big.join(small.hint("merge"), on, how)
