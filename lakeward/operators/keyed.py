@@ -71,4 +71,4 @@ def rank_column(
 ) -> DataFrame:
     """``df`` plus its ``row_number`` within ``keys`` (star plus computed column)."""
     w = Window.partitionBy(*keys).orderBy(*[_desc(c) for c in order_desc])
-    return df.withColumn(rank_col, F.row_number().over(w))
+    return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))

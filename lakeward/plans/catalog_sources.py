@@ -333,7 +333,7 @@ def q_build_all(spark, sf):
 
 
 SUMMARY_FLAT_SQL = """
-select 4 as schema_files_checked, 'batch_2.csv:source_system' as schema_additive_columns,
+select cast(4 as bigint) as schema_files_checked, 'batch_2.csv:source_system' as schema_additive_columns,
        bronze_rows, silver_rows, duplicate_event_ids, latest_state_rows, gold_customer_metric_rows,
        delivered_revenue_from_silver, delivered_revenue_from_gold_daily, delivered_revenue_from_gold_customer,
        delivered_orders_from_latest_state, delivered_orders_from_gold_customer,
