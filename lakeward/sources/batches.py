@@ -87,43 +87,46 @@ def parse_header(line: str) -> tuple[str, ...]:
     return tuple(c for c in row)
 
 
-_HEAD_BYTES = 1 << 16
-
-
-def _arrow_location(uri: str):
-    """pyarrow filesystem and path for a Spark file URI."""
-    from urllib.parse import unquote
-
-    import pyarrow.fs as pafs
-
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), unquote(re.sub(r"^file:(//)?", "", uri))
-    scheme = uri.split(":", 1)[0]
-    mapped = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    return pafs.FileSystem.from_uri(mapped + uri[len(scheme):])
-
-
-def _first_lines(batches):
+def _first_lines_fn(head_bytes: int = 1 << 16):
     """mapInPandas body: the first line of each file, reading only its head.
-    A file pyarrow cannot open yields a NULL header (handled by the caller)."""
-    import pandas as pd
-
-    for pdf in batches:
-        heads = []
-        for uri in pdf["file_path"]:
-            try:
-                fs, path = _arrow_location(uri)
-                with fs.open_input_stream(path, compression="detect") as stream:
-                    buf = b""
-                    while b"\n" not in buf and len(buf) < (1 << 24):
-                        chunk = stream.read(_HEAD_BYTES)
-                        if not chunk:
-                            break
-                        buf += chunk
-                heads.append(buf.split(b"\n", 1)[0].decode("utf-8", errors="replace"))
-            except Exception:  # noqa: BLE001 - fall back to the Spark text scan
-                heads.append(None)
-        yield pd.DataFrame({"file_path": pdf["file_path"], "header": heads})
+
+    Built as a closure that imports only the standard library, pandas and
+    pyarrow, so it is shipped to executors by value: the workers do not need
+    this package installed. A file pyarrow cannot open yields a NULL header
+    (the caller falls back to Spark's text reader for those)."""
+
+    def first_lines(batches):
+        import re as _re
+        from urllib.parse import unquote
+
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        def location(uri: str):
+            if uri.startswith("file:"):
+                return pafs.LocalFileSystem(), unquote(_re.sub(r"^file:(//)?", "", uri))
+            scheme = uri.split(":", 1)[0]
+            mapped = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+            return pafs.FileSystem.from_uri(mapped + uri[len(scheme):])
+
+        for pdf in batches:
+            heads = []
+            for uri in pdf["file_path"]:
+                try:
+                    fs, path = location(uri)
+                    with fs.open_input_stream(path, compression="detect") as stream:
+                        buf = b""
+                        while b"\n" not in buf and len(buf) < (1 << 24):
+                            chunk = stream.read(head_bytes)
+                            if not chunk:
+                                break
+                            buf += chunk
+                    heads.append(buf.split(b"\n", 1)[0].decode("utf-8", errors="replace"))
+                except Exception:  # noqa: BLE001 - fall back to the Spark text scan
+                    heads.append(None)
+            yield pd.DataFrame({"file_path": pdf["file_path"], "header": heads})
+
+    return first_lines
 
 
 def _headers_by_text_scan(spark: SparkSession, files: Sequence[str]) -> DataFrame:
@@ -153,7 +156,7 @@ def headers(spark: SparkSession, paths: str | Sequence[str]) -> list[FileHeader]
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(patterns)
         .select(F.col("path").alias("file_path"))
     )
-    heads = listing.mapInPandas(_first_lines, "file_path string, header string")
+    heads = listing.mapInPandas(_first_lines_fn(), "file_path string, header string")
     rows = {r["file_path"]: r["header"] for r in heads.collect()}
     unreadable = sorted(p for p, h in rows.items() if h is None)
     if unreadable:
