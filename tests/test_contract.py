@@ -89,7 +89,16 @@ def test_values_are_trimmed_before_classification(spark, tmp_path):
 def test_header_reader_ships_without_the_package():
     # Executors may not have this package installed: the mapInPandas body
     # must pickle by value and not import it.
+    import subprocess
+    import sys
+
     from pyspark import cloudpickle
 
     from lakeward.sources.batches import _first_lines_fn
-    assert b"lakeward" not in cloudpickle.dumps(_first_lines_fn())
+    payload = cloudpickle.dumps(_first_lines_fn())
+    code = ("import pickle, sys; f = pickle.loads(sys.stdin.buffer.read()); "
+            "import importlib.util as u; assert u.find_spec('lakeward') is None; print(callable(f))")
+    done = subprocess.run([sys.executable, "-c", code], input=payload, capture_output=True, cwd="/",
+                          env={"PATH": "/usr/bin:/bin"}, timeout=120)
+    assert done.returncode == 0, done.stderr.decode()[-500:]
+    assert done.stdout.strip() == b"True"
