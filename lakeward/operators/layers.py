@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeward import config as C
 from lakeward.config import DEFAULT, Settings
@@ -29,6 +30,13 @@ DEDUPE_ORDER: tuple[str, ...] = (
 LATEST_ORDER: tuple[str, ...] = ("event_ts", "ingestion_ts", "event_id")
 
 
+def _timestamp(raw: DataFrame, name: str):
+    """Text goes through the offset-aware parse; typed input is only cast."""
+    if isinstance(raw.schema[name].dataType, T.StringType):
+        return X.to_wall_clock(name)
+    return F.col(name).cast("timestamp_ntz")
+
+
 def bronze(raw: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Contract columns only, fixed order, typed. Additive columns are dropped."""
     return raw.select(
@@ -39,8 +47,8 @@ def bronze(raw: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
         F.col("region"),
         F.col("status"),
         X.as_decimal_money("order_amount", settings.money_type).alias("order_amount"),
-        X.to_wall_clock("event_ts").alias("event_ts"),
-        X.to_wall_clock("ingestion_ts").alias("ingestion_ts"),
+        _timestamp(raw, "event_ts").alias("event_ts"),
+        _timestamp(raw, "ingestion_ts").alias("ingestion_ts"),
     )
 
 

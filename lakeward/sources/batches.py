@@ -194,15 +194,20 @@ def read_batches(
     frames = []
     for (cols, slashes), files in sorted(groups.items()):
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
-        df = (
+        reader = (
             spark.read.schema(schema)
             .option("header", "true")
             .option("enforceSchema", "true")
             .option("mode", "PERMISSIVE")
             .option("ignoreLeadingWhiteSpace", str(trim_values).lower())
             .option("ignoreTrailingWhiteSpace", str(trim_values).lower())
-            .csv(files)
         )
+        if len(groups) == 1:
+            # One header everywhere (the usual case): hand Spark the glob, not a
+            # per-file path list, and let its own listing find the same files.
+            df = reader.option("recursiveFileLookup", "true").csv(patterns)
+        else:
+            df = reader.csv(files)
         bp = F.substring_index(F.col("_metadata.file_path"), "/", slashes)
         extra = [bp.alias("source_file")]
         if with_label:
