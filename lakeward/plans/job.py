@@ -22,7 +22,7 @@ from lakeward.config import DEFAULT, Settings  # noqa: E402
 from lakeward.plans.build import build_all  # noqa: E402
 from lakeward.plans.validate import snapshot, snapshot_json, validate  # noqa: E402
 from lakeward.session import builder  # noqa: E402
-from lakeward.sources.layout import layer_paths, relative_paths  # noqa: E402
+from lakeward.sources.layout import relative_paths  # noqa: E402
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -31,10 +31,13 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--input-glob", required=True)
     parser.add_argument("--output-root", required=True)
     parser.add_argument("--money-total-type", default=DEFAULT.money_total_type)
+    parser.add_argument("--shuffle-partitions", type=int, default=None,
+                        help="initial shuffle partitions; size for ~128-256 MB per partition of the largest "
+                             "shuffle (dedupe), AQE coalesces the small ones")
     args = parser.parse_args(argv)
     settings = Settings(money_total_type=args.money_total_type)
 
-    spark = builder("lakeward-job").getOrCreate()
+    spark = builder("lakeward-job", shuffle_partitions=args.shuffle_partitions).getOrCreate()
     if args.command == "build":
         paths = build_all(spark, args.input_glob, args.output_root, settings)
         print(json.dumps({"artifacts": relative_paths(args.output_root, paths)}, indent=2))
@@ -43,7 +46,6 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps({"validation": summary.to_dict()}, indent=2, default=str))
     else:
         print(snapshot_json(snapshot(spark, args.input_glob, args.output_root, settings)))
-    _ = layer_paths
     return 0
 
 
