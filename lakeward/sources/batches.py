@@ -63,6 +63,22 @@ def batch_path(file_path: Column, patterns: Sequence[str]) -> Column:
     return out
 
 
+def _batch_of(file_path: str, patterns: Sequence[str]) -> str:
+    """``batch_path`` for one collected file path (same rule, in Python)."""
+    for p in sorted(patterns, key=_depth):
+        prefix = re.sub(_SCHEME, "", re.sub(r"[*?\[{].*$", "", _qualify(p)))
+        if prefix in file_path:
+            m = re.match(_SCHEME + r"(?:/[^/]+){%d}" % _depth(p), file_path)
+            if m:
+                return m.group(0)
+    m = re.match(_SCHEME + r"(?:/[^/]+){%d}" % _depth(patterns[0]), file_path)
+    return m.group(0) if m else file_path
+
+
+def _label_of(batch: str) -> str:
+    return re.sub(r"^[^=/]+=", "", batch.rsplit("/", 1)[-1])
+
+
 def batch_label(batch: Column) -> Column:
     """Basename of a batch path; a Hive-style ``key=`` prefix is dropped."""
     return F.regexp_replace(F.regexp_extract(batch, r"[^/]+$", 0), r"^[^=/]+=", "")
@@ -161,15 +177,11 @@ def headers(spark: SparkSession, paths: str | Sequence[str]) -> list[FileHeader]
     unreadable = sorted(p for p, h in rows.items() if h is None)
     if unreadable:
         rows.update({r["file_path"]: r["header"] for r in _headers_by_text_scan(spark, unreadable).collect()})
-    if not rows:
-        return []
-    meta = spark.createDataFrame(sorted(rows.items()), "file_path string, header string")
-    lines = meta.select(
-        "file_path", "header", batch_path(F.col("file_path"), patterns).alias("batch")
-    ).select("file_path", "header", "batch", batch_label(F.col("batch")).alias("label"))
-    out = [FileHeader(r["file_path"], r["batch"], r["label"], parse_header(r["header"] or ""))
-           for r in lines.collect()]
-    return sorted(out, key=lambda h: h.file_path)
+    out = []
+    for file_path, header in sorted(rows.items()):
+        batch = _batch_of(file_path, patterns)
+        out.append(FileHeader(file_path, batch, _label_of(batch), parse_header(header or "")))
+    return out
 
 
 def read_batches(
