@@ -22,7 +22,6 @@ from lakeward import config as C  # noqa: E402
 from lakeward.operators import contract as CT  # noqa: E402
 from lakeward.operators import layers as L  # noqa: E402
 from lakeward.operators import quality as Q  # noqa: E402
-from lakeward.plans import catalog  # noqa: E402
 from lakeward.plans.build import build_all  # noqa: E402
 from lakeward.plans.validate import validate  # noqa: E402
 from lakeward.session import local_session, scratch_path  # noqa: E402

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from lakeward import config as C
 from lakeward.functions import columns as X
-from lakeward.operators import freshness as FR
 from lakeward.operators import keyed as K
 from lakeward.operators import layers as L
 from lakeward.operators import quality as Q

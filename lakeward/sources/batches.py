@@ -47,24 +47,10 @@ def _as_list(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def batch_path(file_path: Column, patterns: Sequence[str]) -> Column:
-    """The glob-matched entry a file belongs to (the file itself, or the
-    batch directory that contains it)."""
-    depths = sorted({_depth(p) for p in patterns})
-    exprs = [F.regexp_extract(file_path, _SCHEME + r"(?:/[^/]+){%d}" % d, 0) for d in depths]
-    if len(exprs) == 1:
-        return exprs[0]
-    # Mixed depths: the shortest prefix that is one of the patterns' matches.
-    prefixes = [re.sub(r"[*?\[{].*$", "", _qualify(p)) for p in patterns]
-    out = exprs[-1]
-    for d, p in sorted(zip([_depth(x) for x in patterns], prefixes), reverse=True):
-        out = F.when(F.instr(file_path, re.sub(_SCHEME, "", p)) > 0,
-                     F.regexp_extract(file_path, _SCHEME + r"(?:/[^/]+){%d}" % d, 0)).otherwise(out)
-    return out
-
-
 def _batch_of(file_path: str, patterns: Sequence[str]) -> str:
-    """``batch_path`` for one collected file path (same rule, in Python)."""
+    """The glob-matched entry a file belongs to: the file itself, or the batch
+    directory that contains it (the first path components, as many as the
+    matching pattern has)."""
     for p in sorted(patterns, key=_depth):
         prefix = re.sub(_SCHEME, "", re.sub(r"[*?\[{].*$", "", _qualify(p)))
         if prefix in file_path:
