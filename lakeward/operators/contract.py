@@ -218,13 +218,13 @@ def inspect(spark: SparkSession, paths: str | Sequence[str],
     hs = file_headers if file_headers is not None else headers(spark, paths)
     if not hs:
         return ContractSummary(0, {}, [])
-    observed = observed_types(spark, paths, hs).cache()
-    try:
-        add = {r["file_name"]: list(r["additive_columns"]) for r in additive_columns(observed, contract).collect()}
-        iss = [Issue(r["file_name"], r["column"], r["issue"], r["expected"], r["observed"])
-               for r in ordered_issues(observed, contract).collect()]
-    finally:
-        observed.unpersist()
+    # The verdict table is small (batches x columns): one distributed job
+    # produces it, the reports are then derived from a local copy.
+    verdicts = observed_types(spark, paths, hs)
+    observed = spark.createDataFrame(verdicts.collect(), verdicts.schema)
+    add = {r["file_name"]: list(r["additive_columns"]) for r in additive_columns(observed, contract).collect()}
+    iss = [Issue(r["file_name"], r["column"], r["issue"], r["expected"], r["observed"])
+           for r in ordered_issues(observed, contract).collect()]
     return ContractSummary(len(add), dict(sorted(add.items())), iss)
 
 
