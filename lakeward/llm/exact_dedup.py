@@ -115,8 +115,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(doc_id, keep_id, group_size, kept, text_sha256), one row per document."""
     digests = cut(digest_table(docs, id_col, text_col), "digests")
     groups = tree_merge(digests)
-    where = digests.select(*KEY, "slot").distinct().join(groups, KEY)
-    rows = digests.join(where, [*KEY, "slot"])
+    where = digests.select(*KEY, "slot").distinct().join(groups.hint("merge"), KEY)
+    rows = digests.join(where.hint("merge"), [*KEY, "slot"])
     return rows.select(
         "doc_id",
         "keep_id",

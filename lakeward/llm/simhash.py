@@ -85,9 +85,10 @@ def links(prints: DataFrame, distance: int = 3, hot: int = HOT) -> DataFrame:
     ``distance`` bits, which two segments and one blank allow up to 3."""
     if not 0 <= distance <= 3:
         raise ValueError("two segments with one blanked bit find at most 3 differing bits")
-    keyed = variants(prints)
+    spread = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = variants(prints.repartition(spread, "fp"))
     shared = keyed.groupBy("variant").agg(F.count("*").alias("n")).where("n > 1")
-    members = keyed.join(shared, "variant")
+    members = keyed.join(shared.hint("merge"), "variant")
     in_first = F.shiftrightunsigned("variant", 37) == 0
     other = F.when(in_first, F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(F.shiftrightunsigned("fp", 32))
     finer = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda j: j.cast("long") * 256 + F.call_function(
@@ -98,7 +99,7 @@ def links(prints: DataFrame, distance: int = 3, hot: int = HOT) -> DataFrame:
     right = index.withColumnRenamed("fp", "b")
     differ = F.col("a").bitwiseXOR(F.col("b"))
     near = (F.col("a") < F.col("b")) & (F.bit_count(differ) <= distance)
-    return left.join(right, ["variant", "fine"]).where(near).select("a", "b").distinct()
+    return left.join(right.hint("merge"), ["variant", "fine"]).where(near).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -106,7 +107,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, id_col:
     prints = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), fingerprint_column(F.col(text_col), width).alias("fp")), "fingerprints")
     nodes = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = components(links(nodes.select("fp"), distance))
-    placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = nodes.join(roots.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
     of_print = salted_lookup(placed.select("fp", "root"), least, ["root"], "fp").select("fp", "component_id")
     rows = salted_lookup(prints.withColumn("_row", F.coalesce("doc_id", F.lit(0))), of_print, ["fp"], "_row")
