@@ -25,7 +25,7 @@ def keep_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents whose doc_id is among ``ids`` (one row for each id kept). A null
     doc_id matches a null."""
     wanted = ids.select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_kept_id"]), "left_semi")
+    return docs.join(wanted.hint("merge"), docs["doc_id"].eqNullSafe(wanted["_kept_id"]), "left_semi")
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
