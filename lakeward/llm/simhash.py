@@ -99,7 +99,11 @@ def links(prints: DataFrame, distance: int = 3, hot: int = HOT) -> DataFrame:
     right = index.withColumnRenamed("fp", "b")
     differ = F.col("a").bitwiseXOR(F.col("b"))
     near = (F.col("a") < F.col("b")) & (F.bit_count(differ) <= distance)
-    return left.join(right.hint("merge"), ["variant", "fine"]).where(near).select("a", "b").distinct()
+    # A pair with an equal segment agrees in all its variants; it counts in that of bit 0.
+    blank = F.shiftrightunsigned("variant", 32).bitwiseAND(F.lit(31))
+    place = (blank + F.when(in_first, F.lit(32)).otherwise(F.lit(0))).cast("int")
+    once = (blank == 0) | (F.call_function("shiftrightunsigned", differ, place).bitwiseAND(F.lit(1)) == 1)
+    return left.join(right.hint("merge"), ["variant", "fine"]).where(near & once).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
