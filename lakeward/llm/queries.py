@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeward.llm import bpe, decontaminate, exact_dedup, quality, simhash, token_counts
+from lakeward.llm import bpe, decontaminate, exact_dedup, quality, simhash, token_counts, url_filters, warc
 from lakeward.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +77,91 @@ def pipeline(spark, sf):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf)
+
+
+# ---------------------------------------------------------------- archives and lists
+
+OP4_SQL = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+w as (select html, max(page_id) as winner from p group by html),
+-- DuckDB has no base 32: five bits at a time over the 40 hex digits of the digest.
+d as (select page_id, octet_length(encode(html)) as payload_bytes, winner,
+             list_aggregate(list_transform(string_split_regex(sha1(html), ''), lambda x: lpad(bin(('0x' || x)::int), 4, '0')), 'string_agg', '') as bits
+      from p join w using (html))
+select page_id, payload_bytes::bigint as payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (('0b' || substr(bits, (5 * i + 1)::int, 5))::int) + 1, 1)), 'string_agg', '') as payload_digest,
+       case when page_id = winner then 'response' else 'revisit' end as record_type,
+       case when page_id = winner then null else winner end as refers_to
+from d"""
+
+
+@register("op4_warc", OP4_SQL)
+def op4(spark, sf):
+    return warc.archived(table(spark, sf, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def captures_of(pages: DataFrame) -> DataFrame:
+    """(id, url, at): pages with a fetch day in 2024 that follows from their id."""
+    day = F.pmod(F.col("page_id") * 7919, F.lit(365)).cast("int")
+    return pages.select(F.col("page_id").alias("id"), "url", F.date_add(F.lit("2024-01-01").cast("date"), day).alias("at"))
+
+
+def entries_of(pages: DataFrame) -> DataFrame:
+    """(list, kind, pattern, at, action): three dated lists over the domains of the
+    pages; which domain stands on which list, and when, follows from its MD5."""
+    host = url_filters.host_of(F.col("url"))
+    tail = F.regexp_extract(host, r"([^.]+\.[^.]+\.[^.]+)$", 1)
+    domains = pages.select(F.when(tail == "", host).otherwise(tail).alias("domain")).where("domain != ''").distinct()
+    drawn = domains.select("domain", F.explode(F.array(*map(F.lit, range(3)))).alias("i")).withColumn(
+        "h", F.md5(F.concat_ws(":", "domain", "i"))).where("substr(h, 5, 1) < '8'")
+    added = F.conv(F.substring("h", 1, 4), 16, 10).cast("int") % 400
+    gone = added + 20 + F.conv(F.substring("h", 6, 2), 16, 10).cast("int") % 180
+    start = F.lit("2023-10-01").cast("date")
+    changes = F.array(F.struct(F.date_add(start, added).alias("at"), F.lit("add").alias("action")),
+                      F.when(F.substring("h", 8, 1) < "c", F.struct(F.date_add(start, gone).alias("at"), F.lit("remove").alias("action"))))
+    return drawn.select(
+        F.concat(F.lit("list"), "i").alias("list"), F.when(F.col("i") < 2, "domain").otherwise("prefix").alias("kind"),
+        F.when(F.col("i") < 2, F.col("domain")).otherwise(F.concat("domain", F.lit("/en"))).alias("pattern"),
+        F.inline(F.filter(changes, lambda x: x.isNotNull())))
+
+
+OP8_SQL = r"""
+with c as (
+  select page_id, url, date '2024-01-01' + ((page_id * 7919) % 365)::int as day,
+         lower(regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), '^.*@', ''), ':[0-9]*$', '')) as host,
+         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') as parts
+  from pages),
+dom as (
+  select distinct case when regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) = '' then host
+                       else regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1) end as domain
+  from c where host <> ''),
+drawn as (
+  select domain, i, md5(domain || ':' || i) as h from dom, range(3) t(i)),
+span as (
+  select 'list' || i as list, case when i < 2 then 'domain' else 'prefix' end as kind,
+         case when i < 2 then domain else domain || '/en' end as pattern,
+         date '2023-10-01' + (('0x' || substr(h, 1, 4))::int % 400) as since,
+         case when substr(h, 8, 1) < 'c' then
+           date '2023-10-01' + (('0x' || substr(h, 1, 4))::int % 400) + 20 + (('0x' || substr(h, 6, 2))::int % 180) end as until
+  from drawn where substr(h, 5, 1) < '8'),
+asked as (
+  select page_id, url, day, unnest(list_distinct(list_transform(range(1, len(string_split(host, '.')) + 1),
+           lambda i: 'domain ' || array_to_string(string_split(host, '.')[i:], '.'))
+         || list_transform(range(0, len(parts) + 1),
+           lambda i: 'prefix ' || lower(host || '/' || array_to_string(parts[1:i], '/'))))) as ask
+  from c where host <> ''),
+hit as (
+  select a.page_id, count(*) as n_entries, string_agg(distinct s.list, ',' order by s.list) as lists
+  from asked a join span s on a.ask = s.kind || ' ' || s.pattern and s.since <= a.day and (s.until is null or a.day < s.until)
+  group by a.page_id)
+select c.page_id, c.url, c.day as fetched_on, h.page_id is not null as blocked,
+       coalesce(h.n_entries, 0)::bigint as n_entries, coalesce(h.lists, '') as lists
+from c left join hit h using (page_id)"""
+
+
+@register("op8_url_filters", OP8_SQL)
+def op8(spark, sf):
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    rows = url_filters.url_filter(captures_of(pages), entries_of(pages))
+    return rows.select(F.col("id").alias("page_id"), "url", F.col("at").alias("fetched_on"), "blocked", "n_entries", "lists")
