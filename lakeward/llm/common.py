@@ -41,15 +41,15 @@ def worker_state(name: str, make):
     return holder.__dict__[name]
 
 
-def salted_lookup(rows: DataFrame, mapping: DataFrame, key: Sequence[str], salt_of: str, salts: int = 64) -> DataFrame:
-    """``rows`` left-joined with ``mapping`` (unique on ``key``), for a key that may
+def salted_lookup(rows: DataFrame, mapping: DataFrame, key: Sequence[str], salt_of: str, salts: int = 64, how: str = "left") -> DataFrame:
+    """``rows`` joined (left or inner) with ``mapping`` (unique on ``key``), for a key that may
     hold a third of all rows: the mapping first meets the distinct (key, salt)
     pairs, at most ``salts`` for a key, and the rows then join on key and salt. Both
     are merge joins: neither side is of a known size, so neither is broadcast."""
     key = list(key)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_of), F.lit(salts)).cast("int"))
-    pairs = salted.select(*key, "_salt").distinct().join(mapping.hint("merge"), key, "left")
-    return salted.join(pairs.hint("merge"), [*key, "_salt"], "left").drop("_salt")
+    pairs = salted.select(*key, "_salt").distinct().join(mapping.hint("merge"), key, how)
+    return salted.join(pairs.hint("merge"), [*key, "_salt"], how).drop("_salt")
 
 
 class BoundedCache(dict):

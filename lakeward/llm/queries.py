@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.llm import bpe, decontaminate, exact_dedup, quality, simhash, token_counts, url_filters, warc
+from lakeward.llm import bpe, decontaminate, exact_dedup, quality, simhash, substring_dedup, token_counts, url_filters, warc
 from lakeward.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,3 +165,8 @@ def op8(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url")
     rows = url_filters.url_filter(captures_of(pages), entries_of(pages))
     return rows.select(F.col("id").alias("page_id"), "url", F.col("at").alias("fetched_on"), "blocked", "n_entries", "lists")
+
+
+@register("op9_substring_dedup")
+def op9(spark, sf):
+    return substring_dedup.repeated_spans(table(spark, sf, "documents"))
