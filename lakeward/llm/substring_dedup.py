@@ -5,7 +5,8 @@ starts that a hash of the next few bytes picks, so a passage that stands inside
 different lines is cut alike in each, but for its ends. Units meet if they agree
 in a band of their MinHash signature over word shingles; in each bucket all units
 are compared with one leader by the exact Jaccard similarity, and those that fail
-are compared with all others of the bucket. Verified links make components. Of
+are compared with all others of the bucket. Before any text is fetched, 64 bits of
+each unit rule out pairs that can't reach the similarity. Verified links make components. Of
 each component the document of least id keeps its units; adjacent units of another
 document that repeat the same one make a span, reported if it has ``SPAN_WORDS``
 words or more.
@@ -46,7 +47,7 @@ SEED = 42
 
 BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - SIMILARITY**ROWS))
 SENTENCE = re.compile(r"[.!?][ \t]+(?=\S)|\n")
-UNITS = "doc_id long, unit int, start int, n_chars int, n_words int, h long, bands array<long>"
+UNITS = "doc_id long, unit int, start int, n_chars int, n_words int, h long, bits long, grams int, bands array<long>"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -70,8 +71,9 @@ def unit_ranges(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def signatures(words: list[list[bytes]]) -> np.ndarray:
-    """Band keys (units x BANDS) of units given as words."""
+def signatures(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Band keys (units x BANDS), shingle bits and shingle numbers of units given as
+    words. Each shingle sets one of 64 bits."""
     sizes = np.array([len(w) for w in words])
     codes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for unit in words for w in unit), np.uint64, int(sizes.sum()))
     first = np.cumsum(sizes) - sizes
@@ -90,7 +92,8 @@ def signatures(words: list[list[bytes]]) -> np.ndarray:
         for row in range(ROWS):
             key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(mixed(gram ^ seeds[band, row]), begin))
         keys[:, band] = key
-    return keys.view(np.int64)
+    bits = np.bitwise_or.reduceat(np.uint64(1) << (gram >> np.uint64(58)), begin)
+    return keys.view(np.int64), bits.view(np.int64), grams
 
 
 def paragraph_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -111,13 +114,13 @@ def paragraph_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 if not words:
                     continue
                 h = np.fromiter((xxhash.xxh64_intdigest(b" ".join(w), SEED) for w in words), np.uint64, len(words)).view(np.int64)
-                keys = signatures(words)
+                keys, bits, grams = signatures(words)
                 place = np.array(where, np.int32)
                 ends = np.arange(0, keys.size + 1, BANDS, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(owner)), *(pa.array(place[:, k]) for k in range(4)), pa.array(h),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
-                    names=["doc_id", "unit", "start", "n_chars", "n_words", "h", "bands"])
+                     pa.array(bits), pa.array(grams.astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
+                    names=["doc_id", "unit", "start", "n_chars", "n_words", "h", "bits", "grams", "bands"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(units, UNITS)
 
@@ -181,12 +184,25 @@ def unit_shingles(words: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(words, i, WIDTH), " ")))
 
 
+def may_be_near() -> Column:
+    """A condition that every pair (a, b) of sufficient similarity J meets: it differs in at
+    most (1 / J - 1) of the smaller set's shingles, each of which changes one bit."""
+    return F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits"))) <= (1 / SIMILARITY - 1) * F.least("a_grams", "b_grams") + 1e-9
+
+
+def marked(pairs: DataFrame, marks: DataFrame, side: str) -> DataFrame:
+    """``pairs`` with the bits and shingle number of one side."""
+    own = marks.select(F.col("h").alias(side), F.col("bits").alias(f"{side}_bits"), F.col("grams").alias(f"{side}_grams"))
+    return salted_lookup(pairs, own, [side], "b" if side == "a" else "a", how="inner")
+
+
 def shingle_sets(docs: DataFrame, units: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(h, grams) of the wanted units, from the text of one document that holds each."""
-    one = units.join(wanted.hint("merge"), "h").groupBy("h").agg(F.min_by(F.struct("doc_id", "start", "n_chars"), F.struct(F.coalesce("doc_id", F.lit(0)), "unit")).alias("w"))
-    places = one.select("h", F.col("w.doc_id").alias("_id"), "w.start", "w.n_chars")
+    places = units.select("h", F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "doc_id", "start", "n_chars").alias("w"))
+    one = salted_lookup(places.withColumn("_doc", F.col("w.doc")), wanted, ["h"], "_doc", how="inner").groupBy("h").agg(F.min("w").alias("w"))
+    at = one.select("h", F.col("w.doc_id").alias("_id"), "w.start", "w.n_chars")
     texts = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text"))
-    found = texts.join(places.hint("merge"), F.col("_doc").eqNullSafe(F.col("_id")))
+    found = texts.join(at.hint("merge"), F.col("_doc").eqNullSafe(F.col("_id")))
     words = found.select("h", unit_words(F.substring(F.col("_text"), F.col("start") + 1, F.col("n_chars"))).alias("words"))
     # Of rows that repeat an id, only a text that has the unit counts.
     return words.where(F.xxhash64(F.array_join("words", " ")) == F.col("h")).dropDuplicates(["h"]).select("h", unit_shingles(F.col("words")).alias("grams"))
@@ -196,7 +212,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose units have a Jaccard similarity of SIMILARITY or more."""
     a = sets.select(F.col("h").alias("a"), F.col("grams").alias("_a"))
     b = sets.select(F.col("h").alias("b"), F.col("grams").alias("_b"))
-    both = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
+    both = salted_lookup(salted_lookup(pairs, a, ["a"], "b", how="inner"), b, ["b"], "a", how="inner")
     common = F.size(F.array_intersect("_a", "_b"))
     return both.where(common >= SIMILARITY * (F.size("_a") + F.size("_b") - common) - 1e-9).select("a", "b")
 
@@ -205,13 +221,20 @@ def unit_links(docs: DataFrame, units: DataFrame, id_col: str = "doc_id", text_c
     """(a, b): verified links between different units that share a band."""
     buckets = cut(stars(band_rows(units)), "buckets")
     nodes = buckets.select(F.col("leader").alias("h")).unionAll(buckets.select(F.col("member").alias("h"))).distinct()
-    sets = cut(shingle_sets(docs, units, nodes, id_col, text_col), "unit-grams")
-    spokes = buckets.select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
-    good = cut(verified(spokes, sets), "spokes")
-    left = buckets.join(good.hint("merge"), (F.col("leader") == F.col("a")) & (F.col("member") == F.col("b")), "left_anti")
-    others = left.select("key", F.col("member").alias("a")).join(buckets.select("key", F.col("member").alias("b")).hint("merge"), "key").where("a != b")
-    more = others.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return good.unionAll(verified(more, sets))
+    known = units.select("h", "bits", "grams").distinct()
+    marks = cut(known.join(nodes.hint("merge"), "h"), "unit-marks")
+    members = cut(marked(buckets.select("key", F.col("leader").alias("a"), F.col("member").alias("b")), marks, "b"), "members")
+    spokes = marked(members, marks, "a").where(may_be_near()).select("a", "b").distinct()
+    spokes = cut(spokes, "spokes")
+    near = spokes.select(F.col("a").alias("h")).unionAll(spokes.select(F.col("b").alias("h"))).distinct()
+    good = cut(verified(spokes, shingle_sets(docs, units, near, id_col, text_col)), "verified-spokes")
+    # A unit that isn't linked to its leader is held against the others of the bucket.
+    alone = members.join(good.hint("merge"), ["a", "b"], "left_anti").select(
+        "key", F.col("b").alias("a"), F.col("b_bits").alias("a_bits"), F.col("b_grams").alias("a_grams"))
+    close = alone.join(members.select("key", "b", "b_bits", "b_grams").hint("merge"), "key").where((F.col("a") != F.col("b")) & may_be_near())
+    more = cut(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "late-pairs")
+    late = more.select(F.col("a").alias("h")).unionAll(more.select(F.col("b").alias("h"))).distinct()
+    return good.unionAll(verified(more, shingle_sets(docs, units, late, id_col, text_col)))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span_words: int = SPAN_WORDS) -> DataFrame:
