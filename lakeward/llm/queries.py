@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.llm import bpe, decontaminate, exact_dedup, quality, simhash, substring_dedup, token_counts, url_filters, warc
+from lakeward.llm import bpe, decontaminate, exact_dedup, html_extract, quality, simhash, substring_dedup, token_counts, url_filters, warc
 from lakeward.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,3 +170,9 @@ def op8(spark, sf):
 @register("op9_substring_dedup")
 def op9(spark, sf):
     return substring_dedup.repeated_spans(table(spark, sf, "documents"))
+
+
+@register("op3_html_extraction")
+def op3(spark, sf):
+    texts = html_extract.main_texts(table(spark, sf, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
