@@ -44,10 +44,12 @@ SPAN_WORDS = 24
 #: Rows after which a task that collects bands sends what it has.
 HELD = 200_000
 SEED = 42
+#: Stands for a null id: the greatest.
+LAST_ID = (1 << 63) - 1
 
 BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - SIMILARITY**ROWS))
 SENTENCE = re.compile(r"[.!?][ \t]+(?=\S)|\n")
-UNITS = "doc_id long, unit int, start int, n_chars int, n_words int, h long, bits long, grams int, bands array<long>"
+UNITS = "doc_id long, unit int, start int, n_chars int, n_words int, h long, bands array<long>"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -71,9 +73,9 @@ def unit_ranges(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def signatures(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Band keys (units x BANDS), shingle bits and shingle numbers of units given as
-    words. Each shingle sets one of 64 bits."""
+def shingled(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the word shingles of units, one unit after another, and where each
+    unit begins."""
     sizes = np.array([len(w) for w in words])
     codes = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for unit in words for w in unit), np.uint64, int(sizes.sum()))
     first = np.cumsum(sizes) - sizes
@@ -85,6 +87,12 @@ def signatures(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.nda
     gram = np.zeros(len(at), np.uint64)
     for k in range(WIDTH):
         gram = mixed(gram * np.uint64(0x9E3779B97F4A7C15) + np.where(left > k, padded[at + k], np.uint64(0)))
+    return gram, begin
+
+
+def signatures(words: list[list[bytes]]) -> np.ndarray:
+    """Band keys (units x BANDS) of units given as words."""
+    gram, begin = shingled(words)
     keys = np.zeros((len(words), BANDS), np.uint64)
     seeds = np.random.default_rng(SEED).integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64)
     for band in range(BANDS):
@@ -92,8 +100,11 @@ def signatures(words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.nda
         for row in range(ROWS):
             key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(mixed(gram ^ seeds[band, row]), begin))
         keys[:, band] = key
-    bits = np.bitwise_or.reduceat(np.uint64(1) << (gram >> np.uint64(58)), begin)
-    return keys.view(np.int64), bits.view(np.int64), grams
+    return keys.view(np.int64)
+
+
+def unit_hash(words: list[bytes]) -> int:
+    return xxhash.xxh64_intdigest(b" ".join(words), SEED)
 
 
 def paragraph_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -113,14 +124,14 @@ def paragraph_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                             owner.append(row)
                 if not words:
                     continue
-                h = np.fromiter((xxhash.xxh64_intdigest(b" ".join(w), SEED) for w in words), np.uint64, len(words)).view(np.int64)
-                keys, bits, grams = signatures(words)
+                h = np.fromiter(map(unit_hash, words), np.uint64, len(words)).view(np.int64)
+                keys = signatures(words)
                 place = np.array(where, np.int32)
                 ends = np.arange(0, keys.size + 1, BANDS, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(owner)), *(pa.array(place[:, k]) for k in range(4)), pa.array(h),
-                     pa.array(bits), pa.array(grams.astype(np.int32)), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
-                    names=["doc_id", "unit", "start", "n_chars", "n_words", "h", "bits", "grams", "bands"])
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
+                    names=["doc_id", "unit", "start", "n_chars", "n_words", "h", "bands"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(units, UNITS)
 
@@ -173,17 +184,6 @@ def stars(bands: DataFrame) -> DataFrame:
     return bands.repartition("key").sortWithinPartitions("key", "h").mapInArrow(runs, "key long, leader long, member long")
 
 
-def unit_words(text: Column) -> Column:
-    """The words of a unit, ASCII letters lower-cased, as ``paragraph_units`` has them."""
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.filter(F.split(F.translate(text, upper, lower), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-
-
-def unit_shingles(words: Column) -> Column:
-    n = F.greatest(F.size(words) - (WIDTH - 1), F.lit(1))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(words, i, WIDTH), " ")))
-
-
 def may_be_near() -> Column:
     """A condition that every pair (a, b) of sufficient similarity J meets: it differs in at
     most (1 / J - 1) of the smaller set's shingles, each of which changes one bit."""
@@ -192,20 +192,37 @@ def may_be_near() -> Column:
 
 def marked(pairs: DataFrame, marks: DataFrame, side: str) -> DataFrame:
     """``pairs`` with the bits and shingle number of one side."""
-    own = marks.select(F.col("h").alias(side), F.col("bits").alias(f"{side}_bits"), F.col("grams").alias(f"{side}_grams"))
+    own = marks.select(F.col("h").alias(side), F.col("bits").alias(f"{side}_bits"), F.size("grams").alias(f"{side}_grams"))
     return salted_lookup(pairs, own, [side], "b" if side == "a" else "a", how="inner")
 
 
-def shingle_sets(docs: DataFrame, units: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(h, grams) of the wanted units, from the text of one document that holds each."""
-    places = units.select("h", F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "doc_id", "start", "n_chars").alias("w"))
-    one = salted_lookup(places.withColumn("_doc", F.col("w.doc")), wanted, ["h"], "_doc", how="inner").groupBy("h").agg(F.min("w").alias("w"))
-    at = one.select("h", F.col("w.doc_id").alias("_id"), "w.start", "w.n_chars")
-    texts = docs.select(F.col(id_col).cast("long").alias("_doc"), F.col(text_col).alias("_text"))
-    found = texts.join(at.hint("merge"), F.col("_doc").eqNullSafe(F.col("_id")))
-    words = found.select("h", unit_words(F.substring(F.col("_text"), F.col("start") + 1, F.col("n_chars"))).alias("words"))
-    # Of rows that repeat an id, only a text that has the unit counts.
-    return words.where(F.xxhash64(F.array_join("words", " ")) == F.col("h")).dropDuplicates(["h"]).select("h", unit_shingles(F.col("words")).alias("grams"))
+def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(h, bits, grams) of the units in (doc, hs): from one document that holds each, its
+    shingle hashes and one of 64 bits for each of them."""
+
+    def sets(batches):
+        schema = pa.schema([("h", pa.int64()), ("bits", pa.int64()), ("grams", pa.list_(pa.int64()))])
+        for batch in batches:
+            for at in range(0, batch.num_rows, 100):
+                part, words, own = batch.slice(at, 100), [], []
+                for text, hs in zip(*(c.to_pylist() for c in part.columns)):
+                    asked = set(hs)
+                    for start, end in unit_ranges(text or ""):
+                        unit = text[start:end].encode().lower().split()
+                        h = unit_hash(unit) if unit else 0
+                        h -= (h >> 63) << 64
+                        if unit and h in asked:
+                            words.append(unit)
+                            own.append(h)
+                if words:
+                    gram, begin = shingled(words)
+                    grams = [np.unique(g).view(np.int64) for g in np.split(gram, begin[1:])]
+                    bits = np.bitwise_or.reduceat(np.uint64(1) << (gram >> np.uint64(58)), begin).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(bits), pa.array(grams, pa.list_(pa.int64()))], schema=schema)
+
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"), F.col(text_col).alias("text"))
+    found = texts.join(wanted.hint("merge"), "doc").select("text", "hs")
+    return found.mapInArrow(sets, "h long, bits long, grams array<long>").dropDuplicates(["h"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -217,34 +234,30 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(common >= SIMILARITY * (F.size("_a") + F.size("_b") - common) - 1e-9).select("a", "b")
 
 
-def unit_links(docs: DataFrame, units: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def unit_links(docs: DataFrame, units: DataFrame, of_unit: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(a, b): verified links between different units that share a band."""
     buckets = cut(stars(band_rows(units)), "buckets")
     nodes = buckets.select(F.col("leader").alias("h")).unionAll(buckets.select(F.col("member").alias("h"))).distinct()
-    known = units.select("h", "bits", "grams").distinct()
-    marks = cut(known.join(nodes.hint("merge"), "h"), "unit-marks")
-    members = cut(marked(buckets.select("key", F.col("leader").alias("a"), F.col("member").alias("b")), marks, "b"), "members")
-    spokes = marked(members, marks, "a").where(may_be_near()).select("a", "b").distinct()
-    spokes = cut(spokes, "spokes")
-    near = spokes.select(F.col("a").alias("h")).unionAll(spokes.select(F.col("b").alias("h"))).distinct()
-    good = cut(verified(spokes, shingle_sets(docs, units, near, id_col, text_col)), "verified-spokes")
+    wanted = of_unit.join(nodes.hint("merge"), "h").groupBy(F.col("low").alias("doc")).agg(F.collect_list("h").alias("hs"))
+    sets = cut(shingle_sets(docs, wanted, id_col, text_col), "unit-shingles")
+    members = cut(marked(buckets.select("key", F.col("leader").alias("a"), F.col("member").alias("b")), sets, "b"), "members")
+    spokes = marked(members, sets, "a").where(may_be_near()).select("a", "b").distinct()
+    good = cut(verified(spokes, sets), "spokes")
     # A unit that isn't linked to its leader is held against the others of the bucket.
     alone = members.join(good.hint("merge"), ["a", "b"], "left_anti").select(
         "key", F.col("b").alias("a"), F.col("b_bits").alias("a_bits"), F.col("b_grams").alias("a_grams"))
     close = alone.join(members.select("key", "b", "b_bits", "b_grams").hint("merge"), "key").where((F.col("a") != F.col("b")) & may_be_near())
-    more = cut(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "late-pairs")
-    late = more.select(F.col("a").alias("h")).unionAll(more.select(F.col("b").alias("h"))).distinct()
-    return good.unionAll(verified(more, shingle_sets(docs, units, late, id_col, text_col)))
+    more = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return good.unionAll(verified(more, sets))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span_words: int = SPAN_WORDS) -> DataFrame:
     """(doc_id, span_start, span_chars, n_words, keep_doc_id): code points of a text
     that repeat a document of smaller id."""
     units = cut(paragraph_units(docs, id_col, text_col), "units")
-    roots = components(unit_links(docs, units, id_col, text_col)).withColumnRenamed("node", "h")
-    # A null id is the greatest.
-    doc = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    of_unit = units.groupBy("h").agg(F.min(doc).alias("low"), F.max(doc).alias("high"))
+    doc = F.coalesce("doc_id", F.lit(LAST_ID))
+    of_unit = cut(units.groupBy("h").agg(F.min(doc).alias("low"), F.max(doc).alias("high")), "unit-documents")
+    roots = components(unit_links(docs, units, of_unit, id_col, text_col)).withColumnRenamed("node", "h")
     placed = of_unit.join(roots.hint("merge"), "h", "left").withColumn("root", F.coalesce("root", "h"))
     across = placed.groupBy("root").agg(F.min("low").alias("keep"), F.max("high").alias("last")).where("keep != last")
     repeated = salted_lookup(placed.select("h", "root"), across.select("root", "keep"), ["root"], "h", how="inner").select("h", "keep")
