@@ -11,8 +11,8 @@ rows therefore costs one row per map task on the wire, not a third of the
 data in one reducer.
 
 ``strategy="aggregate"`` expresses the same thing as ``max_by`` over a struct
-ordering key, which Catalyst plans as partial/final aggregation (same
-pre-shuffle reduction, no sort on the map side when it fits a hash map).
+ordering key, which Catalyst plans as partial/final sort aggregation (same
+pre-shuffle reduction, with a sort on either side).
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@
     spark-submit lakeward/plans/job.py snapshot --input-glob ... --output-root ...
 
 The session comes from the submit configuration (no master is set here) and
-is only stopped when this module created it.
+ends with the job's process.
 """
 
 from __future__ import annotations

@@ -172,7 +172,7 @@ def summary_json(summary_df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, T.DecimalType):
             c = X.decimal_text(c)
         cols.append(c.alias(f.name))
-    return summary_df.select(F.to_json(F.struct(*cols)).alias("validation"))
+    return summary_df.select(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("validation"))
 
 
 def snapshot(spark: SparkSession, input_paths: str | Sequence[str], output_root: str,

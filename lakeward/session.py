@@ -26,8 +26,6 @@ def builder(app_name: str = "lakeward", master: str | None = None, shuffle_parti
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
     )
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -39,6 +37,8 @@ def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
     spark = (
         builder("lakeward-local", f"local[{cores}]", shuffle_partitions=cores)
         .config("spark.driver.memory", memory)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
@@ -55,6 +55,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf:
         spark.sparkContext.setCheckpointDir(conf)
         return spark.sparkContext.getCheckpointDir() or conf
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     key = spark.sparkContext.applicationId
     if key not in _LOCAL_FALLBACK:
         _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="lakeward-ckpt-")
