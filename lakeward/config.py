@@ -130,6 +130,8 @@ class Settings:
     sla_minutes: dict[str, int] = field(default_factory=lambda: dict(SLA_MINUTES))
     sla_days: dict[str, int] = field(default_factory=lambda: dict(SLA_DAYS))
     contract: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(RAW_CONTRACT))
+    # Accept quoted line breaks in CSV input; each file is then read by one task.
+    multiline_csv: bool = False
 
 
 DEFAULT = Settings()

@@ -18,19 +18,33 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _cast_or_raise(c: Column, type_name: str, what: str) -> Column:
+    """A cast that raises on values it can't convert, whatever the session's ANSI mode."""
+    told = F.concat(F.lit(f"not a {what}: "), c.cast("string"))
+    return F.coalesce(c.try_cast(type_name), F.when(c.isNotNull(), F.raise_error(told)).cast(type_name))
+
+
 def as_decimal_money(c: ColumnOrName, money_type: str = MONEY_TYPE) -> Column:
     """Fixed-point money. Strings are parsed exactly (no float detour);
-    under ANSI mode a malformed value or an overflow raises."""
-    return _col(c).cast(money_type)
+    a malformed value or an overflow raises."""
+    return _cast_or_raise(_col(c), money_type, money_type)
+
+
+#: The end of timestamp text that names an offset or a zone.
+RE_ZONED = r"[0-9]\s*(Z|UTC|[+-][0-9]{1,2}(:?[0-9]{2})?)\s*$"
 
 
 def to_wall_clock(c: ColumnOrName) -> Column:
-    """Parse text (or dates/timestamps) to a zone-less wall-clock timestamp.
+    """Parse text to a zone-less wall-clock timestamp; malformed text raises.
 
-    The detour through ``timestamp`` honours an explicit offset such as
-    ``+02:00`` (a direct string -> timestamp_ntz cast would drop it); with the
-    session pinned to UTC the result is the UTC wall clock."""
-    return _col(c).cast("timestamp").cast("timestamp_ntz")
+    Text without an offset is taken as it stands; text with one (``+02:00``), of which
+    a direct cast would drop the offset, gives the wall clock of UTC. Neither
+    depends on the session's zone."""
+    c = _col(c)
+    secs = (F.unix_micros(_cast_or_raise(c, "timestamp", "timestamp")).cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs)
+    zoned = (F.length(c) > 16) & F.contains(c, F.lit(":")) & c.rlike(RE_ZONED)
+    return F.when(zoned, utc).otherwise(_cast_or_raise(c, "timestamp_ntz", "timestamp"))
 
 
 def to_date(c: ColumnOrName) -> Column:

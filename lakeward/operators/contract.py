@@ -1,17 +1,21 @@
 """Schema contract over raw CSV batches.
 
-``observed_types`` infers, per batch and column, the type a CSV sniffer
+``profile`` infers, per batch and column, the type a CSV sniffer
 would report — in one distributed job that classifies *every* value (not
 a sample), so a bad value deep in a file is caught here rather than by the
 bronze cast. Each value is mapped to one class bit by anchored regular
-expressions; ``bit_or`` per (batch, column) is a primitive partial
+expressions and casts; ``bit_or`` per (batch, column) is a primitive partial
 aggregate, so a batch holding a third of all rows costs no more than any
-other. The contract itself is a literal array/map, so the missing, type and
-additive checks need no join at all.
+other. The same scan counts the rows whose cells don't match the header.
+
+A profile row is one header of one batch, known by the full batch path, so
+headers of different files are never merged. The contract itself is a literal
+array/map: the missing, type and additive checks need no join.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -19,7 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.config import RAW_CONTRACT
-from lakeward.sources.batches import FileHeader, batch_label, headers, read_batches
+from lakeward.functions.columns import type_name
+from lakeward.sources.batches import MALFORMED, FileHeader, header_groups, headers
 
 # ---------------------------------------------------------------------------
 # Type classes a CSV sniffer assigns, first match wins.
@@ -31,10 +36,9 @@ BOOLEAN, BIGINT, HUGEINT, DOUBLE, TIME, DATE, TIMESTAMP, TIMESTAMPTZ, VARCHAR =
 CLASSES: tuple[str, ...] = (BOOLEAN, BIGINT, HUGEINT, DOUBLE, TIME, DATE, TIMESTAMP, TIMESTAMPTZ, VARCHAR)
 BIT: dict[str, int] = {name: 1 << i for i, name in enumerate(CLASSES)}
 
-RE_BOOLEAN = r"^(?i)(true|false)$"
 RE_INTEGER = r"^-?(0|[1-9][0-9]*)$"
 RE_DOUBLE = r"^-?(([0-9]+\.[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?|[0-9]+[eE][-+]?[0-9]+)$|^NaN$"
-RE_TIME = r"^[0-9]{2}:[0-9]{2}:[0-9]{2}$"
+RE_TIME = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
 RE_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 _TS = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?"
 RE_TIMESTAMP = _TS + r"$"
@@ -42,6 +46,8 @@ RE_TIMESTAMPTZ = _TS + r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
 MISSING = "missing_required_column"
 INCOMPATIBLE = "incompatible_column_type"
+MALFORMED_ROWS = "malformed_rows"
+ANY_COLUMN = "*"
 
 
 def value_class_bit(value: Column) -> Column:
@@ -51,11 +57,12 @@ def value_class_bit(value: Column) -> Column:
     Cheap dispatch first: text whose first character cannot start a number,
     date or time is BOOLEAN, NaN or VARCHAR without any regular expression; a
     value with ``:`` can only be a time or timestamp, one without only a
-    number or date. At most three anchored patterns run per value."""
+    number or date. At most three anchored patterns run per value. Text in the form of a
+    date or timestamp that no calendar has is VARCHAR."""
     numeric_start = F.substring(value, 1, 1).isin(*"0123456789-.")
     with_colon = (
-        F.when(value.rlike(RE_TIMESTAMP), F.lit(BIT[TIMESTAMP]))
-        .when(value.rlike(RE_TIMESTAMPTZ), F.lit(BIT[TIMESTAMPTZ]))
+        F.when(value.rlike(RE_TIMESTAMP) & value.try_cast("timestamp_ntz").isNotNull(), F.lit(BIT[TIMESTAMP]))
+        .when(value.rlike(RE_TIMESTAMPTZ) & value.try_cast("timestamp").isNotNull(), F.lit(BIT[TIMESTAMPTZ]))
         .when(value.rlike(RE_TIME), F.lit(BIT[TIME]))
         .otherwise(F.lit(BIT[VARCHAR]))
     )
@@ -63,7 +70,7 @@ def value_class_bit(value: Column) -> Column:
         F.when(value.rlike(RE_INTEGER),
                F.when(value.try_cast("bigint").isNotNull(), F.lit(BIT[BIGINT])).otherwise(F.lit(BIT[HUGEINT])))
         .when(value.rlike(RE_DOUBLE), F.lit(BIT[DOUBLE]))
-        .when(value.rlike(RE_DATE), F.lit(BIT[DATE]))
+        .when(value.rlike(RE_DATE) & value.try_cast("date").isNotNull(), F.lit(BIT[DATE]))
         .otherwise(F.lit(BIT[VARCHAR]))
     )
     return (
@@ -96,99 +103,129 @@ def verdict(mask: Column) -> Column:
     )
 
 
+def profile(
+    spark: SparkSession, paths: str | Sequence[str], file_headers: list[FileHeader] | None = None,
+    multiline: bool = False,
+) -> DataFrame:
+    """(batch, file_name, width, cells, malformed): for each header of each batch its column
+    number, its (column, position, observed_type) and its count of malformed rows. A
+    header without rows is there too. ``file_name`` is the basename, or the whole
+    path where two batches have the same basename."""
+    hs = file_headers if file_headers is not None else headers(spark, paths)
+    shapes = sorted({h.columns for h in hs})
+    place = {columns: n for n, columns in enumerate(shapes)}
+    batches: dict[str, set[str]] = {}
+    for h in hs:
+        batches.setdefault(h.label, set()).add(h.batch)
+    known = spark.createDataFrame(
+        sorted({(h.batch, h.label if len(batches[h.label]) == 1 else h.batch, place[h.columns]) for h in hs}),
+        "batch string, file_name string, shape int")
+    none = F.array().cast("array<struct<column:string,position:int,observed_type:string>>")
+    out = None
+    if () in place:
+        out = known.where(F.col("shape") == place[()]).select(
+            "batch", "file_name", F.lit(0).alias("width"), none.alias("cells"), F.lit(0).cast("bigint").alias("malformed"))
+    scanned: dict[tuple[str, ...], DataFrame] = {}
+    for cols, raw in header_groups(spark, hs, trim_values=True, malformed=True, multiline=multiline):
+        scanned[cols] = scanned[cols].unionByName(raw) if cols in scanned else raw
+    for cols, raw in scanned.items():
+        masks = raw.groupBy("source_file").agg(
+            F.count(F.col(MALFORMED)).alias("malformed"),
+            *[F.bit_or(value_class_bit(F.col(f"`{c}`"))).alias(f"m{i}") for i, c in enumerate(cols)])
+        # Every header column appears even if it has no values (header-only file).
+        own = known.where(F.col("shape") == place[cols]).join(masks, F.col("batch") == F.col("source_file"), "left").select(
+            "batch", "file_name", F.lit(len(cols)).alias("width"),
+            F.array(*[F.struct(F.lit(c).alias("column"), F.lit(i).alias("position"),
+                               type_name(verdict(F.coalesce(F.col(f"m{i}"), F.lit(0)))).alias("observed_type"))
+                      for i, c in enumerate(cols)]).alias("cells"),
+            F.coalesce("malformed", F.lit(0).cast("bigint")).alias("malformed"))
+        out = own if out is None else out.unionByName(own)
+    if out is None:
+        raise FileNotFoundError(f"no input files match {paths}")
+    return out
+
+
 def observed_types(
     spark: SparkSession, paths: str | Sequence[str], file_headers: list[FileHeader] | None = None
 ) -> DataFrame:
     """(file_name, column, position, observed_type) for every batch column."""
-    hs = file_headers if file_headers is not None else headers(spark, paths)
-    raw = read_batches(spark, paths, hs, trim_values=True)
-    value_cols = [c for c in raw.columns if c != "source_file"]
-    # One row per batch: OR of the class bits of every value, per column.
-    # The batch label is derived after the aggregation (per batch, not per row).
-    wide = raw.groupBy("source_file").agg(
-        *[F.bit_or(value_class_bit(F.col(f"`{c}`"))).alias(c) for c in value_cols])
-    masks = wide.select(
-        batch_label(F.col("source_file")).alias("file_name"),
-        F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("mask")) for c in value_cols
-        ])).alias("cell"),
-    ).select("file_name", "cell.column", F.col("cell.mask").alias("mask")).groupBy("file_name", "column").agg(
-        F.bit_or("mask").alias("mask"))
-    # Every header column appears even if it has no values (header-only file).
-    declared = spark.createDataFrame(
-        sorted({(h.label, c, i) for h in hs for i, c in enumerate(h.columns)}),
-        "file_name string, column string, position int",
-    ).groupBy("file_name", "column").agg(F.min("position").alias("position"))
-    return (
-        declared.join(masks, ["file_name", "column"], "left")
-        .select("file_name", "column", "position",
-                verdict(F.coalesce(F.col("mask"), F.lit(0))).alias("observed_type"))
-    )
+    return profile(spark, paths, file_headers).select("file_name", F.explode("cells").alias("c")).select("file_name", "c.*")
 
 
 def _expected_text(contract: Mapping[str, Sequence[str]]) -> dict[str, str]:
     return {c: ", ".join(sorted(types)) for c, types in contract.items()}
 
 
-def _contract_cols(contract: Mapping[str, Sequence[str]]):
+def _literal_map(entries: Mapping[str, object]) -> Column:
+    return F.create_map(*[x for k, v in entries.items() for x in (F.lit(k), v if isinstance(v, Column) else F.lit(v))])
+
+
+def _columns() -> Column:
+    return F.transform("cells", lambda c: c["column"])
+
+
+def _issue(kind: int, rank: Column, column: Column, issue: str, expected: Column, observed: Column) -> Column:
+    return F.struct(F.lit(kind).alias("_kind"), rank.alias("_rank"), column.alias("column"), F.lit(issue).alias("issue"),
+                    expected.alias("expected"), observed.alias("observed"))
+
+
+def _issue_array(contract: Mapping[str, Sequence[str]]) -> Column:
+    """The issues of one profile row in report order: missing columns by name, type
+    issues in contract order, malformed rows."""
     names = F.array(*[F.lit(c) for c in contract])
-    allowed = F.create_map(*[x for c, ts in contract.items()
-                             for x in (F.lit(c), F.array(*[F.lit(t) for t in ts]))])
-    expected = F.create_map(*[x for c, e in _expected_text(contract).items() for x in (F.lit(c), F.lit(e))])
-    order = F.create_map(*[x for i, c in enumerate(contract) for x in (F.lit(c), F.lit(i))])
-    return names, allowed, expected, order
-
-
-def per_file_columns(observed: DataFrame) -> DataFrame:
-    return observed.groupBy("file_name").agg(F.collect_list("column").alias("columns"))
-
-
-def missing_columns(observed: DataFrame, contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> DataFrame:
-    names, _, expected, _ = _contract_cols(contract)
-    files = per_file_columns(observed)
-    return files.select(
-        "file_name",
-        F.explode(F.array_sort(F.filter(names, lambda c: ~F.array_contains(F.col("columns"), c)))).alias("column"),
-    ).select(
-        "file_name", "column", F.lit(MISSING).alias("issue"),
-        F.element_at(expected, F.col("column")).alias("expected"), F.lit("missing").alias("observed"),
-    )
+    expected = _literal_map(_expected_text(contract))
+    order = _literal_map({c: i for i, c in enumerate(contract)})
+    allowed = _literal_map({c: F.array(*[F.lit(t) for t in types]) for c, types in contract.items()})
+    missing = F.transform(
+        F.filter(names, lambda c: ~F.array_contains(_columns(), c)),
+        lambda c: _issue(0, F.lit(0), c, MISSING, F.element_at(expected, c), F.lit("missing")))
+    wrong = F.transform(
+        F.filter("cells", lambda c: F.array_contains(names, c["column"])
+                 & ~F.array_contains(F.element_at(allowed, c["column"]), c["observed_type"])),
+        lambda c: _issue(1, F.element_at(order, c["column"]), c["column"], INCOMPATIBLE,
+                         F.element_at(expected, c["column"]), c["observed_type"]))
+    torn = F.when(F.col("malformed") > 0, F.array(_issue(
+        2, F.lit(0), F.lit(ANY_COLUMN), MALFORMED_ROWS, F.concat(F.col("width"), F.lit(" cells in every row")),
+        F.concat(F.col("malformed"), F.lit(" rows that differ"))))).otherwise(F.array().cast(
+            "array<struct<_kind:int,_rank:int,column:string,issue:string,expected:string,observed:string>>"))
+    return F.array_sort(F.concat(missing, wrong, torn))
 
 
-def type_mismatches(observed: DataFrame, contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> DataFrame:
-    names, allowed, expected, _ = _contract_cols(contract)
-    return observed.where(
-        F.array_contains(names, F.col("column"))
-        & ~F.array_contains(F.element_at(allowed, F.col("column")), F.col("observed_type"))
-    ).select(
-        "file_name", "column", F.lit(INCOMPATIBLE).alias("issue"),
-        F.element_at(expected, F.col("column")).alias("expected"), F.col("observed_type").alias("observed"),
-    )
+ISSUE_FIELDS = ("column", "issue", "expected", "observed")
+
+
+def issues(profiles: DataFrame, contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> DataFrame:
+    """All issues, with the columns (_kind, _rank) that order those of a file."""
+    return profiles.select("file_name", F.explode(_issue_array(contract)).alias("i")).select(
+        "file_name", *[f"i.{c}" for c in ISSUE_FIELDS], "i._kind", "i._rank")
 
 
-def issues(observed: DataFrame, contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> DataFrame:
-    """All issues with a sort key: files by name; per file missing columns by
-    name first, then type issues in contract order."""
-    _, _, _, order = _contract_cols(contract)
-    miss = missing_columns(observed, contract).withColumn("_kind", F.lit(0)).withColumn("_rank", F.lit(0))
-    bad = type_mismatches(observed, contract).withColumn("_kind", F.lit(1)).withColumn(
-        "_rank", F.element_at(order, F.col("column")))
-    return miss.unionByName(bad)
+def missing_columns(profiles: DataFrame, contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> DataFrame:
+    return issues(profiles, contract).where(F.col("issue") == MISSING).select("file_name", *ISSUE_FIELDS)
 
 
-def ordered_issues(observed: DataFrame, contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> DataFrame:
-    return issues(observed, contract).orderBy("file_name", "_kind", "_rank", "column").drop("_kind", "_rank")
+def type_mismatches(profiles: DataFrame, contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> DataFrame:
+    return issues(profiles, contract).where(F.col("issue") == INCOMPATIBLE).select("file_name", *ISSUE_FIELDS)
 
 
-def additive_columns(observed: DataFrame, contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> DataFrame:
-    """(file_name, additive_columns sorted; empty array when none)."""
-    names, _, _, _ = _contract_cols(contract)
-    return per_file_columns(observed).select(
-        "file_name", F.array_sort(F.array_except(F.col("columns"), names)).alias("additive_columns"))
+def malformed_rows(profiles: DataFrame, contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> DataFrame:
+    return issues(profiles, contract).where(F.col("issue") == MALFORMED_ROWS).select("file_name", *ISSUE_FIELDS)
 
 
-def files_checked(observed: DataFrame) -> DataFrame:
-    return observed.agg(F.count_distinct("file_name").alias("files_checked"))
+def ordered_issues(profiles: DataFrame, contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> DataFrame:
+    return issues(profiles, contract).orderBy("file_name", "_kind", "_rank", "column").drop("_kind", "_rank")
+
+
+def additive_columns(profiles: DataFrame, contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> DataFrame:
+    """(file_name, additive_columns sorted; empty array when none), one row a batch."""
+    names = F.array(*[F.lit(c) for c in contract])
+    extra = F.array_except(_columns(), names)
+    return profiles.groupBy("batch", "file_name").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(extra)))).alias("additive_columns")).drop("batch")
+
+
+def files_checked(profiles: DataFrame) -> DataFrame:
+    return profiles.agg(F.count_distinct("batch").alias("files_checked"))
 
 
 @dataclass(frozen=True)
@@ -213,33 +250,40 @@ class ContractSummary:
 
 def inspect(spark: SparkSession, paths: str | Sequence[str],
             contract: Mapping[str, Sequence[str]] = RAW_CONTRACT,
-            file_headers: list[FileHeader] | None = None) -> ContractSummary:
-    """Run the contract once; the small report (per file) is collected."""
+            file_headers: list[FileHeader] | None = None, multiline: bool = False) -> ContractSummary:
+    """Run the contract in one job. The driver gets one row for each batch that has an
+    issue or an additive column."""
     hs = file_headers if file_headers is not None else headers(spark, paths)
     if not hs:
         return ContractSummary(0, {}, [])
-    # The verdict table is small (batches x columns): one distributed job
-    # produces it, the reports are then derived from a local copy.
-    verdicts = observed_types(spark, paths, hs)
-    observed = spark.createDataFrame(verdicts.collect(), verdicts.schema)
-    add = {r["file_name"]: list(r["additive_columns"]) for r in additive_columns(observed, contract).collect()}
-    iss = [Issue(r["file_name"], r["column"], r["issue"], r["expected"], r["observed"])
-           for r in ordered_issues(observed, contract).collect()]
-    return ContractSummary(len(add), dict(sorted(add.items())), iss)
+    names = F.array(*[F.lit(c) for c in contract])
+    report = profile(spark, paths, hs, multiline).select(
+        "batch", "file_name", F.array_except(_columns(), names).alias("extra"), _issue_array(contract).alias("issues"))
+    found = report.where((F.size("extra") > 0) | (F.size("issues") > 0)).collect()
+    batches = {h.batch: h.label for h in hs}
+    shared = Counter(batches.values())
+    add: dict[str, set[str]] = {label if shared[label] == 1 else batch: set() for batch, label in batches.items()}
+    bad = []
+    for r in found:
+        add[r["file_name"]].update(r["extra"])
+        bad += [(r["file_name"], i["_kind"], i["_rank"], *(i[c] for c in ISSUE_FIELDS)) for i in r["issues"]]
+    return ContractSummary(len(batches), {name: sorted(extra) for name, extra in sorted(add.items())},
+                           [Issue(row[0], *row[3:]) for row in sorted(bad)])
 
 
 def enforce(spark: SparkSession, paths: str | Sequence[str],
-            contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> ContractSummary:
+            contract: Mapping[str, Sequence[str]] = RAW_CONTRACT, file_headers: list[FileHeader] | None = None,
+            multiline: bool = False) -> ContractSummary:
     """Raise before bronze when any batch breaks the contract."""
-    summary = inspect(spark, paths, contract)
+    summary = inspect(spark, paths, contract, file_headers, multiline)
     if summary.issues:
         raise ValueError(f"raw schema compatibility failed: {summary.detail()}")
     return summary
 
 
-def gate_row(observed: DataFrame, contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> DataFrame:
+def gate_row(profiles: DataFrame, contract: Mapping[str, Sequence[str]] = RAW_CONTRACT) -> DataFrame:
     """One row: passed, issue count, the joined detail text (as the raised message)."""
-    iss = issues(observed, contract)
+    iss = issues(profiles, contract)
     text = F.concat_ws(" ", F.concat_ws(":", "file_name", "column", "issue"),
                        F.lit("expected"), F.col("expected"), F.lit("observed"), F.col("observed"))
     ordered = F.sort_array(F.collect_list(F.struct("file_name", "_kind", "_rank", "column", text.alias("t"))))

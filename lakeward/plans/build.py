@@ -43,8 +43,6 @@ def build_all(spark: SparkSession, input_paths: str | Sequence[str], output_root
     hs = B.headers(spark, input_paths)
     if not hs:
         raise FileNotFoundError(f"no input files match {input_paths}")
-    summary = CT.inspect(spark, input_paths, settings.contract, hs)
-    if summary.issues:
-        raise ValueError(f"raw schema compatibility failed: {summary.detail()}")
-    raw = B.read_batches(spark, input_paths, hs)
+    CT.enforce(spark, input_paths, settings.contract, hs, settings.multiline_csv)
+    raw = B.read_batches(spark, input_paths, hs, multiline=settings.multiline_csv)
     return build_layers(spark, raw, output_root, settings)

@@ -77,13 +77,14 @@ from (
            when regexp_full_match(trim(value), '-?(0|[1-9][0-9]*)') then
                 case when try_cast(trim(value) as bigint) is not null then 2 else 4 end
            when regexp_full_match(trim(value), '-?(([0-9]+\\.[0-9]*|\\.[0-9]+)([eE][-+]?[0-9]+)?|[0-9]+[eE][-+]?[0-9]+)|NaN') then 8
-           when regexp_full_match(trim(value), '[0-9]{2}:[0-9]{2}:[0-9]{2}') then 16
-           when regexp_full_match(trim(value), '[0-9]{4}-[0-9]{2}-[0-9]{2}') then 32
+           when regexp_full_match(trim(value), '([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]') then 16
+           when regexp_full_match(trim(value), '[0-9]{4}-[0-9]{2}-[0-9]{2}')
+                and try_cast(trim(value) as date) is not null then 32
            when regexp_full_match(trim(value), '[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\\.[0-9]+)?)?')
-                then 64
+                and try_cast(trim(value) as timestamp) is not null then 64
            when regexp_full_match(trim(value),
                 '[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\\.[0-9]+)?)?(Z|[+-][0-9]{2}(:?[0-9]{2})?)')
-                then 128
+                and try_cast(trim(value) as timestamptz) is not null then 128
            else 256 end as bit
     from cells) group by 1, 2)"""
 
@@ -235,26 +236,26 @@ def q_missing_layers(spark, sf):
 
 # ------------------------------------------------------------------ C: contract
 
-def _observed(spark, sf):
+def _profile(spark, sf):
     glob = _csv(spark, sf, "breaking")
-    return CT.observed_types(spark, glob)
+    return CT.profile(spark, glob)
 
 
 @register("infer_file_schema", contract_sql('select file_name, "column", observed_type from observed'))
 def q_infer(spark, sf):
-    return _observed(spark, sf).select("file_name", "column", "observed_type")
+    return CT.observed_types(spark, _csv(spark, sf, "breaking")).select("file_name", "column", "observed_type")
 
 
 @register("contract_missing_columns", contract_sql("""
 select file_name, "column", issue, expected, observed from issues where kind = 0"""))
 def q_missing_cols(spark, sf):
-    return CT.missing_columns(_observed(spark, sf))
+    return CT.missing_columns(_profile(spark, sf))
 
 
 @register("contract_type_mismatch", contract_sql("""
 select file_name, "column", issue, expected, observed from issues where kind = 1"""))
 def q_type_mismatch(spark, sf):
-    return CT.type_mismatches(_observed(spark, sf))
+    return CT.type_mismatches(_profile(spark, sf))
 
 
 @register("contract_additive_columns", contract_sql("""
@@ -262,19 +263,19 @@ select file_name, coalesce(string_agg(case when "column" not in (select column_n
        ',' order by "column"), '') as additive_columns
 from observed group by 1"""))
 def q_additive(spark, sf):
-    return CT.additive_columns(_observed(spark, sf)).select(
+    return CT.additive_columns(_profile(spark, sf)).select(
         "file_name", F.array_join("additive_columns", ",").alias("additive_columns"))
 
 
 @register("contract_files_checked", contract_sql("select count(distinct file_name) as files_checked from observed"))
 def q_files_checked(spark, sf):
-    return CT.files_checked(_observed(spark, sf))
+    return CT.files_checked(_profile(spark, sf))
 
 
 @register("contract_issue_report", contract_sql("""
 select file_name, "column", issue, expected, observed from issues order by file_name, kind, rnk, "column" """))
 def q_issue_report(spark, sf):
-    return CT.ordered_issues(_observed(spark, sf))
+    return CT.ordered_issues(_profile(spark, sf))
 
 
 @register("contract_gate", contract_sql("""
@@ -283,7 +284,7 @@ select count(*) = 0 as passed, count(*) as issue_count,
                            || observed, '; ' order by file_name, kind, rnk, "column"), '') as detail
 from issues"""))
 def q_gate(spark, sf):
-    return CT.gate_row(_observed(spark, sf))
+    return CT.gate_row(_profile(spark, sf))
 
 
 @register("contract_gate_clean", with_ctes("oe", """
@@ -291,7 +292,7 @@ select true as passed, cast(0 as bigint) as issue_count, '' as detail from (sele
 def q_gate_clean(spark, sf):
     """The gate on the clean batches (reordered and additive columns only): passes."""
     glob = _csv(spark, sf, "clean")
-    return CT.gate_row(CT.observed_types(spark, glob))
+    return CT.gate_row(CT.profile(spark, glob))
 
 
 @register("fn_type_name", with_ctes("oe", """
@@ -353,10 +354,10 @@ def flatten_summary(summary_df: DataFrame) -> DataFrame:
 
 def _lazy_summary(spark, sf):
     glob = _csv(spark, sf)
-    observed = CT.observed_types(spark, glob)
+    profiles = CT.profile(spark, glob)
     m = Q.metrics(oe_layers(spark, sf))
-    return V.summary_from_frames(m, FR.layer_freshness(m), CT.files_checked(observed),
-                                 CT.additive_columns(observed))
+    return V.summary_from_frames(m, FR.layer_freshness(m), CT.files_checked(profiles),
+                                 CT.additive_columns(profiles))
 
 
 @register("validation_summary", with_ctes(("metrics", "freshness_status"), SUMMARY_FLAT_SQL))

@@ -34,8 +34,10 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--shuffle-partitions", type=int, default=None,
                         help="initial shuffle partitions; size for ~128-256 MB per partition of the largest "
                              "shuffle (dedupe), AQE coalesces the small ones")
+    parser.add_argument("--multiline", action="store_true",
+                        help="accept quoted line breaks in the CSV input (one task per file)")
     args = parser.parse_args(argv)
-    settings = Settings(money_total_type=args.money_total_type)
+    settings = Settings(money_total_type=args.money_total_type, multiline_csv=args.multiline)
 
     spark = builder("lakeward-job", shuffle_partitions=args.shuffle_partitions).getOrCreate()
     if args.command == "build":

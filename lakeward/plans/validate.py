@@ -70,13 +70,10 @@ def first_failed_gate(checks_df: DataFrame) -> str | None:
     return Q.first_failure(checks_df.collect())
 
 
-def validate(spark: SparkSession, output_root: str, input_paths: str | Sequence[str] | None = None,
+def validate(spark: SparkSession, output_root: str, input_paths: str | Sequence[str],
              settings: Settings = DEFAULT) -> ValidationSummary:
     """Validate built layers; raises ``FileNotFoundError``/``ValueError`` on failure."""
-    if input_paths is not None:
-        schema = CT.enforce(spark, input_paths, settings.contract)
-    else:
-        schema = CT.ContractSummary(0, {}, [])
+    schema = CT.enforce(spark, input_paths, settings.contract, multiline=settings.multiline_csv)
     assert_layers_exist(spark, output_root)
     layers = read_layers(spark, output_root)
     m = metrics_row(spark, layers, settings)

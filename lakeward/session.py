@@ -8,7 +8,6 @@ is created only when that setting is unset (tests, single-machine runs).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -68,15 +67,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder path under the checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/lakeward/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_dir(path: str) -> str | None:
-    """Filesystem path for a ``file:`` URI or a plain path; None otherwise."""
-    if path.startswith("file:"):
-        p = path[len("file:"):]
-        while p.startswith("//"):
-            p = p[1:]
-        return p
-    if "://" in path:
-        return None
-    return os.path.abspath(path)

@@ -1,64 +1,50 @@
 """CSV order-event batches, columns matched by header name.
 
-A *batch* is one path matched by the input glob: a single CSV file (as the
-reference lands them) or a directory of part files (as Spark writers produce).
+A *batch* is one CSV file, as landed; the ``part-*`` files that a Spark writer
+leaves in one folder are together one batch, named by that folder. A batch is
+known by its full path everywhere; its basename is only a label in reports.
+
 Spark's multi-file CSV reader maps columns by position, so files whose
 headers differ (reordered, added or renamed columns) would silently shift
 values. Here:
 
-1. one distributed job reads the first line of every file (``headers``),
-   touching only the head of each file;
-2. files are grouped by distinct header, each group is read with an
+1. the files are listed once (``headers``): the gate and the build read that
+   list, so a file that lands in between waits for the next run;
+2. one distributed job reads the first line of every file, touching only its head;
+3. files are grouped by distinct header, each group is read with an
    all-string schema named by that header;
-3. the groups are combined with ``unionByName(allowMissingColumns=True)``.
+4. the groups are combined with ``unionByName(allowMissingColumns=True)``.
 
-Only file paths and header lines reach the driver (metadata, one row per
-file); the rows themselves never leave the executors.
+Paths and header lines reach the driver (one row per file, as in Spark's own
+file index); the rows themselves never leave the executors.
 """
 
 from __future__ import annotations
 
 import csv
 import io
-import os
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SCHEME = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/]*)?"
-
-
-def _qualify(pattern: str) -> str:
-    if re.match(r"^[A-Za-z][A-Za-z0-9+.\-]*:", pattern):
-        return pattern
-    return os.path.abspath(pattern)
-
-
-def _depth(pattern: str) -> int:
-    path = re.sub(_SCHEME, "", _qualify(pattern))
-    return len([c for c in path.split("/") if c])
+#: Holds the text of a row whose cells don't match the header.
+MALFORMED = "_malformed_row"
+#: A longer first line is an error.
+MAX_HEADER_BYTES = 1 << 24
 
 
 def _as_list(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _batch_of(file_path: str, patterns: Sequence[str]) -> str:
-    """The glob-matched entry a file belongs to: the file itself, or the batch
-    directory that contains it (the first path components, as many as the
-    matching pattern has)."""
-    for p in sorted(patterns, key=_depth):
-        prefix = re.sub(_SCHEME, "", re.sub(r"[*?\[{].*$", "", _qualify(p)))
-        if prefix in file_path:
-            m = re.match(_SCHEME + r"(?:/[^/]+){%d}" % _depth(p), file_path)
-            if m:
-                return m.group(0)
-    m = re.match(_SCHEME + r"(?:/[^/]+){%d}" % _depth(patterns[0]), file_path)
-    return m.group(0) if m else file_path
+def _batch_of(file_path: str) -> str:
+    folder, _, name = file_path.rpartition("/")
+    return folder if name.startswith("part-") else file_path
 
 
 def _label_of(batch: str) -> str:
@@ -70,6 +56,22 @@ def batch_label(batch: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(batch, r"[^/]+$", 0), r"^[^=/]+=", "")
 
 
+def as_pattern(path: str) -> str:
+    """A path that Spark's readers, which expand patterns, take literally."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def plain_path(path: str) -> str:
+    """One form for a path that names no host: ``file:/x`` for ``file:///x`` too."""
+    return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):///", r"\1:/", path)
+
+
+def plain_paths(file_path: Column) -> Column:
+    """``plain_path`` of the URL-encoded paths that file metadata carries."""
+    plain = F.replace(F.replace(file_path, F.lit(":///"), F.lit(":/")), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(plain)
+
+
 @dataclass(frozen=True)
 class FileHeader:
     file_path: str
@@ -84,48 +86,67 @@ class FileHeader:
 
 
 def parse_header(line: str) -> tuple[str, ...]:
-    line = line.lstrip("﻿").rstrip("\r\n")
-    row = next(csv.reader(io.StringIO(line)), [])
-    return tuple(c for c in row)
-
-
-def _first_lines_fn(head_bytes: int = 1 << 16):
+    """Column names of a header line. An unnamed column is named by its place; a name
+    that an earlier column has (in any case) gets a number."""
+    cells = next(csv.reader(io.StringIO(line.lstrip("﻿").rstrip("\r\n"))), [])
+    out: list[str] = []
+    taken: set[str] = set()
+    for place, cell in enumerate(cells):
+        base = name = cell or f"column{place}"
+        n = 0
+        while name.lower() in taken:
+            n += 1
+            name = f"{base}_{n}"
+        taken.add(name.lower())
+        out.append(name)
+    return tuple(out)
+
+
+def _first_lines_fn(head_bytes: int = 1 << 16, max_bytes: int = MAX_HEADER_BYTES):
     """mapInPandas body: the first line of each file, reading only its head.
 
     Built as a closure that imports only the standard library, pandas and
     pyarrow, so it is shipped to executors by value: the workers do not need
-    this package installed. A file pyarrow cannot open yields a NULL header
-    (the caller falls back to Spark's text reader for those)."""
+    this package installed. A file in a store that pyarrow has no client for yields
+    a NULL header (the caller falls back to Spark's text reader for those); any
+    other error ends the job."""
 
     def first_lines(batches):
         import re as _re
-        from urllib.parse import unquote
+        from urllib.parse import unquote as _unquote
 
         import pandas as pd
+        import pyarrow as pa
         import pyarrow.fs as pafs
 
         def location(uri: str):
             if uri.startswith("file:"):
-                return pafs.LocalFileSystem(), unquote(_re.sub(r"^file:(//)?", "", uri))
+                return pafs.LocalFileSystem(), _re.sub(r"^file:(//)?", "", uri)
             scheme = uri.split(":", 1)[0]
             mapped = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-            return pafs.FileSystem.from_uri(mapped + uri[len(scheme):])
+            try:
+                return pafs.FileSystem.from_uri(mapped + uri[len(scheme):])
+            except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                return None
 
         for pdf in batches:
             heads = []
             for uri in pdf["file_path"]:
-                try:
-                    fs, path = location(uri)
-                    with fs.open_input_stream(path, compression="detect") as stream:
-                        buf = b""
-                        while b"\n" not in buf and len(buf) < (1 << 24):
-                            chunk = stream.read(head_bytes)
-                            if not chunk:
-                                break
-                            buf += chunk
-                    heads.append(buf.split(b"\n", 1)[0].decode("utf-8", errors="replace"))
-                except Exception:  # noqa: BLE001 - fall back to the Spark text scan
+                place = location(uri)
+                if place is None:
                     heads.append(None)
+                    continue
+                fs, path = place
+                with fs.open_input_stream(path, compression="detect") as stream:
+                    buf = b""
+                    while b"\n" not in buf:
+                        chunk = stream.read(head_bytes)
+                        if not chunk:
+                            break
+                        buf += chunk
+                        if len(buf) > max_bytes and b"\n" not in buf:
+                            raise ValueError(f"first line of {uri} is longer than {max_bytes} bytes")
+                heads.append(buf.split(b"\n", 1)[0].decode("utf-8", errors="replace"))
             yield pd.DataFrame({"file_path": pdf["file_path"], "header": heads})
 
     return first_lines
@@ -133,7 +154,7 @@ def _first_lines_fn(head_bytes: int = 1 << 16):
 
 def _headers_by_text_scan(spark: SparkSession, files: Sequence[str]) -> DataFrame:
     """First line per file via Spark's text reader (reads the whole files)."""
-    text = spark.read.text(list(files))
+    text = spark.read.text([as_pattern(f) for f in files])
     return (
         text.select(
             F.col("value"),
@@ -144,74 +165,87 @@ def _headers_by_text_scan(spark: SparkSession, files: Sequence[str]) -> DataFram
         .where(F.col("block_start") == 0)
         .groupBy("file_path")
         .agg(F.min_by("value", "pos").alias("header"))
+        .select(plain_paths(F.col("file_path")).alias("file_path"), "header")
     )
 
 
 def headers(spark: SparkSession, paths: str | Sequence[str]) -> list[FileHeader]:
-    """First line of every file under ``paths``.
+    """Every file under ``paths`` with its column names, the list that all later reads
+    of a run share. An empty file, or one whose first line is empty, has no columns.
 
     Files are listed with the ``binaryFile`` source without its content
-    column (listing only), then each task reads just the head of its files.
-    Only file paths and header lines reach the driver (one row per file)."""
-    patterns = _as_list(paths)
+    column (listing only), then each task reads just the head of its files."""
     listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(patterns)
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_as_list(paths))
         .select(F.col("path").alias("file_path"))
     )
+    # The scan leaves out files of no bytes, the list of the same index doesn't.
+    rows: dict[str, str | None] = {plain_path(unquote(f)): "" for f in listing.inputFiles()}
     heads = listing.mapInPandas(_first_lines_fn(), "file_path string, header string")
-    rows = {r["file_path"]: r["header"] for r in heads.collect()}
+    rows.update({plain_path(r["file_path"]): r["header"] for r in heads.collect()})
     unreadable = sorted(p for p, h in rows.items() if h is None)
     if unreadable:
         rows.update({r["file_path"]: r["header"] for r in _headers_by_text_scan(spark, unreadable).collect()})
     out = []
     for file_path, header in sorted(rows.items()):
-        batch = _batch_of(file_path, patterns)
+        batch = _batch_of(file_path)
         out.append(FileHeader(file_path, batch, _label_of(batch), parse_header(header or "")))
     return out
 
 
+def header_groups(
+    spark: SparkSession, file_headers: Sequence[FileHeader], trim_values: bool = False,
+    malformed: bool = False, multiline: bool = False,
+) -> Iterator[tuple[tuple[str, ...], DataFrame]]:
+    """(columns, frame) for each distinct header: all columns as strings and
+    ``source_file``, the batch path. ``malformed`` adds the text of each row whose
+    cells don't match the header (NULL for the others)."""
+    # The batch path of a row is a per-file constant, cut from the file path without
+    # a regular expression; only paths without a host
+    # or with special characters need rewriting.
+    groups: dict[tuple[tuple[str, ...], int, bool], list[str]] = {}
+    for h in file_headers:
+        if h.columns:
+            plain = re.fullmatch(r"[A-Za-z0-9+.-]+://[A-Za-z0-9/:._=-]*", h.file_path) is not None
+            groups.setdefault((h.columns, h.batch_slashes, plain), []).append(h.file_path)
+    for (cols, slashes, plain), files in sorted(groups.items()):
+        fields = [*cols, MALFORMED] if malformed else cols
+        df = (
+            spark.read.schema(T.StructType([T.StructField(c, T.StringType(), True) for c in fields]))
+            .option("header", "true")
+            .option("enforceSchema", "true")
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", MALFORMED)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("multiLine", str(multiline).lower())
+            .option("ignoreLeadingWhiteSpace", str(trim_values).lower())
+            .option("ignoreTrailingWhiteSpace", str(trim_values).lower())
+            .csv([as_pattern(f) for f in files])
+        )
+        path = F.col("_metadata.file_path")
+        batch = F.substring_index(path if plain else plain_paths(path), "/", slashes)
+        yield cols, df.select(*[F.col(f"`{c}`") for c in fields], batch.alias("source_file"))
+
+
 def read_batches(
     spark: SparkSession,
     paths: str | Sequence[str],
     file_headers: list[FileHeader] | None = None,
     with_label: bool = False,
-    trim_values: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """All columns of all batches as strings, matched by name, plus
     ``source_file`` (the batch path) and, optionally, ``source_batch``.
-    ``trim_values`` strips surrounding spaces in the parser (contract scan)."""
-    patterns = _as_list(paths)
-    hs = file_headers if file_headers is not None else headers(spark, patterns)
+
+    ``multiline`` accepts quoted line breaks; a file is then read by one task, so it is
+    off by default and the contract rejects the rows that such breaks tear."""
+    hs = file_headers if file_headers is not None else headers(spark, paths)
     if not hs:
-        raise FileNotFoundError(f"no input files match {patterns}")
-    # One read per (header, batch depth); the batch path of a row is a
-    # per-file constant, cut from the file path without a regular expression.
-    groups: dict[tuple[tuple[str, ...], int], list[str]] = {}
-    for h in hs:
-        groups.setdefault((h.columns, h.batch_slashes), []).append(h.file_path)
-    frames = []
-    for (cols, slashes), files in sorted(groups.items()):
-        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
-        reader = (
-            spark.read.schema(schema)
-            .option("header", "true")
-            .option("enforceSchema", "true")
-            .option("mode", "PERMISSIVE")
-            .option("ignoreLeadingWhiteSpace", str(trim_values).lower())
-            .option("ignoreTrailingWhiteSpace", str(trim_values).lower())
-        )
-        if len(groups) == 1:
-            # One header everywhere (the usual case): hand Spark the glob, not a
-            # per-file path list, and let its own listing find the same files.
-            df = reader.option("recursiveFileLookup", "true").csv(patterns)
-        else:
-            df = reader.csv(files)
-        bp = F.substring_index(F.col("_metadata.file_path"), "/", slashes)
-        extra = [bp.alias("source_file")]
-        if with_label:
-            extra.append(batch_label(bp).alias("source_batch"))
-        frames.append(df.select(*[F.col(f"`{c}`") for c in cols], *extra))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+        raise FileNotFoundError(f"no input files match {_as_list(paths)}")
+    out = None
+    for _, frame in header_groups(spark, hs, multiline=multiline):
+        out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"no input file under {_as_list(paths)} has a header")
+    return out.withColumn("source_batch", batch_label(F.col("source_file"))) if with_label else out

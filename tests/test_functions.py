@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from lakeward.functions import columns as X
@@ -41,3 +43,29 @@ def test_money_overflow_raises(spark):
     df = spark.createDataFrame([("12345678901.00",)], "a string")
     with pytest.raises(Exception):
         df.select(X.as_decimal_money("a")).collect()
+
+
+@pytest.fixture(params=[("false", "America/New_York"), ("true", "Asia/Tokyo")])
+def other_session(spark, request):
+    old = spark.conf.get("spark.sql.ansi.enabled"), spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.ansi.enabled", request.param[0])
+    spark.conf.set("spark.sql.session.timeZone", request.param[1])
+    yield spark
+    spark.conf.set("spark.sql.ansi.enabled", old[0])
+    spark.conf.set("spark.sql.session.timeZone", old[1])
+
+
+@pytest.mark.parametrize("text,wall", [
+    ("2026-03-08 02:30:00", "2026-03-08 02:30:00"), ("2026-03-08T02:30:00.25", "2026-03-08 02:30:00.25"),
+    ("2026-03-08 02:30:00+02:00", "2026-03-08 00:30:00"), ("2026-03-08 02:30:00Z", "2026-03-08 02:30:00"),
+    ("1969-12-31 23:00:00.5-0100", "1970-01-01 00:00:00.5"), ("2026-03-08", "2026-03-08 00:00:00"), (None, None)])
+def test_wall_clock_ignores_the_session_zone(other_session, text, wall):
+    df = other_session.createDataFrame([(text,)], "t string")
+    assert df.select(X.to_wall_clock("t").cast("string")).first()[0] == wall
+
+
+@pytest.mark.parametrize("cast,text", [(X.as_decimal_money, "99999999999.00"), (X.as_decimal_money, "x"),
+                                       (X.to_wall_clock, "2026-02-30 09:00:00"), (X.to_wall_clock, "2026-02-30 09:00:00Z")])
+def test_bad_text_raises_in_any_mode(other_session, cast, text):
+    with pytest.raises(Exception, match="not a"):
+        other_session.createDataFrame([(text,)], "t string").select(cast("t")).collect()
