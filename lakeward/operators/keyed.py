@@ -68,7 +68,10 @@ def rank_column(
     keys: Sequence[str],
     order_desc: Sequence[str],
     rank_col: str,
+    upto: int = 1,
 ) -> DataFrame:
-    """``df`` plus its ``row_number`` within ``keys`` (star plus computed column)."""
+    """``df`` plus its ``row_number`` within ``keys`` (star plus computed column), for the
+    first ``upto`` rows of a key: no task ever holds all rows of a hot key."""
     w = Window.partitionBy(*keys).orderBy(*[_desc(c) for c in order_desc])
-    return df.withColumn(rank_col, F.row_number().over(w).cast("bigint"))
+    ranked = df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= upto)
+    return ranked.withColumn(rank_col, F.col(rank_col).cast("bigint"))

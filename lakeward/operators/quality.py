@@ -8,7 +8,7 @@ per-layer results are stitched into a single row by ``union`` + ``max``
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,30 +67,28 @@ def duplicate_key_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def metrics(layers: Mapping[str, DataFrame], settings: Settings = DEFAULT) -> DataFrame:
-    """The 19 scalar metrics of a validation run as one row."""
+def _parts(settings: Settings) -> list[tuple[str, Callable[[DataFrame], DataFrame], dict[str, Column]]]:
+    """(layer, what is aggregated, metrics) for each pass over a layer."""
     money = settings.money_total_type
     delivered = X.is_status("status", settings.delivered)
-    bronze = layers[C.BRONZE]
-    silver = layers[C.SILVER]
-    latest = layers[C.LATEST]
-    daily = layers[C.GOLD_DAILY]
-    customer = layers[C.GOLD_CUSTOMER]
-
-    parts = [
-        _one_row(bronze, {
+
+    def whole(df: DataFrame) -> DataFrame:
+        return df
+
+    return [
+        (C.BRONZE, whole, {
             "bronze_rows": F.count(F.lit(1)),
             "source_max_ingestion_ts": F.max("ingestion_ts"),
             "bronze_max_ingestion_ts": F.max("ingestion_ts"),
-        }, settings),
-        _one_row(silver, {
+        }),
+        (C.SILVER, whole, {
             "silver_rows": F.count(F.lit(1)),
             "silver_max_ingestion_ts": F.max("ingestion_ts"),
-        }, settings),
-        _one_row(duplicate_key_count(silver, ["event_id"]), {
+        }),
+        (C.SILVER, lambda df: duplicate_key_count(df, ["event_id"]), {
             "duplicate_event_ids": F.max("duplicates"),
-        }, settings),
-        _one_row(latest, {
+        }),
+        (C.LATEST, whole, {
             "latest_state_rows": F.count(F.lit(1)),
             "delivered_revenue_from_silver": X.coalesce_zero(
                 F.sum(F.when(delivered, F.col("order_amount"))).cast(money), money),
@@ -99,24 +97,53 @@ def metrics(layers: Mapping[str, DataFrame], settings: Settings = DEFAULT) -> Da
             "source_max_event_ts": F.max("event_ts"),
             "source_max_event_date": F.max("event_date"),
             "latest_state_max_ingestion_ts": F.max("ingestion_ts"),
-        }, settings),
-        _one_row(daily, {
+        }),
+        (C.GOLD_DAILY, whole, {
             "delivered_revenue_from_gold_daily": coalesced_sum("delivered_revenue", money),
             "gold_daily_max_event_date": F.max("event_date"),
-        }, settings),
-        _one_row(customer, {
+        }),
+        (C.GOLD_CUSTOMER, whole, {
             "gold_customer_metric_rows": F.count(F.lit(1)),
             "delivered_revenue_from_gold_customer": coalesced_sum("delivered_revenue", money),
             "delivered_orders_from_gold_customer": X.coalesce_zero(F.sum("delivered_orders"), "bigint"),
             "customer_metrics_max_event_ts": F.max("latest_order_event_ts"),
-        }, settings),
+        }),
     ]
+
+
+def metric_layers(only: Collection[str]) -> set[str]:
+    """The layers that the named metrics read."""
+    return {layer for layer, _, exprs in _parts(DEFAULT) if not exprs.keys().isdisjoint(only)}
+
+
+def metrics(layers: Mapping[str, DataFrame], settings: Settings = DEFAULT,
+            only: Collection[str] = tuple(METRIC_TYPES)) -> DataFrame:
+    """The 19 scalar metrics of a validation run as one row; those not in ``only``
+    are NULL, and layers that none of the others needs aren't read."""
+    parts = []
+    for layer, prepared, exprs in _parts(settings):
+        wanted = {k: e for k, e in exprs.items() if k in only}
+        if wanted:
+            parts.append(_one_row(prepared(layers[layer]), wanted, settings))
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
     return union.agg(*[F.max(k).alias(k) for k in METRIC_TYPES])
 
 
+# check name -> the metrics it compares
+CHECK_METRICS: dict[str, tuple[str, ...]] = {
+    "bronze_non_empty": ("bronze_rows",),
+    "silver_non_empty": ("silver_rows",),
+    "silver_unique_events": ("duplicate_event_ids",),
+    "latest_non_empty": ("latest_state_rows",),
+    "customer_coverage": ("gold_customer_metric_rows", "distinct_customers_from_latest_state"),
+    "daily_revenue_reconciles": ("delivered_revenue_from_gold_daily", "delivered_revenue_from_silver"),
+    "customer_revenue_reconciles": ("delivered_revenue_from_gold_customer", "delivered_revenue_from_silver"),
+    "delivered_orders_reconcile": ("delivered_orders_from_gold_customer", "delivered_orders_from_latest_state"),
+}
+
+
 # (position, name, predicate over the metrics row, observed, expected)
 def _check_specs() -> list[tuple[int, str, Column, Column, Column]]:
     m = F.col
@@ -139,9 +166,6 @@ def _check_specs() -> list[tuple[int, str, Column, Column, Column]]:
     ]
 
 
-CHECK_NAMES: tuple[str, ...] = tuple(C.GATE_MESSAGES)
-
-
 def checks(metrics_row: DataFrame) -> DataFrame:
     """One row per gate: position, check_name, passed, observed, expected, message."""
     rows = [
@@ -175,16 +199,19 @@ def unique(df: DataFrame, table: str, column: str) -> DataFrame:
 
 def column_tests(tables: Mapping[str, DataFrame],
                  tests: Sequence[tuple[str, str, str]] = C.COLUMN_TESTS) -> DataFrame:
-    """All declared column tests over the given tables (missing tables skipped)."""
+    """All declared column tests over the given tables; each tested table must be given."""
+    absent = sorted({t[0] for t in tests} - tables.keys())
+    if absent:
+        raise KeyError(f"column tests name tables that aren't given: {', '.join(absent)}")
     frames: list[DataFrame] = []
     by_table: dict[str, list[str]] = {}
     for table, column, test in tests:
-        if table in tables and test == "not_null":
+        if test == "not_null":
             by_table.setdefault(table, []).append(column)
     for table, cols in by_table.items():
         frames.append(not_null(tables[table], table, cols))
     for table, column, test in tests:
-        if table in tables and test == "unique":
+        if test == "unique":
             frames.append(unique(tables[table], table, column))
     out = frames[0]
     for f in frames[1:]:

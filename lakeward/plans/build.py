@@ -9,7 +9,7 @@ small partial/final aggregations of gold.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,18 +21,30 @@ from lakeward.sources import batches as B
 from lakeward.sources.layout import layer_paths, read_layer, write_layer
 
 
-def build_layers(spark: SparkSession, raw: DataFrame, output_root: str,
-                 settings: Settings = DEFAULT) -> dict[str, str]:
-    """Bronze -> silver -> latest -> gold from an already-gated raw frame."""
-    paths = layer_paths(output_root)
-    write_layer(L.bronze(raw, settings), paths[C.BRONZE])
-    bronze = read_layer(spark, paths[C.BRONZE])
-    write_layer(L.silver(bronze, settings), paths[C.SILVER])
-    silver = read_layer(spark, paths[C.SILVER])
-    write_layer(L.latest_state(silver), paths[C.LATEST])
-    latest = read_layer(spark, paths[C.LATEST])
-    write_layer(L.daily_region_sales(latest, settings), paths[C.GOLD_DAILY])
-    write_layer(L.customer_metrics(latest, settings), paths[C.GOLD_CUSTOMER])
+# layer -> the layer it is made from
+UPSTREAM: dict[str, str] = {C.SILVER: C.BRONZE, C.LATEST: C.SILVER, C.GOLD_DAILY: C.LATEST, C.GOLD_CUSTOMER: C.LATEST}
+
+
+def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings: Settings = DEFAULT,
+                 wanted: Collection[str] = C.LAYERS) -> dict[str, str]:
+    """Bronze -> silver -> latest -> gold from an already-gated raw frame: the wanted
+    layers and those they are made from. Returns layer -> path."""
+    needed = set(wanted)
+    for layer in reversed(C.LAYERS):
+        if layer in needed and layer in UPSTREAM:
+            needed.add(UPSTREAM[layer])
+    made = {
+        C.BRONZE: lambda df: L.bronze(df, settings),
+        C.SILVER: lambda df: L.silver(df, settings),
+        C.LATEST: L.latest_state,
+        C.GOLD_DAILY: lambda df: L.daily_region_sales(df, settings),
+        C.GOLD_CUSTOMER: lambda df: L.customer_metrics(df, settings),
+    }
+    paths = {layer: path for layer, path in layer_paths(output_root).items() if layer in needed}
+    for layer in C.LAYERS:
+        if layer in needed:
+            source = read_layer(spark, paths[UPSTREAM[layer]]) if layer in UPSTREAM else raw
+            write_layer(made[layer](source), paths[layer])
     return paths
 
 

@@ -8,7 +8,7 @@ same result; queries without an oracle entry are checked on rows only.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +18,11 @@ from lakeward.functions import columns as X
 from lakeward.operators import keyed as K
 from lakeward.operators import layers as L
 from lakeward.operators import quality as Q
+from lakeward.plans.build import build_layers
 from lakeward.plans.oracle import with_ctes
+from lakeward.session import scratch_path
 from lakeward.sources.fixtures import order_events
+from lakeward.sources.layout import read_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,6 +52,13 @@ def oe_layers(spark: SparkSession, sf_dir: str, strategy: str = "window") -> dic
     }
 
 
+def built_layers(spark: SparkSession, sf_dir: str, wanted: Collection[str] = C.LAYERS) -> dict[str, DataFrame]:
+    """The wanted layers, each written once and read back: for queries that read more
+    than one, which would otherwise derive the lower layers again for each."""
+    paths = build_layers(spark, order_events(spark, sf_dir), scratch_path(spark, "warehouse"), wanted=wanted)
+    return {layer: read_layer(spark, path) for layer, path in paths.items()}
+
+
 def _keyed(spark, sf):
     return L.required_keys_present(L.bronze(order_events(spark, sf)))
 
@@ -112,7 +122,7 @@ def q_project_alias(spark, sf):
                                          "row_number() over (partition by event_id order by ingestion_ts desc nulls last, "
                                          "event_ts desc nulls last, order_amount desc nulls last, status desc nulls last, "
                                          "customer_id desc nulls last, source_file desc nulls last, order_id desc nulls last, "
-                                         "region desc nulls last) as dedupe_rank from keyed)"))
+                                         "region desc nulls last) as dedupe_rank from keyed) where dedupe_rank = 1"))
 def q_star_plus(spark, sf):
     return K.rank_column(_keyed(spark, sf), ["event_id"], L.DEDUPE_ORDER, "dedupe_rank")
 
@@ -134,8 +144,7 @@ from (select *, row_number() over (partition by order_id order by event_ts desc
       ingestion_ts desc nulls last, event_id desc nulls last) as latest_rank from silver)
 where latest_rank = 1"""))
 def q_rank_one(spark, sf):
-    ranked = K.rank_column(_silver(spark, sf), ["order_id"], L.LATEST_ORDER, "latest_rank")
-    return ranked.where(F.col("latest_rank") == 1).drop("latest_rank")
+    return K.rank_column(_silver(spark, sf), ["order_id"], L.LATEST_ORDER, "latest_rank").drop("latest_rank")
 
 
 @register("silver_projection", with_ctes("keyed", """
@@ -189,17 +198,21 @@ def q_cte_chain(spark, sf):
 # ---------------------------------------------------------------- W: windows
 
 @register("window_dedupe_rank", with_ctes("keyed", """
+select * from (
 select event_id, ingestion_ts, event_ts, row_number() over (partition by event_id order by ingestion_ts desc nulls last,
        event_ts desc nulls last, order_amount desc nulls last, status desc nulls last, customer_id desc nulls last,
-       source_file desc nulls last, order_id desc nulls last, region desc nulls last) as dedupe_rank from keyed"""))
+       source_file desc nulls last, order_id desc nulls last, region desc nulls last) as dedupe_rank from keyed)
+where dedupe_rank = 1"""))
 def q_window_dedupe(spark, sf):
     return K.rank_column(_keyed(spark, sf), ["event_id"], L.DEDUPE_ORDER, "dedupe_rank").select(
         "event_id", "ingestion_ts", "event_ts", "dedupe_rank")
 
 
 @register("window_latest_rank", with_ctes("silver", """
+select * from (
 select order_id, event_id, event_ts, ingestion_ts, row_number() over (partition by order_id order by
-       event_ts desc nulls last, ingestion_ts desc nulls last, event_id desc nulls last) as latest_rank from silver"""))
+       event_ts desc nulls last, ingestion_ts desc nulls last, event_id desc nulls last) as latest_rank from silver)
+where latest_rank = 1"""))
 def q_window_latest(spark, sf):
     return K.rank_column(_silver(spark, sf), ["order_id"], L.LATEST_ORDER, "latest_rank").select(
         "order_id", "event_id", "event_ts", "ingestion_ts", "latest_rank")
@@ -207,13 +220,12 @@ def q_window_latest(spark, sf):
 
 @register("dedupe_events", with_ctes("deduped", "select * from deduped"))
 def q_dedupe_events(spark, sf):
-    # Same semantics as the window path, planned as partial/final max_by aggregation.
-    return K.keep_latest(_keyed(spark, sf), ["event_id"], L.DEDUPE_ORDER, strategy="aggregate")
+    return K.keep_latest(_keyed(spark, sf), ["event_id"], L.DEDUPE_ORDER)
 
 
 @register("latest_order_state", with_ctes("latest", "select * from latest"))
 def q_latest_order_state(spark, sf):
-    return L.latest_state(_silver(spark, sf), strategy="aggregate")
+    return L.latest_state(_silver(spark, sf))
 
 
 # ---------------------------------------------------------------- A: aggregations
@@ -260,7 +272,7 @@ union all select 'silver_orders', count(*) from silver
 union all select 'silver_latest_order_state', count(*) from latest
 union all select 'gold_customer_order_metrics', count(*) from customer_metrics"""))
 def q_layer_counts(spark, sf):
-    layers = oe_layers(spark, sf)
+    layers = built_layers(spark, sf, (C.BRONZE, C.SILVER, C.LATEST, C.GOLD_CUSTOMER))
     frames = [layers[n].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("layer"), "row_count")
               for n in (C.BRONZE, C.SILVER, C.LATEST, C.GOLD_CUSTOMER)]
     out = frames[0]
@@ -305,7 +317,7 @@ union all select 'gold_daily_region_sales',
 union all select 'gold_customer_order_metrics',
        coalesce(cast(sum(delivered_revenue) as decimal(12,2)), cast(0 as decimal(12,2))) from customer_metrics"""))
 def q_coalesced_revenue(spark, sf):
-    layers = oe_layers(spark, sf)
+    layers = built_layers(spark, sf)
     m = C.MONEY_TYPE
     a = L.delivered(layers[C.LATEST]).agg(Q.coalesced_sum("order_amount", m).alias("delivered_revenue"))
     b = layers[C.GOLD_DAILY].agg(Q.coalesced_sum("delivered_revenue", m).alias("delivered_revenue"))
@@ -330,7 +342,7 @@ WATERMARK_COLS = ("source_max_ingestion_ts", "source_max_event_ts", "source_max_
 
 @register("agg_watermarks", with_ctes("metrics", "select " + ", ".join(WATERMARK_COLS) + " from metrics"))
 def q_watermarks(spark, sf):
-    return Q.metrics(oe_layers(spark, sf)).select(*WATERMARK_COLS)
+    return Q.metrics(built_layers(spark, sf), only=WATERMARK_COLS).select(*WATERMARK_COLS)
 
 
 # ---------------------------------------------------------------- O: sorts

@@ -9,18 +9,26 @@ from lakeward.functions import columns as X
 from lakeward.operators import freshness as FR
 from lakeward.operators import layers as L
 from lakeward.operators import quality as Q
-from lakeward.plans.catalog import _silver, oe_layers, register
+from lakeward.plans import validate as V
+from lakeward.plans.catalog import _silver, built_layers, oe_layers, register
 from lakeward.plans.oracle import with_ctes
 from lakeward.sources.fixtures import order_events
 
 
-def _metrics(spark, sf):
-    return Q.metrics(oe_layers(spark, sf))
+WATERMARKS = tuple({m for source, mark, _ in FR.WATERMARKS.values() for m in (source, mark)})
+
+
+def _metrics(spark, sf, only=tuple(Q.METRIC_TYPES)):
+    """The metrics in ``only``. One layer is derived as the query runs; of several each
+    is built once and read back."""
+    used = Q.metric_layers(only)
+    layers = oe_layers(spark, sf) if len(used) == 1 else built_layers(spark, sf, used)
+    return Q.metrics(layers, only=only)
 
 
 def _check(name: str):
     def run(spark, sf):
-        return Q.checks(_metrics(spark, sf)).where(F.col("check_name") == name)
+        return Q.checks(_metrics(spark, sf, Q.CHECK_METRICS[name])).where(F.col("check_name") == name)
     return run
 
 
@@ -39,7 +47,7 @@ for _key, _name in (
 
 def _freshness(layer: str):
     def run(spark, sf):
-        return FR.layer_freshness(_metrics(spark, sf)).where(F.col("layer") == layer)
+        return FR.layer_freshness(_metrics(spark, sf, FR.WATERMARKS[layer][:2])).where(F.col("layer") == layer)
     return run
 
 
@@ -56,7 +64,7 @@ for _key, _layer in (
 
 @register("layer_freshness", with_ctes("freshness_status", "select * from freshness_status"))
 def q_layer_freshness(spark, sf):
-    return FR.layer_freshness(_metrics(spark, sf))
+    return FR.layer_freshness(_metrics(spark, sf, WATERMARKS))
 
 
 @register("validation_metrics", with_ctes("metrics", "select * from metrics"))
@@ -98,7 +106,7 @@ from {src}"""
 
 @register("freshness_gate", with_ctes("freshness_status", FRESHNESS_GATE_SQL.format(src="freshness_status")))
 def q_freshness_gate(spark, sf):
-    return FR.freshness_gate(FR.layer_freshness(_metrics(spark, sf)))
+    return FR.freshness_gate(FR.layer_freshness(_metrics(spark, sf, WATERMARKS)))
 
 
 @register("freshness_gate_tight_sla", with_ctes("freshness_status", FRESHNESS_GATE_SQL.format(src="""(
@@ -110,7 +118,7 @@ def q_freshness_gate_tight(spark, sf):
     """The same gate under SLAs no layer can meet (every layer breaches)."""
     from lakeward.config import Settings
     tight = Settings(sla_minutes={k: -1 for k in C.SLA_MINUTES}, sla_days={k: -1 for k in C.SLA_DAYS})
-    return FR.freshness_gate(FR.layer_freshness(_metrics(spark, sf), tight))
+    return FR.freshness_gate(FR.layer_freshness(_metrics(spark, sf, WATERMARKS), tight))
 
 
 @register("validation_checks", with_ctes(("freshness_status", "checks"), """
@@ -119,7 +127,7 @@ union all
 select 9, 'freshness_sla', passed, breached_layers, '', coalesce(message, '')
 from (""" + FRESHNESS_GATE_SQL.format(src="freshness_status") + ")"))
 def q_validation_checks(spark, sf):
-    m = _metrics(spark, sf)
+    m = V.metrics_row(spark, built_layers(spark, sf))
     gate = FR.freshness_gate(FR.layer_freshness(m)).select(
         F.lit(9).alias("position"), F.lit("freshness_sla").alias("check_name"), "passed",
         F.col("breached_layers").alias("observed"), F.lit("").alias("expected"),
@@ -157,8 +165,7 @@ select *, failures = 0 as passed from (
 
 
 def _test_tables(spark, sf):
-    layers = oe_layers(spark, sf)
-    return {"order_events": order_events(spark, sf), **layers}
+    return {"order_events": order_events(spark, sf), **built_layers(spark, sf)}
 
 
 @register("test_not_null", with_ctes(("oe", "bronze", "silver", "latest", "daily", "customer_metrics"), NOT_NULL_SQL))

@@ -15,10 +15,9 @@ from lakeward.functions import columns as X
 from lakeward.operators import contract as CT
 from lakeward.operators import freshness as FR
 from lakeward.operators import layers as L
-from lakeward.operators import quality as Q
 from lakeward.plans import validate as V
 from lakeward.plans.build import build_all, build_layers
-from lakeward.plans.catalog import _latest, _silver, oe_layers, register
+from lakeward.plans.catalog import _latest, _silver, built_layers, register
 from lakeward.plans.oracle import with_ctes
 from lakeward.session import scratch_path
 from lakeward.sources import batches as B
@@ -60,6 +59,10 @@ union all select source_batch, 'event_ts', event_ts from csv_text
 union all select source_batch, 'ingestion_ts', ingestion_ts from csv_text
 union all select source_batch, 'source_system', source_system from csv_text where source_batch = 'batch_2.csv'"""
 
+CLEAN_CELLS = "\nunion all ".join(
+    f"select source_batch as file_name, '{c}' as column_name, {c} as value from csv_text" for c in C.RAW_COLUMNS
+) + "\nunion all select source_batch, 'source_system', source_system from csv_text where source_batch = 'batch_2.csv'"
+
 # Class bits: BOOLEAN 1, BIGINT 2, HUGEINT 4, DOUBLE 8, TIME 16, DATE 32, TIMESTAMP 64, TIMESTAMPTZ 128, VARCHAR 256
 OBSERVED_CTE = """
 select file_name, column_name as "column",
@@ -107,13 +110,9 @@ from observed o join contract c on o."column" = c.column_name
 where not list_contains(string_split(c.expected, ', '), o.observed_type)"""
 
 
-def _contract_ctes() -> dict[str, str]:
-    return {"csv_text": TEXT_CTE, "cells": BREAKING_CELLS, "observed": OBSERVED_CTE,
-            "contract": CONTRACT_CTE, "issues": ISSUES_CTE}
-
-
-def contract_sql(body: str) -> str:
-    return with_ctes("oe", body, extra=_contract_ctes())
+def contract_sql(body: str, cells: str = BREAKING_CELLS) -> str:
+    return with_ctes("oe", body, extra={"csv_text": TEXT_CTE, "cells": cells, "observed": OBSERVED_CTE,
+                                        "contract": CONTRACT_CTE, "issues": ISSUES_CTE})
 
 
 # ------------------------------------------------------------------ S: sources
@@ -226,9 +225,7 @@ def q_missing_layers(spark, sf):
     """Only bronze, silver and latest are built; the gate sees the golds missing."""
     root = scratch_path(spark, "warehouse-partial")
     paths = layer_paths(root)
-    layers = oe_layers(spark, sf)
-    for layer in (C.BRONZE, C.SILVER, C.LATEST):
-        write_layer(layers[layer], paths[layer])
+    build_layers(spark, order_events(spark, sf), root, wanted=(C.LATEST,))
     present = {layer for layer in C.LAYERS if layer_exists(spark, paths[layer])}
     counts = _layout_counts(spark, root, present)
     return counts.select("layer", F.col("layer").isin(*sorted(present)).alias("layer_exists"), "row_count")
@@ -278,34 +275,32 @@ def q_issue_report(spark, sf):
     return CT.ordered_issues(_profile(spark, sf))
 
 
-@register("contract_gate", contract_sql("""
+GATE_SQL = """
 select count(*) = 0 as passed, count(*) as issue_count,
        coalesce(string_agg(file_name || ':' || "column" || ':' || issue || ' expected ' || expected || ' observed '
                            || observed, '; ' order by file_name, kind, rnk, "column"), '') as detail
-from issues"""))
+from issues"""
+
+
+@register("contract_gate", contract_sql(GATE_SQL))
 def q_gate(spark, sf):
     return CT.gate_row(_profile(spark, sf))
 
 
-@register("contract_gate_clean", with_ctes("oe", """
-select true as passed, cast(0 as bigint) as issue_count, '' as detail from (select 1 from oe limit 1)"""))
+@register("contract_gate_clean", contract_sql(GATE_SQL, CLEAN_CELLS))
 def q_gate_clean(spark, sf):
     """The gate on the clean batches (reordered and additive columns only): passes."""
     glob = _csv(spark, sf, "clean")
     return CT.gate_row(CT.profile(spark, glob))
 
 
-@register("fn_type_name", with_ctes("oe", """
-select * from (values ('customer_id', 'STRING'), ('event_id', 'STRING'), ('event_ts', 'TIMESTAMP_NTZ'),
-  ('ingestion_ts', 'TIMESTAMP_NTZ'), ('order_amount', 'DECIMAL'), ('order_id', 'STRING'), ('region', 'STRING'),
-  ('source_file', 'STRING'), ('status', 'STRING')) as t(column_name, type_name)"""))
+@register("fn_type_name", contract_sql("""
+select file_name, "column", regexp_replace(upper(trim(observed_type)), '^DECIMAL *[(].*[)]$', 'DECIMAL') as type_name
+from observed""", CLEAN_CELLS))
 def q_type_name(spark, sf):
-    """Normalised type names of every value of the order-event view."""
-    oe = order_events(spark, sf)
-    cells = oe.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.typeof(F.col(c)).alias("t")) for c in oe.columns
-    ])).alias("c")).select("c.*")
-    return cells.groupBy("column_name").agg(F.max(X.type_name("t")).alias("type_name"))
+    """Normalised type names of the columns of the clean batches."""
+    seen = CT.observed_types(spark, _csv(spark, sf, "clean"))
+    return seen.select("file_name", "column", X.type_name("observed_type").alias("type_name"))
 
 
 # ------------------------------------------------------------------ B / V: build and validate
@@ -333,14 +328,36 @@ def q_build_all(spark, sf):
     return out
 
 
+SUMMARY_CTES = {"csv_text": TEXT_CTE, "adds": """
+select source_batch, max(case when source_system is not null then 'source_system' end) as added
+from csv_text group by 1"""}
+
 SUMMARY_FLAT_SQL = """
-select cast(4 as bigint) as schema_files_checked, 'batch_2.csv:source_system' as schema_additive_columns,
+select (select count(*) from adds) as schema_files_checked,
+       (select coalesce(string_agg(source_batch || ':' || added, ',' order by source_batch), '')
+        from adds where added is not null) as schema_additive_columns,
        bronze_rows, silver_rows, duplicate_event_ids, latest_state_rows, gold_customer_metric_rows,
        delivered_revenue_from_silver, delivered_revenue_from_gold_daily, delivered_revenue_from_gold_customer,
        delivered_orders_from_latest_state, delivered_orders_from_gold_customer,
        (select string_agg(layer || ':' || status, ',' order by position) from freshness_status) as layer_freshness
 from metrics"""
 
+SUMMARY_JSON_SQL = """
+select '{"schema_files_checked":' || (select count(*) from adds)
+  || ',"schema_additive_columns":{' || (select string_agg('"' || source_batch || '":['
+       || coalesce('"' || added || '"', '') || ']', ',' order by source_batch) from adds) || '}'
+""" + "".join(
+    f"  || ',\"{k}\":" + (f"\"' || {k} || '\"'" if k.startswith("delivered_revenue") else f"' || {k}") + "\n"
+    for k in V.SUMMARY_SCALARS[1:]) + """
+  || ',"layer_freshness":[' || (select string_agg('{"layer":"' || layer || '","source_timestamp":"' || source_timestamp
+       || '","layer_timestamp":"' || layer_timestamp
+       || '","lag_minutes":' || coalesce(cast(lag_minutes as varchar), 'null')
+       || ',"lag_days":' || coalesce(cast(lag_days as varchar), 'null')
+       || ',"sla_minutes":' || coalesce(cast(sla_minutes as varchar), 'null')
+       || ',"sla_days":' || coalesce(cast(sla_days as varchar), 'null')
+       || ',"status":"' || status || '"}', ',' order by position) from freshness_status) || ']}' as validation
+from metrics"""
+
 
 def flatten_summary(summary_df: DataFrame) -> DataFrame:
     adds = F.transform(
@@ -352,26 +369,26 @@ def flatten_summary(summary_df: DataFrame) -> DataFrame:
         *V.SUMMARY_SCALARS[1:], F.array_join(fresh, ",").alias("layer_freshness"))
 
 
-def _lazy_summary(spark, sf):
+def _summary(spark, sf):
     glob = _csv(spark, sf)
     profiles = CT.profile(spark, glob)
-    m = Q.metrics(oe_layers(spark, sf))
+    m = V.metrics_row(spark, built_layers(spark, sf))
     return V.summary_from_frames(m, FR.layer_freshness(m), CT.files_checked(profiles),
                                  CT.additive_columns(profiles))
 
 
-@register("validation_summary", with_ctes(("metrics", "freshness_status"), SUMMARY_FLAT_SQL))
+@register("validation_summary", with_ctes(("metrics", "freshness_status"), SUMMARY_FLAT_SQL, SUMMARY_CTES))
 def q_summary(spark, sf):
-    """Summary assembled lazily: contract over the CSV batches, metrics over the layers."""
-    return flatten_summary(_lazy_summary(spark, sf))
+    """Summary from frames: contract over the CSV batches, metrics over layers built once."""
+    return flatten_summary(_summary(spark, sf))
 
 
-@register("validation_summary_json")
+@register("validation_summary_json", with_ctes(("metrics", "freshness_status"), SUMMARY_JSON_SQL, SUMMARY_CTES))
 def q_summary_json(spark, sf):
-    return V.summary_json(_lazy_summary(spark, sf))
+    return V.summary_json(_summary(spark, sf))
 
 
-@register("validate_layers", with_ctes(("metrics", "freshness_status"), SUMMARY_FLAT_SQL))
+@register("validate_layers", with_ctes(("metrics", "freshness_status"), SUMMARY_FLAT_SQL, SUMMARY_CTES))
 def q_validate(spark, sf):
     """Build from the CSV batches, then the read-only validation run."""
     glob = _csv(spark, sf)

@@ -193,6 +193,12 @@ def headers(spark: SparkSession, paths: str | Sequence[str]) -> list[FileHeader]
     return out
 
 
+def input_bytes(spark: SparkSession, paths: str | Sequence[str]) -> int:
+    """Bytes of all files under ``paths``, from the listing alone."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_as_list(paths))
+    return listing.agg(F.sum("length")).first()[0] or 0
+
+
 def header_groups(
     spark: SparkSession, file_headers: Sequence[FileHeader], trim_values: bool = False,
     malformed: bool = False, multiline: bool = False,

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.sources.small import join_small
-
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -34,25 +32,12 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
-    # Dimension chain, smallest first: nation -> region is tiny by
-    # definition; join_small broadcasts only after checking the row bound.
-    # Each join below matches the unique key of its right side, so the result
-    # has at most as many rows as the left base table: that table's count is
-    # the proven bound of the side that gets broadcast next.
-    nation_region = join_small(nation, region, F.col("n_regionkey") == F.col("r_regionkey"), max_rows=10_000)
-    cust_region = join_small(
-        customer, nation_region, F.col("c_nationkey") == F.col("n_nationkey"), max_rows=10_000,
-        bounded_by=nation,
-    ).select("c_custkey", "r_name")
-    # customer and orders grow with the data: broadcast only under a row
-    # bound (1M rows of two or three narrow columns), else a sort-merge
-    # shuffle join that AQE can split when a key is skewed.
-    order_region = join_small(
-        orders, cust_region, F.col("o_custkey") == F.col("c_custkey"), max_rows=1_000_000,
-        bounded_by=customer,
-    ).select("o_orderkey", "o_custkey", "r_name")
-    joined = join_small(li, order_region, F.col("l_orderkey") == F.col("o_orderkey"), max_rows=1_000_000,
-                        bounded_by=orders)
+    # No hints: Spark broadcasts a side by its size in bytes, the rest is shuffled by key.
+    customer_region = (customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+                       .join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("c_custkey", "r_name"))
+    order_region = orders.join(customer_region, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", "o_custkey", "r_name")
+    joined = li.join(order_region, F.col("l_orderkey") == F.col("o_orderkey"))
 
     return joined.select(
         F.concat(F.lit("evt-"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("event_id"),

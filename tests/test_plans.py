@@ -4,16 +4,23 @@ from __future__ import annotations
 
 import contextlib
 import io
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from lakeward import config as C
 from lakeward.operators import contract as CT
 from lakeward.operators import layers as L
+from lakeward.operators.keyed import rank_column
 from lakeward.plans.build import build_all
 from lakeward.sources.layout import read_layers
 
 
+SF = "/root/testdata/sf0.001"
+
+
 def plan_text(df) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
@@ -77,3 +84,21 @@ def test_contract_aggregates_per_batch_before_the_shuffle(spark, golden_dir):
     # no per-value explode before the first aggregation: the explode works on per-batch rows
     first_partial = text.index("partial_bit_or")
     assert "Generate" not in text[first_partial:] or text.index("Generate") < first_partial
+
+
+def test_hot_key_ranks_are_cut_before_the_shuffle(spark):
+    keyed = L.required_keys_present(L.bronze(_hot_bronze(spark)))
+    ranked = rank_column(keyed, ["event_id"], L.DEDUPE_ORDER, "dedupe_rank")
+    text = plan_text(ranked)
+    assert text.index("Exchange") < text.rindex("WindowGroupLimit") and "Partial" in text
+    assert {r["dedupe_rank"] for r in ranked.select("dedupe_rank").distinct().collect()} == {1}
+
+
+def test_a_check_reads_only_its_layers(spark):
+    if not os.path.exists(SF):
+        pytest.skip("driver test data not present")
+    queries = E.queries()
+    # The five source tables once each; a check on two layers reads just those two.
+    assert plan_text(queries["check_bronze_non_empty"](spark, SF)).count("\nLocation:") == 5
+    assert plan_text(queries["check_customer_coverage"](spark, SF)).count("\nLocation:") == 2
+    assert plan_text(queries["freshness_silver"](spark, SF)).count("\nLocation:") == 2
