@@ -14,7 +14,8 @@ Defined cases: an interval holds its first moment and not its last; at one momen
 a removal wins over an addition; a removal without an addition does nothing;
 entries with a null field are ignored; a capture with a null or unparsable url,
 or a null time, matches nothing and is allowed; repeated captures get a row each;
-repeated entries count once; other columns are ignored.
+repeated entries count once; letter case and slashes at the end of a pattern mean
+nothing; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,11 +39,16 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
+def as_pattern(text: Column) -> Column:
+    """Lower-case, without slashes at the end."""
+    return F.regexp_replace(F.lower(text), r"/+$", "")
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """(list, kind, pattern, since, until) from (list, kind, pattern, at, action);
     until is null while the entry stands."""
     own = Window.partitionBy("list", "kind", "pattern").orderBy("at", "action")
-    clean = entries.select("list", "kind", F.lower("pattern").alias("pattern"), "at", "action").dropna().distinct()
+    clean = entries.select("list", "kind", as_pattern(F.col("pattern")).alias("pattern"), "at", "action").dropna().distinct()
     spans = clean.withColumn("until", F.lead("at").over(own)).where(F.col("action") == "add")
     return spans.select("list", "kind", "pattern", F.col("at").alias("since"), "until").where("until is null or until > since")
 
@@ -56,7 +62,7 @@ def lookups(captures: DataFrame) -> DataFrame:
         F.lit("domain").alias("kind"), F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("pattern")))
     parts = F.filter(F.split("_path", "/"), lambda x: x != "")
     leading = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.struct(
-        F.lit("prefix").alias("kind"), F.lower(F.concat_ws("/", F.col("_host"), F.array_join(F.slice(parts, 1, i), "/"))).alias("pattern")))
+        F.lit("prefix").alias("kind"), as_pattern(F.concat_ws("/", F.col("_host"), F.array_join(F.slice(parts, 1, i), "/"))).alias("pattern")))
     return urls.select("url", "at", F.inline(F.array_distinct(F.concat(domains, leading))))
 
 
