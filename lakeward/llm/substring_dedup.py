@@ -5,7 +5,7 @@ starts that a hash of the next few bytes picks, so a passage that stands inside
 different lines is cut alike in each, but for its ends. Units meet if they agree
 in a band of their MinHash signature over word shingles; in each bucket all units
 are compared with one leader by the exact Jaccard similarity, and those that fail
-are compared with all others of the bucket. Before any text is fetched, 64 bits of
+are compared with all others of the bucket. Before any pair meets its shingles, 256 bits of
 each unit rule out pairs that can't reach the similarity. Verified links make components. Of
 each component the document of least id keeps its units; adjacent units of another
 document that repeat the same one make a span, reported if it has ``SPAN_WORDS``
@@ -44,6 +44,8 @@ SPAN_WORDS = 24
 #: Rows after which a task that collects bands sends what it has.
 HELD = 200_000
 SEED = 42
+#: Columns of 64 bits that mark a unit's shingles.
+BITS = [f"bits{k}" for k in range(4)]
 #: Stands for a null id: the greatest.
 LAST_ID = (1 << 63) - 1
 
@@ -187,21 +189,22 @@ def stars(bands: DataFrame) -> DataFrame:
 def may_be_near() -> Column:
     """A condition that every pair (a, b) of sufficient similarity J meets: it differs in at
     most (1 / J - 1) of the smaller set's shingles, each of which changes one bit."""
-    return F.bit_count(F.col("a_bits").bitwiseXOR(F.col("b_bits"))) <= (1 / SIMILARITY - 1) * F.least("a_grams", "b_grams") + 1e-9
+    changed = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in BITS), F.lit(0))
+    return changed <= (1 / SIMILARITY - 1) * F.least("a_grams", "b_grams") + 1e-9
 
 
 def marked(pairs: DataFrame, marks: DataFrame, side: str) -> DataFrame:
     """``pairs`` with the bits and shingle number of one side."""
-    own = marks.select(F.col("h").alias(side), F.col("bits").alias(f"{side}_bits"), F.size("grams").alias(f"{side}_grams"))
+    own = marks.select(F.col("h").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in BITS), F.size("grams").alias(f"{side}_grams"))
     return salted_lookup(pairs, own, [side], "b" if side == "a" else "a", how="inner")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(h, bits, grams) of the units in (doc, hs): from one document that holds each, its
-    shingle hashes and one of 64 bits for each of them."""
+    """(h, BITS, grams) of the units in (doc, hs): from one document that holds each, its
+    shingle hashes and one of 256 bits for each of them."""
 
     def sets(batches):
-        schema = pa.schema([("h", pa.int64()), ("bits", pa.int64()), ("grams", pa.list_(pa.int64()))])
+        schema = pa.schema([("h", pa.int64()), *((c, pa.int64()) for c in BITS), ("grams", pa.list_(pa.int64()))])
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
                 part, words, own = batch.slice(at, 100), [], []
@@ -217,12 +220,13 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
                 if words:
                     gram, begin = shingled(words)
                     grams = [np.unique(g).view(np.int64) for g in np.split(gram, begin[1:])]
-                    bits = np.bitwise_or.reduceat(np.uint64(1) << (gram >> np.uint64(58)), begin).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), pa.array(bits), pa.array(grams, pa.list_(pa.int64()))], schema=schema)
+                    bit, column = np.uint64(1) << (gram >> np.uint64(58)), gram >> np.uint64(56) & np.uint64(len(BITS) - 1)
+                    bits = [np.bitwise_or.reduceat(np.where(column == k, bit, np.uint64(0)), begin).view(np.int64) for k in range(len(BITS))]
+                    yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), *map(pa.array, bits), pa.array(grams, pa.list_(pa.int64()))], schema=schema)
 
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"), F.col(text_col).alias("text"))
     found = texts.join(wanted.hint("merge"), "doc").select("text", "hs")
-    return found.mapInArrow(sets, "h long, bits long, grams array<long>").dropDuplicates(["h"])
+    return found.mapInArrow(sets, f"h long, {', '.join(f'{c} long' for c in BITS)}, grams array<long>").dropDuplicates(["h"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -245,8 +249,8 @@ def unit_links(docs: DataFrame, units: DataFrame, of_unit: DataFrame, id_col: st
     good = cut(verified(spokes, sets), "spokes")
     # A unit that isn't linked to its leader is held against the others of the bucket.
     alone = members.join(good.hint("merge"), ["a", "b"], "left_anti").select(
-        "key", F.col("b").alias("a"), F.col("b_bits").alias("a_bits"), F.col("b_grams").alias("a_grams"))
-    close = alone.join(members.select("key", "b", "b_bits", "b_grams").hint("merge"), "key").where((F.col("a") != F.col("b")) & may_be_near())
+        "key", F.col("b").alias("a"), *(F.col(f"b_{c}").alias(f"a_{c}") for c in (*BITS, "grams")))
+    close = alone.join(members.select("key", "b", *(f"b_{c}" for c in (*BITS, "grams"))).hint("merge"), "key").where((F.col("a") != F.col("b")) & may_be_near())
     more = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return good.unionAll(verified(more, sets))
 
