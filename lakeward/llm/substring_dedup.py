@@ -7,9 +7,16 @@ in a band of their MinHash signature over word shingles; in each bucket all unit
 are compared with one leader by the exact Jaccard similarity, and those that fail
 are compared with all others of the bucket. Before any pair meets its shingles, 256 bits of
 each unit rule out pairs that can't reach the similarity. Verified links make components. Of
-each component the document of least id keeps its units; adjacent units of another
-document that repeat the same one make a span, reported if it has ``SPAN_WORDS``
-words or more.
+each component the document of least id keeps its units.
+
+Equal passages are found wherever they begin and end: of every ``SPAN_WORDS`` words in a
+row, the word gram of least hash is an anchor, so each run of that length that two
+documents share holds a common anchor. Anchors of several documents are followed to
+both sides: where all holders go on alike up to the next anchor, that stretch repeats
+as the anchor does; elsewhere each gram near the anchor is looked up by itself.
+
+Units and grams of a document that repeat the same one of smaller id and touch or overlap
+make a span, reported if it has ``SPAN_WORDS`` words or more.
 
 Bands and rows follow from the target recall at the least similarity. Equal units
 are one node, and each task sends a unit at most once for every ``HELD`` rows it
@@ -51,7 +58,14 @@ LAST_ID = (1 << 63) - 1
 
 BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - SIMILARITY**ROWS))
 SENTENCE = re.compile(r"[.!?][ \t]+(?=\S)|\n")
-UNITS = "doc_id long, unit int, start int, n_chars int, n_words int, h long, bands array<long>"
+KEY = "doc_id long, doc long, row long"
+UNITS = f"{KEY}, first int, start int, n_chars int, n_words int, h long, bands array<long>"
+PIECE = "first int, last int, start int, stop int"
+#: Bytes that part words, as in bytes.split(), a random number for each byte, an odd base and its inverse.
+SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+BYTE = np.random.default_rng(SEED).integers(0, 1 << 63, 256, dtype=np.uint64)
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -109,7 +123,147 @@ def unit_hash(words: list[bytes]) -> int:
     return xxhash.xxh64_intdigest(b" ".join(words), SEED)
 
 
-def paragraph_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, doc, row, text): doc is the id, and LAST_ID for null ids."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.select("doc_id", F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), F.xxhash64("text").alias("row"), "text")
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def word_table(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """Of all words of the texts in turn: hash, text, and start and end in code points."""
+    parts = [t.encode() for t in texts]
+    raw = np.frombuffer(b"\n".join(parts).lower() + b"\n", np.uint8)
+    space = SPACE[raw]
+    begin = np.flatnonzero(~space & np.r_[True, space[:-1]])
+    end = np.flatnonzero(~space[:-1] & space[1:]) + 1
+    total = np.r_[np.uint64(0), np.cumsum(BYTE[raw] * powers(BASE, len(raw)), dtype=np.uint64)]
+    code = mixed((total[end] - total[begin]) * powers(INVERSE, len(raw))[begin])
+    text = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), begin, "right")
+    before = np.cumsum([0, *(len(t) + 1 for t in texts)])[text]
+    points = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)]
+    return code, text, points[begin] - before, points[end] - before
+
+
+def word_grams(code: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the k words from each word on; grams that cross texts are among them."""
+    n = max(len(code) - k + 1, 0)
+    gram = np.zeros(n, np.uint64)
+    for j in range(k):
+        gram = gram * np.uint64(BASE) + code[j : j + n]
+    return mixed(gram)
+
+
+def anchors_of(gram: np.ndarray, text: np.ndarray, k: int, w: int) -> np.ndarray:
+    """Positions of the least gram (the last of equal ones) of each w grams in a row of one text."""
+    n = len(text) - k - w + 2
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    best, at = gram[:n].copy(), np.arange(n)
+    for j in range(1, w):
+        less = gram[j : j + n] <= best
+        best[less], at[less] = gram[j : j + n][less], np.flatnonzero(less) + j
+    return np.unique(at[text[:n] == text[k + w - 2 :]])
+
+
+def anchor_rows(texts: DataFrame, k: int, w: int) -> DataFrame:
+    """(KEY, at, h, before, after): each anchor, and hashes of what stands from the anchor
+    before, or the text's start, to its end, and from its start on likewise."""
+
+    def rows(batches):
+        for batch in batches:
+            for lot in range(0, batch.num_rows, 200):
+                part = batch.slice(lot, 200)
+                code, text, _, _ = word_table([t or "" for t in part.column(3).to_pylist()])
+                gram = word_grams(code, k)
+                at = anchors_of(gram, text, k, w)
+                if not len(at):
+                    continue
+                own = text[at]
+                first, last = np.searchsorted(text, own), np.searchsorted(text, own, "right")
+                fresh = np.r_[True, own[1:] != own[:-1]]
+                done = np.r_[fresh[1:], True]
+                left = np.where(fresh, first, np.r_[0, at[:-1]])
+                right = np.where(done, last, np.r_[at[1:], 0] + k)
+                total = np.r_[np.uint64(0), np.cumsum(code * powers(BASE, len(code)), dtype=np.uint64)]
+                back = powers(INVERSE, len(code))
+                before = mixed((total[at + k] - total[left]) * back[left] + fresh.astype(np.uint64))
+                after = mixed((total[right] - total[at]) * back[at] + done.astype(np.uint64))
+                who = pa.array(own)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c).take(who) for c in range(3)), pa.array((at - first).astype(np.int32)),
+                     *(pa.array(x.view(np.int64)) for x in (gram[at], before, after))],
+                    names=["doc_id", "doc", "row", "at", "h", "before", "after"])
+
+    return texts.mapInArrow(rows, f"{KEY}, at int, h long, before long, after long")
+
+
+def gram_pieces(texts: DataFrame, wanted: DataFrame, k: int, w: int) -> DataFrame:
+    """(KEY, PIECE, h, low) of texts with common anchors: stretches known to repeat document
+    ``low``, and the grams near anchors whose holders part, whose documents aren't known yet."""
+
+    def rows(batches):
+        for batch in batches:
+            for lot in range(0, batch.num_rows, 100):
+                part = batch.slice(lot, 100)
+                code, text, start, stop = word_table([t or "" for t in part.column(3).to_pylist()])
+                gram, offset = word_grams(code, k), np.searchsorted(text, np.arange(part.num_rows + 1))
+                docs, out = part.column(1).to_pylist(), []
+                for n, held in enumerate(part.column(4).to_pylist()):
+                    size = offset[n + 1] - offset[n]
+                    here = np.array(sorted({(x["at"], x["low"], x["parts_before"], x["parts_after"]) for x in held}), np.int64).reshape(-1, 4)
+                    at, low, ask = here[:, 0], here[:, 1], np.zeros(size - k + 1, bool)
+                    # The anchors of a text are the least grams of its windows; those that aren't common are needed too.
+                    every = anchors_of(gram[offset[n] : offset[n + 1] - k + 1], np.zeros(size, np.int64), k, w)
+                    place = np.searchsorted(every, at)
+                    left = np.where(place > 0, every[np.maximum(place - 1, 0)], 0)
+                    right = np.where(place + 1 < len(every), every[np.minimum(place + 1, len(every) - 1)] + k, size)
+                    for p in at[here[:, 2] == 1]:
+                        ask[max(p - w + 1, 0) : p] = True
+                    for p in at[here[:, 3] == 1]:
+                        ask[p + 1 : p + w] = True
+                    known = low != docs[n]
+                    pieces = np.c_[np.where(here[:, 2] == 1, at, left), np.where(here[:, 3] == 1, at + k, right)]
+                    asked = np.flatnonzero(ask)
+                    first = np.r_[pieces[known, 0], asked]
+                    last = np.r_[pieces[known, 1], asked + k]
+                    h = np.r_[np.zeros(known.sum(), np.int64), gram[offset[n] + asked].view(np.int64)]
+                    out.append((np.full(len(first), n), first, last, start[offset[n] + first], stop[offset[n] + last - 1], h,
+                                np.r_[low[known], np.zeros(len(asked), np.int64)], np.r_[np.ones(known.sum(), bool), np.zeros(len(asked), bool)]))
+                who, *place, h, low, sure = (np.concatenate(x) for x in zip(*out))
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c).take(pa.array(who)) for c in range(3)), *(pa.array(x.astype(np.int32)) for x in place),
+                     pa.array(h, mask=sure), pa.array(low, mask=~sure)],
+                    names=["doc_id", "doc", "row", "first", "last", "start", "stop", "h", "low"])
+
+    found = texts.join(wanted.hint("merge"), ["doc", "row"]).select("doc_id", "doc", "row", "text", "anchors")
+    return found.mapInArrow(rows, f"{KEY}, {PIECE}, h long, low long")
+
+
+def equal_pieces(texts: DataFrame, span_words: int) -> DataFrame:
+    """(KEY, PIECE, keep): word ranges that stand in a document of smaller id too; every
+    run of ``span_words`` that does is covered from end to end."""
+    k = (span_words + 1) // 2
+    w = span_words - k + 1
+    rows = cut(anchor_rows(texts, k, w), "anchors")
+    parts = lambda c: (F.min(c) != F.max(c)).cast("int")
+    common = cut(rows.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), parts("before").alias("parts_before"), parts("after").alias("parts_after"))
+                 .where("low != high").drop("high"), "common-anchors")
+    met = salted_lookup(rows.select("doc", "row", "at", "h"), common, ["h"], "doc", how="inner")
+    wanted = met.groupBy("doc", "row").agg(F.collect_list(F.struct("at", "low", "parts_before", "parts_after")).alias("anchors"))
+    pieces = cut(gram_pieces(texts, wanted, k, w), "pieces")
+    asked = pieces.where("low is null").drop("low")
+    least = asked.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low != high").drop("high")
+    more = salted_lookup(asked, least, ["h"], "doc", how="inner").where("low != doc")
+    return pieces.where("low is not null").drop("h").unionByName(more.drop("h")).withColumnRenamed("low", "keep")
+
+
+def paragraph_units(texts: DataFrame) -> DataFrame:
     """One row per unit: where it is, its hash and its band keys."""
 
     def units(batches):
@@ -117,11 +271,14 @@ def paragraph_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 where, words, owner = [], [], []
-                for row, text in enumerate(part.column(1).to_pylist()):
-                    for n, (start, end) in enumerate(unit_ranges(text or "")):
+                for row, text in enumerate(part.column(3).to_pylist()):
+                    first = upto = 0
+                    for start, end in unit_ranges(text or ""):
                         own = text[start:end].encode().lower().split()
+                        first, upto = first + len(text[upto:start].encode().split()), end
                         if own:
-                            where.append((n, start, end - start, len(own)))
+                            where.append((first, start, end - start, len(own)))
+                            first += len(own)
                             words.append(own)
                             owner.append(row)
                 if not words:
@@ -131,11 +288,11 @@ def paragraph_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 place = np.array(where, np.int32)
                 ends = np.arange(0, keys.size + 1, BANDS, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(owner)), *(pa.array(place[:, k]) for k in range(4)), pa.array(h),
+                    [*(part.column(c).take(pa.array(owner)) for c in range(3)), *(pa.array(place[:, k]) for k in range(4)), pa.array(h),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
-                    names=["doc_id", "unit", "start", "n_chars", "n_words", "h", "bands"])
+                    names=["doc_id", "doc", "row", "first", "start", "n_chars", "n_words", "h", "bands"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(units, UNITS)
+    return texts.mapInArrow(units, UNITS)
 
 
 def band_rows(units: DataFrame) -> DataFrame:
@@ -199,7 +356,7 @@ def marked(pairs: DataFrame, marks: DataFrame, side: str) -> DataFrame:
     return salted_lookup(pairs, own, [side], "b" if side == "a" else "a", how="inner")
 
 
-def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def shingle_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, BITS, grams) of the units in (doc, hs): from one document that holds each, its
     shingle hashes and one of 256 bits for each of them."""
 
@@ -224,8 +381,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
                     bits = [np.bitwise_or.reduceat(np.where(column == k, bit, np.uint64(0)), begin).view(np.int64) for k in range(len(BITS))]
                     yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), *map(pa.array, bits), pa.array(grams, pa.list_(pa.int64()))], schema=schema)
 
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"), F.col(text_col).alias("text"))
-    found = texts.join(wanted.hint("merge"), "doc").select("text", "hs")
+    found = texts.select("doc", "text").join(wanted.hint("merge"), "doc").select("text", "hs")
     return found.mapInArrow(sets, f"h long, {', '.join(f'{c} long' for c in BITS)}, grams array<long>").dropDuplicates(["h"])
 
 
@@ -238,12 +394,12 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(common >= SIMILARITY * (F.size("_a") + F.size("_b") - common) - 1e-9).select("a", "b")
 
 
-def unit_links(docs: DataFrame, units: DataFrame, of_unit: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def unit_links(texts: DataFrame, units: DataFrame, of_unit: DataFrame) -> DataFrame:
     """(a, b): verified links between different units that share a band."""
     buckets = cut(stars(band_rows(units)), "buckets")
     nodes = buckets.select(F.col("leader").alias("h")).unionAll(buckets.select(F.col("member").alias("h"))).distinct()
     wanted = of_unit.join(nodes.hint("merge"), "h").groupBy(F.col("low").alias("doc")).agg(F.collect_list("h").alias("hs"))
-    sets = cut(shingle_sets(docs, wanted, id_col, text_col), "unit-shingles")
+    sets = cut(shingle_sets(texts, wanted), "unit-shingles")
     members = cut(marked(buckets.select("key", F.col("leader").alias("a"), F.col("member").alias("b")), sets, "b"), "members")
     spokes = marked(members, sets, "a").where(may_be_near()).select("a", "b").distinct()
     good = cut(verified(spokes, sets), "spokes")
@@ -258,18 +414,21 @@ def unit_links(docs: DataFrame, units: DataFrame, of_unit: DataFrame, id_col: st
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span_words: int = SPAN_WORDS) -> DataFrame:
     """(doc_id, span_start, span_chars, n_words, keep_doc_id): code points of a text
     that repeat a document of smaller id."""
-    units = cut(paragraph_units(docs, id_col, text_col), "units")
-    doc = F.coalesce("doc_id", F.lit(LAST_ID))
-    of_unit = cut(units.groupBy("h").agg(F.min(doc).alias("low"), F.max(doc).alias("high")), "unit-documents")
-    roots = components(unit_links(docs, units, of_unit, id_col, text_col)).withColumnRenamed("node", "h")
+    texts = keyed(docs, id_col, text_col)
+    units = cut(paragraph_units(texts), "units")
+    of_unit = cut(units.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")), "unit-documents")
+    roots = components(unit_links(texts, units, of_unit)).withColumnRenamed("node", "h")
     placed = of_unit.join(roots.hint("merge"), "h", "left").withColumn("root", F.coalesce("root", "h"))
     across = placed.groupBy("root").agg(F.min("low").alias("keep"), F.max("high").alias("last")).where("keep != last")
     repeated = salted_lookup(placed.select("h", "root"), across.select("root", "keep"), ["root"], "h", how="inner").select("h", "keep")
-    spread = units.select("doc_id", "unit", "start", "n_chars", "n_words", "h").withColumn("_doc", doc)
-    again = salted_lookup(spread, repeated, ["h"], "_doc", how="inner").where(F.col("_doc") != F.col("keep"))
-    # Adjacent units that repeat the same document make a span.
-    run = F.col("unit") - F.row_number().over(Window.partitionBy("doc_id", "keep").orderBy("unit", "start"))
-    spans = again.withColumn("_run", run).groupBy("doc_id", "keep", "_run").agg(
-        F.min("start").alias("span_start"), F.max(F.col("start") + F.col("n_chars")).alias("_end"), F.sum("n_words").alias("n_words"))
+    again = salted_lookup(units.drop("bands"), repeated, ["h"], "doc", how="inner").where("doc != keep").select(
+        "doc_id", "doc", "row", "first", (F.col("first") + F.col("n_words")).alias("last"), "start", (F.col("start") + F.col("n_chars")).alias("stop"), "keep")
+    pieces = again.unionByName(equal_pieces(texts, span_words))
+    # Pieces that touch or overlap of one keep make a span.
+    row = Window.partitionBy("doc", "row", "keep").orderBy("first", "last", "stop", "start", "keep")
+    met = F.coalesce(F.col("first") > F.max("last").over(row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    spans = pieces.withColumn("_fresh", met.cast("int")).withColumn("_run", F.sum("_fresh").over(row.rowsBetween(Window.unboundedPreceding, 0))).groupBy(
+        "doc_id", "doc", "row", "keep", "_run").agg(F.min("start").alias("span_start"), F.max("stop").alias("_end"),
+                                            (F.max("last") - F.min("first")).alias("n_words"))
     return spans.where(F.col("n_words") >= span_words).select(
-        "doc_id", "span_start", (F.col("_end") - F.col("span_start")).alias("span_chars"), "n_words", F.col("keep").alias("keep_doc_id"))
+        "doc_id", "span_start", (F.col("_end") - F.col("span_start")).alias("span_chars"), F.col("n_words").cast("long").alias("n_words"), F.col("keep").alias("keep_doc_id"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -120,3 +121,20 @@ def test_repeated_passages(spark):
     rows = [(i, say(6) + (" " + passage if i % 4 == 0 else "")) for i in range(24)] + [(99, None), (100, "")]
     got = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"] for r in got} == {4, 8, 12, 16, 20} and {r["keep_doc_id"] for r in got} == {0}
+
+
+def test_passages_inside_lines_to_their_ends(spark):
+    prepare(spark)
+    rng = random.Random(3)
+    say = lambda n: [f"é{rng.randrange(10**6)}" for _ in range(n)]
+    rows, wanted = [], {}
+    for i, n in enumerate([23, 24, 25, 30, 51, 51, 51, 60, 80, 120] * 4):
+        passage = say(n)
+        for doc in (2 * i, 2 * i + 1):
+            before = " ".join(say(60 + rng.randrange(60))) + " "
+            text = " ".join(passage)
+            rows.append((doc, before + text + " " + " ".join(say(60 + rng.randrange(60)))))
+            if n >= 24 and doc % 2:
+                wanted[doc] = (len(before), len(text), n, doc - 1)
+    got = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in got} == wanted and len(got) == len(wanted)
