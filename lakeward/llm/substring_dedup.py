@@ -15,8 +15,9 @@ documents share holds a common anchor. Anchors of several documents are followed
 both sides: where all holders go on alike up to the next anchor, that stretch repeats
 as the anchor does; elsewhere each gram near the anchor is looked up by itself.
 
-Units and grams of a document that repeat the same one of smaller id and touch or overlap
-make a span, reported if it has ``SPAN_WORDS`` words or more.
+Units and grams that repeat a document of smaller id and touch or overlap make a span,
+whichever documents they repeat; it is reported with the least of them if it has
+``SPAN_WORDS`` words or more.
 
 Bands and rows follow from the target recall at the least similarity. Equal units
 are one node, and each task sends a unit at most once for every ``HELD`` rows it
@@ -424,11 +425,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     again = salted_lookup(units.drop("bands"), repeated, ["h"], "doc", how="inner").where("doc != keep").select(
         "doc_id", "doc", "row", "first", (F.col("first") + F.col("n_words")).alias("last"), "start", (F.col("start") + F.col("n_chars")).alias("stop"), "keep")
     pieces = again.unionByName(equal_pieces(texts, span_words))
-    # Pieces that touch or overlap of one keep make a span.
-    row = Window.partitionBy("doc", "row", "keep").orderBy("first", "last", "stop", "start", "keep")
+    # Pieces that touch or overlap make a span, whichever documents they repeat.
+    row = Window.partitionBy("doc", "row").orderBy("first", "last", "stop", "start", "keep")
     met = F.coalesce(F.col("first") > F.max("last").over(row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
     spans = pieces.withColumn("_fresh", met.cast("int")).withColumn("_run", F.sum("_fresh").over(row.rowsBetween(Window.unboundedPreceding, 0))).groupBy(
-        "doc_id", "doc", "row", "keep", "_run").agg(F.min("start").alias("span_start"), F.max("stop").alias("_end"),
-                                            (F.max("last") - F.min("first")).alias("n_words"))
+        "doc_id", "doc", "row", "_run").agg(F.min("start").alias("span_start"), F.max("stop").alias("_end"),
+                                            (F.max("last") - F.min("first")).alias("n_words"), F.min("keep").alias("keep"))
     return spans.where(F.col("n_words") >= span_words).select(
         "doc_id", "span_start", (F.col("_end") - F.col("span_start")).alias("span_chars"), F.col("n_words").cast("long").alias("n_words"), F.col("keep").alias("keep_doc_id"))

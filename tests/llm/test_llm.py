@@ -138,3 +138,37 @@ def test_passages_inside_lines_to_their_ends(spark):
                 wanted[doc] = (len(before), len(text), n, doc - 1)
     got = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r["doc_id"]: tuple(r)[1:] for r in got} == wanted and len(got) == len(wanted)
+
+
+def test_repeated_runs_against_brute_force(spark):
+    prepare(spark)
+    rng = random.Random(5)
+    pool = [[f"w{rng.randrange(10**6)}" for _ in range(n)] for n in (24, 26, 31, 40, 55, 90)]
+    rows = []
+    for doc in range(60):
+        words = []
+        for _ in range(6):
+            a = rng.choice(pool)
+            at = rng.randrange(len(a))
+            words += a[at : at + rng.randrange(5, 60)] + [f"x{rng.randrange(10**6)}" for _ in range(rng.randrange(3))]
+        rows.append((doc, rng.choice([" ", "\n", "  "]).join(words)))
+    got = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    seen: set[tuple] = set()
+    for doc, text in rows:
+        at = [m.start() for m in re.finditer(r"\S+", text)]
+        words = text.split()
+        runs = [tuple(words[i : i + 24]) for i in range(len(words) - 23)]
+        needed = {p for i, r in enumerate(runs) if r in seen for p in at[i : i + 24]}
+        told = {p for r in got if r["doc_id"] == doc for p in at if r["span_start"] <= p < r["span_start"] + r["span_chars"]}
+        assert needed <= told
+        seen.update(runs)
+
+
+def test_runs_over_several_documents(spark):
+    prepare(spark)
+    rng = random.Random(7)
+    say = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    one, middle, two = say(20) + ".", say(20) + ".", say(20) + "."
+    rows = [(1, f"{say(30)}.\n{middle}\n{say(30)}."), (5, f"{say(30)}.\n{one}\n{middle}\n{two}"), (9, f"{one}\n{middle}\n{two}\n{say(30)}.")]
+    got = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["span_start"], r["n_words"], r["keep_doc_id"]) for r in got] == [(9, 0, 60, 1)]
