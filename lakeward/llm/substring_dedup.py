@@ -25,8 +25,8 @@ has read, so a passage that a third of all documents hold makes no large bucket.
 
 Defined cases: null and empty texts have no units; a unit shorter than a shingle
 is one shingle; repeats inside one document alone aren't reported; rows that
-repeat an id count as one document; a null id is a document of its own that
-keeps its units only if no other does; columns beside id and text are ignored;
+repeat an id count as one document, and equal ones among them as one row; each row
+of null id is a document of its own that keeps its units only if no other does; columns beside id and text are ignored;
 an empty table gives an empty result.
 """
 
@@ -54,7 +54,7 @@ HELD = 200_000
 SEED = 42
 #: Columns of 64 bits that mark a unit's shingles.
 BITS = [f"bits{k}" for k in range(4)]
-#: Stands for a null id: the greatest.
+#: Rows of null id count down from here.
 LAST_ID = (1 << 63) - 1
 
 BANDS = math.ceil(math.log(1 - RECALL) / math.log(1 - SIMILARITY**ROWS))
@@ -125,9 +125,12 @@ def unit_hash(words: list[bytes]) -> int:
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, doc, row, text): doc is the id, and LAST_ID for null ids."""
+    """(doc_id, doc, row, text): doc is the id or, for a null id, a number of the row's own;
+    row tells different texts of one id apart."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.select("doc_id", F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), F.xxhash64("text").alias("row"), "text")
+    nulls = cut(rows.where("doc_id is null").withColumn("doc", F.lit(LAST_ID) - F.monotonically_increasing_id()), "null-ids")
+    both = rows.where("doc_id is not null").withColumn("doc", F.col("doc_id")).unionByName(nulls)
+    return both.select("doc_id", "doc", F.xxhash64("text").alias("row"), "text")
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -431,5 +434,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = pieces.withColumn("_fresh", met.cast("int")).withColumn("_run", F.sum("_fresh").over(row.rowsBetween(Window.unboundedPreceding, 0))).groupBy(
         "doc_id", "doc", "row", "_run").agg(F.min("start").alias("span_start"), F.max("stop").alias("_end"),
                                             (F.max("last") - F.min("first")).alias("n_words"), F.min("keep").alias("keep"))
-    return spans.where(F.col("n_words") >= span_words).select(
-        "doc_id", "span_start", (F.col("_end") - F.col("span_start")).alias("span_chars"), F.col("n_words").cast("long").alias("n_words"), F.col("keep").alias("keep_doc_id"))
+    null = texts.where("doc_id is null").select(F.col("doc").alias("keep"), F.lit(True).alias("_null"))
+    told = salted_lookup(spans.where(F.col("n_words") >= span_words), null, ["keep"], "doc")
+    return told.select("doc_id", "span_start", (F.col("_end") - F.col("span_start")).alias("span_chars"), F.col("n_words").cast("long").alias("n_words"),
+                       F.when(F.col("_null").isNull(), F.col("keep")).alias("keep_doc_id"))

@@ -172,3 +172,16 @@ def test_runs_over_several_documents(spark):
     rows = [(1, f"{say(30)}.\n{middle}\n{say(30)}."), (5, f"{say(30)}.\n{one}\n{middle}\n{two}"), (9, f"{one}\n{middle}\n{two}\n{say(30)}.")]
     got = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert [(r["doc_id"], r["span_start"], r["n_words"], r["keep_doc_id"]) for r in got] == [(9, 0, 60, 1)]
+
+
+def test_rows_that_repeat_an_id_and_null_ids(spark):
+    prepare(spark)
+    rng = random.Random(8)
+    say = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(10)) + "."
+    text = "\n".join(say() for _ in range(5))
+    other = text + "\n" + say()
+    rows = [(1, text), (2, text), (2, text), (2, other), (None, text), (None, other)]
+    got = substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), r["span_start"], r["n_words"], r["keep_doc_id"]) for r in got) == [("2", 0, 50, 1)] * 2 + [("None", 0, 50, 1), ("None", 0, 60, 1)]
+    alone = substring_dedup.repeated_spans(spark.createDataFrame([(None, text), (None, text)], "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["n_words"], r["keep_doc_id"]) for r in alone] == [(None, 50, None)]
