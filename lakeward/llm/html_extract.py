@@ -8,12 +8,18 @@ share stays as a constant. Wrappers are made in each partition, then merged in
 rounds of eight partitions, so a host with a third of all pages is never gathered
 anywhere; a wrapper is as large as a page's structure, not its host.
 
-A page's main text is taken from its article (the element named or marked so, the
-longest if there are several), without parts that are navigation, headers,
-footers, asides, forms, scripts or, by their class, id or role, adverts, notices,
-comments and the like. In a page without such an element all of the body counts
-but for these parts and the texts that the wrapper of its host holds constant over
-``CONSTANT_PAGES`` pages or more.
+For every page, texts that the wrapper holds constant over all pages of the host (two at
+least) are the host's, the others the page's own. In a repeated group those texts are
+constant that each page has there. Where a host's pages are copies of each other, so
+that constants are most of an article, they stay.
+
+Tags and class words are hints within that: the main text is what stands in elements
+named or marked as article or main (the longest if there are several), if they hold
+any of the page's own text, and else all of the body; without parts that are navigation,
+headers, footers, asides, forms, scripts or, by their class, id or role, adverts, notices,
+comments and the like. In
+texts outside articles, ones that only some pages have are constant from
+``CONSTANT_PAGES`` pages on.
 
 Character references are decoded, white space inside a block becomes one space,
 and blocks are joined in page order by two newlines.
@@ -52,8 +58,10 @@ APART_NAMES = frozenset(
     "header login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promotion "
     "recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split())
 MAIN_NAMES = frozenset("article main articlebody".split())
+#: Marks of texts in articles lie above those of others; the mark that counts pages.
+INSIDE, PAGES = 1 << 32, -1
 FAN_IN_BITS = 3
-#: Pages that must agree on a text, and longest repeat and alignment that are tried.
+#: Pages that must agree on a text that not all have, and longest repeat and alignment that are tried.
 CONSTANT_PAGES, LONGEST_REPEAT, ALIGN_CELLS = 8, 16, 1 << 20
 
 
@@ -103,26 +111,27 @@ class Page:
         self.block: list[int] = []  # of each text; a number for each block
         self.apart: list[bool] = []
         self.main: list[int] = []  # the article that a text stands in, or -1
-        stack: list[tuple[str, bool, int]] = []
-        block, articles = 0, 0
+        self.path: list[int] = []  # hash of the tags around a text in its article, or 0
+        # Of each element: name, parent, ruled out, class words that do so, marked as an article, article, path.
+        nodes: list[tuple[str, int, bool, bool, bool, int, int]] = [("", -1, False, False, False, -1, 0)]
+        stack, owner, block = [0], [], 0
         for token in tokens(page):
-            apart, main = (stack[-1][1], stack[-1][2]) if stack else (False, -1)
+            at = stack[-1]
             if token[0] == "t":
                 if not token[1].isspace():
                     self.stream.append("#")
                     self.texts.append(token[1])
                     self.block.append(block)
-                    self.apart.append(apart)
-                    self.main.append(main)
-                elif self.texts and self.block[-1] == block and self.apart[-1] == apart:
+                    owner.append(at)
+                elif self.texts and self.block[-1] == block and nodes[owner[-1]][2] == nodes[at][2]:
                     self.texts[-1] += " "
                 continue
             name = token[1]
             block += name not in INLINE
             if token[0] == ">":
                 self.stream.append(f"/{name}")
-                if any(name == s[0] for s in stack):
-                    while stack.pop()[0] != name:
+                if any(name == nodes[s][0] for s in stack):
+                    while nodes[stack.pop()][0] != name:
                         pass
                 continue
             words, roles = names_of(token[2]) if token[2] else (set(), set())
@@ -131,26 +140,41 @@ class Page:
                 self.texts[-1] += " "
             if name in VOID:
                 continue
-            named = bool(words & APART_NAMES)
-            if (name in ("article", "main") or roles & MAIN_NAMES) and not named:
-                articles += 1
-                stack.append((name, apart, articles))
-            else:
-                # A header inside an article is the article's own.
-                out = bool(RAW.match(name)) or (name in APART and not (main >= 0 and name == "header")) or (named and name not in ("html", "body"))
-                stack.append((name, apart or out, main))
+            main = nodes[at][5]
+            marked = name in ("article", "main") or bool(roles & MAIN_NAMES)
+            # A header inside an article is the article's own.
+            named = name not in ("html", "body") and bool(words & APART_NAMES)
+            out = nodes[at][2] or named or bool(RAW.match(name)) or (name in APART and not (main >= 0 and name == "header"))
+            if marked and not named:
+                main = len(nodes)
+            nodes.append((name, at, out, named, marked, main, zlib.crc32(name.encode(), nodes[at][6]) if main >= 0 else 0))
+            stack.append(len(nodes) - 1)
+        for at in owner:
+            self.apart.append(nodes[at][2])
+            self.main.append(nodes[at][5])
+            self.path.append(nodes[at][6])
+
+    def marks(self) -> list[int]:
+        """Of each text, a number that equal texts of other pages share, in articles if they stand alike."""
+        return [INSIDE + zlib.crc32(" ".join(t.split()).encode(), path) if main >= 0 else mark(t)
+                for t, main, path in zip(self.texts, self.main, self.path)]
 
     def text(self, constant: set[int]) -> str:
         """The main text; ``constant`` are the texts that the host's wrapper fixes."""
+        size = lambda some: sum(len(self.texts[i]) for i in some)
         kept = [i for i, apart in enumerate(self.apart) if not apart]
-        sizes: dict[int, int] = {}
-        for i in kept:
-            if self.main[i] >= 0:
-                sizes[self.main[i]] = sizes.get(self.main[i], 0) + len(self.texts[i])
-        if sizes:
-            best = max(sizes, key=lambda a: (sizes[a], -a))
-            kept = [i for i in kept if self.main[i] == best]
-        else:
+        inside = [i for i in kept if self.main[i] >= 0]
+        sizes = {a: size(i for i in inside if self.main[i] == a) for a in {self.main[i] for i in inside}}
+        inside = [i for i in inside if self.main[i] == max(sizes, key=lambda a: (sizes[a], -a))]
+        if inside and 2 * size(constant.intersection(inside)) > size(inside):
+            # Copies of one article, or a region that is the host's: what varies tells which.
+            if set(inside) <= constant and not set(kept) - set(inside) <= constant:
+                inside = []
+            else:
+                constant = constant.difference(inside)
+        if inside:
+            kept = inside
+        if not set(kept) <= constant:
             kept = [i for i in kept if i not in constant]
         blocks: dict[int, list[str]] = {}
         for i in kept:
@@ -160,7 +184,8 @@ class Page:
 
 
 # A wrapper is a list of items: a tag is a string; a text is ["#", constant or None,
-# pages]; a repeated group ["+", items]; an optional group ["?", items].
+# pages]; a repeated group ["+", items, marks that all pages have there, pages]; an
+# optional group ["?", items]. A text between "^" and "$" at the start counts the pages.
 
 
 def shape(item) -> str:
@@ -172,7 +197,22 @@ def shape(item) -> str:
 
 def slotted(items: list) -> list:
     """The items with all texts open."""
-    return [i if isinstance(i, str) else ["#", None, i[2]] if i[0] == "#" else [i[0], slotted(i[1])] for i in items]
+    return [i if isinstance(i, str) else ["#", None, i[2]] if i[0] == "#" else [i[0], slotted(i[1]), *([[], i[3]] if i[0] == "+" else [])] for i in items]
+
+
+def held(items: list) -> set[int]:
+    """Marks that all pages have in these items."""
+    return {m for i in items if not isinstance(i, str) and i[0] != "?" for m in ([i[1]] if i[0] == "#" else i[2]) if m is not None}
+
+
+def seen(items: list) -> int:
+    """Pages that have texts in these items."""
+    return max((i[2] if i[0] == "#" else i[3] if i[0] == "+" else seen(i[1]) for i in items if not isinstance(i, str)), default=0)
+
+
+def group(body: list, run: list) -> list:
+    """A repeated group for a run that repeats ``body``."""
+    return ["+", slotted(body), sorted(held(run)), seen(run)]
 
 
 def numbered(shapes: list[str]) -> np.ndarray:
@@ -213,7 +253,7 @@ def folded(items: list) -> list:
                 n += 1
             if n > 1:
                 body = items[at : at + width]
-                out.append(["+", slotted(body[0][1] if width == 1 and body[0][0] == "+" else body)])
+                out.append(group(body[0][1] if width == 1 and body[0][0] == "+" else body, items[at : at + n * width]))
                 at += n * width
             else:
                 out.append(items[at])
@@ -241,7 +281,7 @@ def regrouped(items: list, known: dict[str, list]) -> list:
         shapes, out, at, width = [shape(i) for i in items], [], 0, len(body)
         while at < len(items):
             if " ".join(shapes[at : at + width]) == form:
-                out.append(["+", slotted(items[at : at + width])])
+                out.append(group(items[at : at + width], items[at : at + width]))
                 at += width
             else:
                 out.append(items[at])
@@ -274,7 +314,14 @@ def joined(a, b):
         return a
     if a[0] == "#":
         return ["#", a[1] if a[1] == b[1] else None, a[2] + b[2]]
-    return [a[0], [joined(x, y) for x, y in zip(a[1], b[1])]]
+    body = [joined(x, y) for x, y in zip(a[1], b[1])]
+    return [a[0], body] if a[0] == "?" else ["+", body, sorted(set(a[2]) & set(b[2])), a[3] + b[3]]
+
+
+def absorbed(a: list, run: list) -> list:
+    """A group and a run that is its body written out once, as one group."""
+    body = [joined(x, y) for x, y in zip(a[1], run)]
+    return [a[0], body] if a[0] == "?" else ["+", body, sorted(set(a[2]) & held(run)), a[3] + seen(run)]
 
 
 def optional(items: list) -> list:
@@ -335,10 +382,10 @@ def aligned(a: list, b: list) -> list:
             out.append(joined(a[i], b[j]))
             i, j = i + 1, j + 1
         elif way == ">":
-            out.append([a[i][0], [joined(x, y) for x, y in zip(a[i][1], b[j : j + la[i]])]])
+            out.append(absorbed(a[i], b[j : j + la[i]]))
             i, j = i + 1, j + la[i]
         else:
-            out.append([b[j][0], [joined(x, y) for x, y in zip(b[j][1], a[i : i + lb[j]])]])
+            out.append(absorbed(b[j], a[i : i + lb[j]]))
             i, j = i + lb[j], j + 1
     return head + out + optional(only_a) + optional(only_b) + foot
 
@@ -354,21 +401,30 @@ def mark(text: str) -> int:
 
 
 def page_items(page: Page) -> list:
-    texts = iter(page.texts)
-    return [["#", mark(next(texts)), 1] if t == "#" else t for t in page.stream]
+    marks = iter(page.marks())
+    return ["^", ["#", PAGES, 1], "$", *(["#", next(marks), 1] if t == "#" else t for t in page.stream)]
 
 
 def constants(wrapper: list) -> set[int]:
-    """Marks of the texts that the wrapper holds constant over enough pages."""
-    out: set[int] = set()
-    for item in wrapper:
-        if not isinstance(item, str):
-            if item[0] == "#":
-                if item[1] is not None and item[2] >= CONSTANT_PAGES:
-                    out.add(item[1])
+    """Marks of the texts that the wrapper holds constant over all pages, or, outside
+    articles, over enough of them."""
+    n = wrapper[1][2] if wrapper[:1] == ["^"] else 0
+
+    def found(items: list) -> set[int]:
+        out: set[int] = set()
+        for item in items:
+            if isinstance(item, str):
+                continue
+            if item[0] == "?":
+                out |= found(item[1])
             else:
-                out |= constants(item[1])
-    return out
+                pages = seen([item])
+                out |= {m for m in held([item]) if 2 <= n <= pages or m < INSIDE and pages >= CONSTANT_PAGES}
+                if item[0] == "+":
+                    out |= found(item[1])
+        return out
+
+    return found(wrapper) - {PAGES}
 
 
 def inferred(pages) -> dict:
@@ -426,10 +482,10 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         for body, wrapper in zip(htmls.to_pylist(), wrappers.to_pylist()):
             page = Page(body or "")
             fixed: set[int] = set()
-            if wrapper and max(page.main, default=-1) < 0:
+            if wrapper:
                 if wrapper not in known:
                     known[wrapper] = constants(json.loads(wrapper))
-                fixed = {i for i, t in enumerate(page.texts) if mark(t) in known[wrapper]}
+                fixed = {i for i, m in enumerate(page.marks()) if m in known[wrapper]}
             out.append(page.text(fixed))
         return pa.array(out, pa.string())
 

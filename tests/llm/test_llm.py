@@ -185,3 +185,14 @@ def test_rows_that_repeat_an_id_and_null_ids(spark):
     assert sorted((str(r["doc_id"]), r["span_start"], r["n_words"], r["keep_doc_id"]) for r in got) == [("2", 0, 50, 1)] * 2 + [("None", 0, 50, 1), ("None", 0, 60, 1)]
     alone = substring_dedup.repeated_spans(spark.createDataFrame([(None, text), (None, text)], "doc_id long, text string")).collect()
     assert [(r["doc_id"], r["n_words"], r["keep_doc_id"]) for r in alone] == [(None, 50, None)]
+
+
+def test_wrapper_decides_in_pages_with_articles(spark):
+    prepare(spark)
+    say = lambda i: f"Own words of page {i} that no other page has."
+    rows = [(i, f"http://h.test/{i}", f"<body><article><h1>News {i}</h1><p>{say(i)}</p><div>Share this</div></article></body>") for i in range(3)]
+    rows += [(i, f"http://g.test/{i}", f"<body><main><p>Please wait</p></main><div><p>{say(i)}</p></div></body>") for i in (3, 4)]
+    rows += [(i, "http://copies.test/", f"<body><article><h1>Title</h1><p>{say(9)}</p><p>Seen {i}</p></article></body>") for i in (5, 6)]
+    got = {r["page_id"]: r["text"] for r in html_extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"News {i}\n\n{say(i)}" for i in range(3)) and all(got[i] == say(i) for i in (3, 4))
+    assert all(got[i] == f"Title\n\n{say(9)}\n\nSeen {i}" for i in (5, 6))
