@@ -14,10 +14,11 @@ constant that each page has there. Where a host's pages are copies of each other
 that constants are most of an article, they stay.
 
 Tags and class words are hints within that: the main text is what stands in elements
-named or marked as article or main (the longest if there are several), if they hold
+named or marked as article or main, from the outermost on and all of them, if they hold
 any of the page's own text, and else all of the body; without parts that are navigation,
 headers, footers, asides, forms, scripts or, by their class, id or role, adverts, notices,
-comments and the like. In
+comments and the like. Class words don't rule out an element that holds the page's
+longest article or, where no article stands apart from it, over half of its text. In
 texts outside articles, ones that only some pages have are constant from
 ``CONSTANT_PAGES`` pages on.
 
@@ -58,6 +59,8 @@ APART_NAMES = frozenset(
     "header login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promotion "
     "recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split())
 MAIN_NAMES = frozenset("article main articlebody".split())
+#: Class words that an article's own parts may have.
+OWN_NAMES = frozenset(["header"])
 #: Marks of texts in articles lie above those of others; the mark that counts pages.
 INSIDE, PAGES = 1 << 32, -1
 FAN_IN_BITS = 3
@@ -110,9 +113,9 @@ class Page:
         self.texts: list[str] = []
         self.block: list[int] = []  # of each text; a number for each block
         self.apart: list[bool] = []
-        self.main: list[int] = []  # the article that a text stands in, or -1
+        self.main: list[int] = []  # the outermost article that a text stands in, or -1
         self.path: list[int] = []  # hash of the tags around a text in its article, or 0
-        # Of each element: name, parent, ruled out, class words that do so, marked as an article, article, path.
+        # Of each element: name, parent, ruled out by tag, by class words, an article, outermost article, path.
         nodes: list[tuple[str, int, bool, bool, bool, int, int]] = [("", -1, False, False, False, -1, 0)]
         stack, owner, block = [0], [], 0
         for token in tokens(page):
@@ -143,17 +146,42 @@ class Page:
             main = nodes[at][5]
             marked = name in ("article", "main") or bool(roles & MAIN_NAMES)
             # A header inside an article is the article's own.
-            named = name not in ("html", "body") and bool(words & APART_NAMES)
-            out = nodes[at][2] or named or bool(RAW.match(name)) or (name in APART and not (main >= 0 and name == "header"))
-            if marked and not named:
+            out = nodes[at][2] or bool(RAW.match(name)) or (name in APART and not (main >= 0 and name == "header"))
+            named = name not in ("html", "body") and bool(words & APART_NAMES - (OWN_NAMES if main >= 0 else set()))
+            if main < 0 and marked:
                 main = len(nodes)
             nodes.append((name, at, out, named, marked, main, zlib.crc32(name.encode(), nodes[at][6]) if main >= 0 else 0))
             stack.append(len(nodes) - 1)
+        sizes = [0] * len(nodes)
+        for text, at in zip(self.texts, owner):
+            if not nodes[at][2]:
+                sizes[at] += len(text)
+        for at in range(len(nodes) - 1, 0, -1):
+            sizes[nodes[at][1]] += sizes[at]
+        ruled = self.ruled_out(nodes, sizes)
         for at in owner:
-            self.apart.append(nodes[at][2])
+            self.apart.append(nodes[at][2] or ruled[at])
             self.main.append(nodes[at][5])
             self.path.append(nodes[at][6])
 
+    @staticmethod
+    def ruled_out(nodes: list, sizes: list[int]) -> list[bool]:
+        """Which elements class words rule out, with all that they hold."""
+        last = list(range(len(nodes)))  # the last element inside each
+        for at in range(len(nodes) - 1, 0, -1):
+            last[nodes[at][1]] = max(last[nodes[at][1]], last[at])
+        marked = [at for at in range(1, len(nodes)) if nodes[at][4] and sizes[at]]
+        longest = sorted(marked, key=lambda m: -sizes[m])
+        ruled = [False] * len(nodes)
+        for at in range(1, len(nodes)):
+            ruled[at] = ruled[nodes[at][1]]
+            if ruled[at] or not nodes[at][3]:
+                continue
+            within = next((sizes[m] for m in longest if at <= m <= last[at]), 0)
+            beside = next((sizes[m] for m in longest if m > last[at] or last[m] < at), 0)
+            ruled[at] = beside >= within if beside else not within and 2 * sizes[at] <= sizes[0]
+        return ruled
+
     def marks(self) -> list[int]:
         """Of each text, a number that equal texts of other pages share, in articles if they stand alike."""
         return [INSIDE + zlib.crc32(" ".join(t.split()).encode(), path) if main >= 0 else mark(t)
@@ -164,8 +192,6 @@ class Page:
         size = lambda some: sum(len(self.texts[i]) for i in some)
         kept = [i for i, apart in enumerate(self.apart) if not apart]
         inside = [i for i in kept if self.main[i] >= 0]
-        sizes = {a: size(i for i in inside if self.main[i] == a) for a in {self.main[i] for i in inside}}
-        inside = [i for i in inside if self.main[i] == max(sizes, key=lambda a: (sizes[a], -a))]
         if inside and 2 * size(constant.intersection(inside)) > size(inside):
             # Copies of one article, or a region that is the host's: what varies tells which.
             if set(inside) <= constant and not set(kept) - set(inside) <= constant:

@@ -196,3 +196,18 @@ def test_wrapper_decides_in_pages_with_articles(spark):
     got = {r["page_id"]: r["text"] for r in html_extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"News {i}\n\n{say(i)}" for i in range(3)) and all(got[i] == say(i) for i in (3, 4))
     assert all(got[i] == f"Title\n\n{say(9)}\n\nSeen {i}" for i in (5, 6))
+
+
+@pytest.mark.parametrize("page, wanted", [
+    ("<main><h1>Title</h1><p>Lead</p><article><p>Long main text</p></article></main>", "Title\n\nLead\n\nLong main text"),
+    ("<article><h1>Title</h1><div itemprop=articleBody><p>Long main text</p></div></article>", "Title\n\nLong main text"),
+    ("<article><p>First text</p></article><p>between</p><article><p>Second</p></article>", "First text\n\nSecond"),
+    ("<div class='content has-sidebar'><article><p>Text</p></article></div><div class=sidebar>Side words</div>", "Text"),
+    ("<div class='widget-area with-comments'><article><p>Text</p></article><div class=comments>C</div></div>", "Text"),
+    ("<article><header class='entry-header'><h1>Title</h1></header><p>Text</p></article>", "Title\n\nText"),
+    ("<article class='has-sidebar'><p>Text</p></article>", "Text"),
+    ("<div class='has-sidebar'><p>Most of the text of this page</p></div><div class=ad>Buy</div>", "Most of the text of this page"),
+    ("<article><p>Article text</p></article><section id=comments><article><p>Nice one</p></article></section>", "Article text"),
+])
+def test_articles_are_kept_whole(page, wanted):
+    assert html_extract.Page(f"<body>{page}</body>").text(set()) == wanted
