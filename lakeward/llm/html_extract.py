@@ -64,7 +64,8 @@ OWN_NAMES = frozenset(["header"])
 #: Marks of texts in articles lie above those of others; the mark that counts pages.
 INSIDE, PAGES = 1 << 32, -1
 FAN_IN_BITS = 3
-#: Pages that must agree on a text that not all have, and longest repeat and alignment that are tried.
+#: Pages that must agree on a text that not all have, longest repeat that is tried, and
+#: the size of the pieces that long alignments fall into.
 CONSTANT_PAGES, LONGEST_REPEAT, ALIGN_CELLS = 8, 16, 1 << 20
 
 
@@ -360,6 +361,20 @@ def runs_of(items: list) -> list:
     return [shape(i) if isinstance(i, str) or i[0] == "#" else " ".join(map(shape, i[1])) for i in items]
 
 
+def halves(a: list, b: list) -> tuple[int, int]:
+    """Where a longest common subsequence passes the middle of a (Hirschberg)."""
+    ids = numbered([shape(i) for i in a + b])
+    x, y, middle = ids[: len(a)], ids[len(a) :], len(a) // 2
+
+    def lengths(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        row = np.zeros(len(y) + 1, np.int32)
+        for item in x:
+            row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (y == item)))
+        return row
+
+    return middle, int(np.argmax(lengths(x[:middle], y) + lengths(x[middle:][::-1], y[::-1])[::-1]))
+
+
 def aligned(a: list, b: list) -> list:
     """One wrapper for both: equal structure is joined, the rest becomes optional. A
     repeated or optional group also matches its body written out once."""
@@ -373,8 +388,11 @@ def aligned(a: list, b: list) -> list:
         tail += 1
     foot = [joined(x, y) for x, y in zip(a[len(a) - tail :], b[len(b) - tail :])]
     a, b = a[: len(a) - tail], b[: len(b) - tail]
-    if not a or not b or len(a) * len(b) > ALIGN_CELLS:
+    if not a or not b:
         return head + optional(a) + optional(b) + foot
+    if len(a) * len(b) > ALIGN_CELLS and len(a) > 1:
+        i, j = halves(a, b)
+        return head + aligned(a[:i], b[:j]) + aligned(a[i:], b[j:]) + foot
     sa, sb = [shape(i) for i in a], [shape(i) for i in b]
     ra, rb = runs_of(a), runs_of(b)
     la = [0 if isinstance(i, str) or i[0] == "#" else len(i[1]) for i in a]

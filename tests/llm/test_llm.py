@@ -211,3 +211,18 @@ def test_wrapper_decides_in_pages_with_articles(spark):
 ])
 def test_articles_are_kept_whole(page, wanted):
     assert html_extract.Page(f"<body>{page}</body>").text(set()) == wanted
+
+
+def constant_texts(pages):
+    found = html_extract.constants(html_extract.inferred([("h", p) for p in pages])["h"])
+    return [[t for t, m in zip(page.texts, page.marks()) if m in found] for page in map(html_extract.Page, pages)]
+
+
+def test_wrappers_of_small_hosts_menus_and_long_pages():
+    assert constant_texts([f"<body><p>Fixed</p><div>v{i}</div></body>" for i in range(2)]) == [["Fixed"]] * 2
+    menu = "<ul>" + "".join(f"<li><a>{x}</a></li>" for x in ("Home", "About", "Help", "Jobs")) + "</ul>"
+    pages = [f"<body>{menu}{''.join(f'<p>text {i} {k}</p>' for k in range(2 + i))}<div>Imprint</div></body>" for i in range(3)]
+    assert constant_texts(pages) == [["Home", "About", "Help", "Jobs", "Imprint"]] * 3
+    rng = random.Random(4)
+    long = lambda i: "".join(f"<div class=c{k}>f{k}</div>" + (f"<p class=x{i}z{k}>own {i} {k}</p>" if rng.random() < 0.5 else "") for k in range(500))
+    assert constant_texts([f"<body>{long(i)}</body>" for i in range(2)]) == [[f"f{k}" for k in range(500)]] * 2
