@@ -14,7 +14,8 @@ and without ASCII punctuation.
 3. Bit sampling. Each repetition walks with its own bits and samples ``SAMPLED``
    places; windows and items that agree in them are candidates. The number of
    repetitions follows from the collision rate at the greatest allowed distance,
-   measured on edited copies of the items, and the target recall.
+   measured on edited copies of all items of about a length, and the target recall.
+   Items whose length doesn't reach it are candidates at all their spots.
 4. Verification. A bit-parallel edit distance over the words around the
    candidates decides.
 
@@ -42,7 +43,10 @@ from pyspark.sql import functions as F
 
 #: Edits allowed for each word of an item: a similarity of 0.8 or more.
 RATE = 0.2
-SAMPLED, RECALL, MOST_TABLES, SEED = 2, 0.97, 48, 11
+SAMPLED, RECALL, SEED = 2, 0.97, 11
+#: Repetitions drawn together, draws before a length is verified at all spots, and
+#: edited copies that recall is measured on at least.
+DRAWN, DRAWS, COPIES = 48, 8, 64
 BLOCK_BYTES = 8 << 20
 #: Words that a task looks at together, and windows that it embeds together.
 WORDS_AT_ONCE, STARTS_AT_ONCE = 400_000, 4096
@@ -104,17 +108,22 @@ class Size:
         self.gram = min(3, min(-(-(n - edits(n, rate)) // (edits(n, rate) + 1)) for n in lengths))
         self.shared = max(1, min(n - self.gram + 1 - self.gram * edits(n, rate) for n in lengths))
         self.span = self.most + edits(self.most, rate)
-        steps = max(1, 3 * self.least // 2)
-        self.places = np.sort(np.stack([rng.choice(steps, min(SAMPLED, steps), replace=False) for _ in range(MOST_TABLES)]), axis=1)
-        self.bits = rng.integers(0, 1 << 63, (MOST_TABLES, steps // 64 + 1), dtype=np.uint64)
-        codes = {i: codes_of(words[i]) for i in items}
-        self.tables = self._enough([codes[i] for i in items], rng)
+        self.steps = max(1, 3 * self.least // 2)
+        self.places, self.bits = np.zeros((0, min(SAMPLED, self.steps)), np.int64), np.zeros((0, self.steps // 64 + 1), np.uint64)
         self.keys, self.owners = [], []
-        for t in range(self.tables):
-            keys = np.array([self.key(t, codes[i], np.zeros(1, np.int64))[0] for i in items], np.uint64)
-            order = np.argsort(keys, kind="stable")
-            self.keys.append(keys[order])
-            self.owners.append(np.array(items)[order])
+        self.tables = self._enough([codes_of(words[i]) for i in items], rng)
+
+    def _draw(self, rng: np.random.Generator) -> None:
+        """More repetitions."""
+        places = np.sort(np.stack([rng.choice(self.steps, self.places.shape[1], replace=False) for _ in range(DRAWN)]), axis=1)
+        self.places = np.concatenate([self.places, places])
+        self.bits = np.concatenate([self.bits, rng.integers(0, 1 << 63, (DRAWN, self.bits.shape[1]), dtype=np.uint64)])
+
+    def _lined(self, codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The codes one after another, each with blanks that a walk can't leave, and their starts."""
+        gap = np.zeros(self.steps + 1, np.uint64)
+        starts = np.cumsum([0, *(len(c) + len(gap) for c in codes[:-1])])
+        return np.concatenate([x for c in codes for x in (c, gap)]), starts
 
     def key(self, table: int, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Sampled places of the embedding of the window at each start, as one number."""
@@ -130,12 +139,12 @@ class Size:
             pointer = pointer + ((bits[step >> 6][here] >> np.uint64(step & 63)) & np.uint64(1)).astype(np.int64)
         return out
 
-    def _enough(self, codes: list[np.ndarray], rng: np.random.Generator) -> int:
-        """Repetitions that reach the target recall at the greatest distance."""
-        hits, zero = [], np.zeros(1, np.int64)
-        for code in [codes[i] for i in rng.permutation(len(codes))[:16]]:
-            own = [self.key(t, code, zero)[0] for t in range(MOST_TABLES)]
-            for _ in range(2):
+    def _enough(self, codes: list[np.ndarray], rng: np.random.Generator) -> int | None:
+        """Repetitions that reach the target recall at the greatest distance over all
+        items, or None if none of the draws does."""
+        copies, times = [], max(2, -(-COPIES // len(codes)))
+        for code in codes:
+            for _ in range(times):
                 copy = code.tolist()
                 for kind in rng.integers(0, 3, edits(len(code), self.rate)):
                     where = int(rng.integers(0, len(copy)))
@@ -143,15 +152,24 @@ class Size:
                         copy.insert(where, int(rng.integers(0, 1 << 63)))
                     if kind != 0 and len(copy) > 1:
                         del copy[min(where + (kind == 2), len(copy) - 1)]
-                edited = np.array(copy, np.uint64)
-                hits.append([own[t] == self.key(t, edited, zero)[0] for t in range(MOST_TABLES)])
-        hit = np.array(hits)
-        found = np.logical_or.accumulate(hit, axis=1).mean(axis=0)
-        reached = np.flatnonzero(found >= RECALL)
-        return int(reached[0]) + 1 if len(reached) else MOST_TABLES
+                copies.append(np.array(copy, np.uint64))
+        lined, edited, found = self._lined(codes), self._lined(copies), np.zeros(len(copies), bool)
+        for t in range(DRAWN * DRAWS):
+            if t == len(self.places):
+                self._draw(rng)
+            keys = self.key(t, *lined)
+            found |= self.key(t, *edited) == np.repeat(keys, times)
+            order = np.argsort(keys, kind="stable")
+            self.keys.append(keys[order])
+            self.owners.append(np.array(self.items)[order])
+            if found.mean() >= RECALL:
+                return t + 1
+        return None
 
     def candidates(self, codes: np.ndarray, first: int, last: int) -> dict[int, tuple[int, int]]:
         """Items that collide with a window starting in [first, last]: first and last such start."""
+        if self.tables is None:
+            return dict.fromkeys(self.items, (first, last))
         out: dict[int, tuple[int, int]] = {}
         for at in range(first, last + 1, STARTS_AT_ONCE):
             starts = np.arange(at, min(last + 1, at + STARTS_AT_ONCE))

@@ -226,3 +226,21 @@ def test_wrappers_of_small_hosts_menus_and_long_pages():
     rng = random.Random(4)
     long = lambda i: "".join(f"<div class=c{k}>f{k}</div>" + (f"<p class=x{i}z{k}>own {i} {k}</p>" if rng.random() < 0.5 else "") for k in range(500))
     assert constant_texts([f"<body>{long(i)}</body>" for i in range(2)]) == [[f"f{k}" for k in range(500)]] * 2
+
+
+@pytest.mark.parametrize("draws", [0, decontaminate.DRAWS])
+def test_long_benchmark_items_reach_the_target_recall(monkeypatch, draws):
+    monkeypatch.setattr(decontaminate, "DRAWS", draws)
+    rng = random.Random(6)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    items = [[word() for _ in range(800)] for _ in range(4)]
+    texts = []
+    for item in items * 12:
+        copy = list(item)
+        for _ in range(160):
+            copy[rng.randrange(len(copy))] = word()
+        texts.append(" ".join([word() for _ in range(30)] + copy + [word() for _ in range(30)]))
+    index = decontaminate.Index(list(range(4)), [" ".join(i) for i in items])
+    assert (index.sizes[0].tables is None) == (draws == 0)
+    found = [any(x["item"] == n % 4 for x in leaks) for n, leaks in enumerate(index.leaks(texts))]
+    assert sum(found) >= 0.97 * len(found) and (draws or all(found))
