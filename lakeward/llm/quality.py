@@ -9,9 +9,8 @@ document by their greatest value and their mean, and one logistic unit makes the
 probability.
 
 Training runs on the driver over a bounded sample of labelled rows: at most
-``SAMPLE`` ids for each class, those with the smallest hash, and of each text at
-most ``SAMPLE_CHUNKS`` evenly spaced chunks. Scoring reads every chunk of every
-text. Ids, languages, sources and labels are never inputs of a score.
+``SAMPLE`` ids for each class, those with the smallest hash. Training and scoring
+read every chunk of a text, pooled in slices. Ids, languages, sources and labels are never inputs of a score.
 
 Defined cases: null and empty texts are scored as one chunk of padding; a text
 longer than any sample is scored in slices of bounded size; labels without a
@@ -33,10 +32,10 @@ CHUNK, OVERLAP = 512, 32
 STEP, WIDTH = 4, 8
 VECTOR, FILTERS = 8, 32
 LAGS = tuple(range(2, 34))
-#: Labelled rows of each class, and chunks of each, that training reads at most.
-SAMPLE, SAMPLE_CHUNKS = 1500, 5
+#: Labelled rows of each class that training reads at most.
+SAMPLE = 1500
 EPOCHS, BATCH, RATE, SEED = 10, 48, 5e-3, 7
-#: Chunks that are scored at a time: bounds memory for any length of text.
+#: Chunks that are scored or learned from at a time: bounds memory for any length of text.
 SLICE = 512
 
 
@@ -97,18 +96,18 @@ class Net:
         return 1 / (1 + np.exp(-np.clip(logit.astype(np.float64), -30, 30)))
 
 
-def train(texts: list[list[bytes]], labels: np.ndarray, weights: np.ndarray, seed: int = SEED) -> Net:
-    """Fit on documents given as chunks of bytes; ``weights`` give each class its
+def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int = SEED) -> Net:
+    """Fit on all chunks of the texts; ``weights`` give each class its
     share among all labelled rows."""
     rng = np.random.default_rng(seed)
-    parts = [np.stack([np.frombuffer(c.ljust(CHUNK, b"\0")[:CHUNK], np.uint8) for c in t]) for t in texts]
+    parts = [chunks_of(t) for t in texts]
     chunks = np.concatenate(parts)
     starts = np.cumsum([0, *map(len, parts)])
     net = Net(
         rng.normal(0, 0.5, (256, VECTOR)).astype(np.float32), *(rng.normal(0, 0.2, (STEP * VECTOR, FILTERS)).astype(np.float32) for _ in range(2)),
         np.zeros(FILTERS, np.float32), np.zeros(2 * (FILTERS + len(LAGS)), np.float32), 0.0, np.zeros(1, np.float32), np.ones(1, np.float32))
     net.embed[0] = 0
-    echo = echoes(chunks)
+    echo = np.concatenate([echoes(chunks[i : i + SLICE]) for i in range(0, len(chunks), SLICE)])
     vectors = np.concatenate([net.pooled(chunks[i : i + SLICE]) for i in range(0, len(chunks), SLICE)])
     docs = np.concatenate([np.maximum.reduceat(vectors, starts[:-1]), np.add.reduceat(vectors, starts[:-1]) / np.diff(starts)[:, None]], axis=1)
     net.mean, net.scale = docs.mean(axis=0), docs.std(axis=0) + 0.05
@@ -125,11 +124,12 @@ def train(texts: list[list[bytes]], labels: np.ndarray, weights: np.ndarray, see
             rows = np.concatenate([np.arange(starts[d], starts[d + 1]) for d in pick])
             sizes = np.array([starts[d + 1] - starts[d] for d in pick])
             begin = np.r_[0, np.cumsum(sizes)[:-1]]
-            x = chunks[rows]
-            blocks = net.blocks(x)
-            conv = net.filtered(blocks)
-            top = conv.argmax(axis=1)
-            hidden = np.maximum(np.take_along_axis(conv, top[:, None], axis=1)[:, 0] + net.bias, 0)
+            top, hidden = np.zeros((len(rows), FILTERS), np.int64), np.zeros((len(rows), FILTERS), np.float32)
+            slices = [slice(i, i + SLICE) for i in range(0, len(rows), SLICE)]
+            for part in slices:
+                conv = net.filtered(net.blocks(chunks[rows[part]]))
+                top[part] = conv.argmax(axis=1)
+                hidden[part] = np.maximum(np.take_along_axis(conv, top[part][:, None], axis=1)[:, 0] + net.bias, 0)
             both = np.concatenate([hidden, echo[rows]], axis=1)
             greatest = np.maximum.reduceat(both, begin)
             doc = np.concatenate([greatest, np.add.reduceat(both, begin) / sizes[:, None]], axis=1)
@@ -142,14 +142,18 @@ def train(texts: list[list[bytes]], labels: np.ndarray, weights: np.ndarray, see
             g_both = np.where(both == greatest[of], g_doc[of, :width], 0) + g_doc[of, width:] / sizes[of, None]
             g_hidden = g_both[:, :FILTERS] * (hidden > 0)
             # Only the winning position of each filter passes a gradient on.
-            line, filters = np.arange(len(x))[:, None], np.arange(FILTERS)
-            g_first = np.einsum("rf,rfi->if", g_hidden, blocks[line, top])
-            g_second = np.einsum("rf,rfi->if", g_hidden, blocks[line, top + 1])
-            spots = (top * STEP)[:, :, None] + np.arange(WIDTH)
+            g_first, g_second, g_embed = np.zeros_like(net.first), np.zeros_like(net.second), np.zeros_like(net.embed)
+            filters = np.arange(FILTERS)
             kernel = np.concatenate([net.first, net.second]).T.reshape(FILTERS, WIDTH, VECTOR)
-            back = (g_hidden[:, :, None, None] * kernel[filters]).reshape(-1, VECTOR)
-            hit = x[line[:, :, None], spots].ravel()
-            g_embed = np.stack([np.bincount(hit, back[:, d], 256) for d in range(VECTOR)], axis=1).astype(np.float32)
+            for part in slices:
+                x, at_top, g_part = chunks[rows[part]], top[part], g_hidden[part]
+                line, blocks = np.arange(len(x))[:, None], net.blocks(x)
+                g_first += np.einsum("rf,rfi->if", g_part, blocks[line, at_top])
+                g_second += np.einsum("rf,rfi->if", g_part, blocks[line, at_top + 1])
+                spots = (at_top * STEP)[:, :, None] + np.arange(WIDTH)
+                back = (g_part[:, :, None, None] * kernel[filters]).reshape(-1, VECTOR)
+                hit = x[line[:, :, None], spots].ravel()
+                g_embed += np.stack([np.bincount(hit, back[:, d], 256) for d in range(VECTOR)], axis=1).astype(np.float32)
             grads = [g_embed, g_first, g_second, g_hidden.sum(axis=0), z.T @ err + 1e-4 * net.weight, np.array([err.sum()], np.float32)]
             step += 1
             for p_, g_, (m, v) in zip(params, grads, moments, strict=True):
@@ -166,14 +170,6 @@ def held_out(id_col: Column) -> Column:
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(3)) == 1
 
 
-def sample_chunks(text: Column) -> Column:
-    """array<binary>: at most SAMPLE_CHUNKS evenly spaced chunks of a text."""
-    body = F.encode(F.coalesce(text, F.lit("")), "UTF-8")
-    last = F.greatest(F.octet_length(body) - CHUNK, F.lit(0))
-    n = F.least(F.lit(SAMPLE_CHUNKS), F.ceil(F.octet_length(body) / (CHUNK - OVERLAP)) + 1).cast("int")
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(body, F.floor(last * i / F.greatest(n - 1, F.lit(1))).cast("int") + 1, F.lit(CHUNK)))
-
-
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", target: str = "quality") -> Net | float:
     """A net, or the rate of class 1 where the labels don't have both classes."""
     known = (labels.select(F.col(id_col).alias("doc_id"), F.col(target).cast("int").alias("y"))
@@ -185,7 +181,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # At most 2 * SAMPLE ids: small enough for any task.
     rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
             .join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"])
-            .select("doc_id", "y", sample_chunks(F.col("text")).alias("chunks")).collect())
+            .select("doc_id", "y", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("body")).collect())
     rows.sort(key=lambda r: r["doc_id"])
     y = np.array([r["y"] == 1 for r in rows], np.float32)
     if not len(y) or y.min() == y.max():
@@ -193,7 +189,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return ones / sum(totals.values()) if totals else 0.5
     share = totals[1] / sum(totals.values())
     weights = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean())).astype(np.float32)
-    return train([[bytes(c) for c in r["chunks"]] for r in rows], y, weights)
+    return train([bytes(r["body"]) for r in rows], y, weights)
 
 
 def score_column(text: Column, model: Net | float) -> Column:

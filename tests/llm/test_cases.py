@@ -53,6 +53,19 @@ def test_quality_defined_cases(spark):
     assert got[0] == got[1] and got[3] == got[4] and all(0 <= s <= 1 for s in got)
 
 
+def test_quality_learns_from_all_of_a_long_text(monkeypatch):
+    rng = np.random.default_rng(2)
+    make = lambda y: bytes(rng.integers(97, 123, 9000, dtype=np.uint8))[: 700 + 400] + (b"QZ!? " * 60 if y else b"") + bytes(rng.integers(97, 123, 9000, dtype=np.uint8))
+    y = np.arange(120) % 2
+    texts = [make(k) for k in y]
+    read = []
+    whole = quality.chunks_of
+    monkeypatch.setattr(quality, "chunks_of", lambda t: read.append(len(whole(t))) or whole(t))
+    net = quality.train(texts[:80], y[:80].astype(np.float32), np.ones(80, np.float32))
+    assert read == [len(whole(t)) for t in texts[:80]] and min(read) > 5
+    assert auc(y[80:], np.array([net.score(t) for t in texts[80:]])) > 0.95
+
+
 def active(entries, url: str | None, at) -> list[tuple[str, str, str]]:
     """The entries that hold for one capture, by replaying each pattern's history."""
     if url is None or at is None or not (m := re.match(r"[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^?#]*)", url)):
