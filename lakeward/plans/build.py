@@ -5,6 +5,9 @@ recomputes from the last written layer, not from the raw CSV), and lets the
 next step's filters and column pruning reach a Parquet scan. Shuffles: one
 for dedupe (``event_id``), one for latest state (``order_id``), and the two
 small partial/final aggregations of gold.
+
+All layers of a run, and the ledger of its input files, go to a version of their own that is
+published once it is whole (``sources.layout``).
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from lakeward.config import DEFAULT, Settings
 from lakeward.operators import contract as CT
 from lakeward.operators import layers as L
 from lakeward.sources import batches as B
-from lakeward.sources.layout import layer_paths, read_layer, write_layer
+from lakeward.sources import layout as W
 
 
 # layer -> the layer it is made from
@@ -26,9 +29,9 @@ UPSTREAM: dict[str, str] = {C.SILVER: C.BRONZE, C.LATEST: C.SILVER, C.GOLD_DAILY
 
 
 def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings: Settings = DEFAULT,
-                 wanted: Collection[str] = C.LAYERS) -> dict[str, str]:
+                 wanted: Collection[str] = C.LAYERS, ledger: DataFrame | None = None) -> dict[str, str]:
     """Bronze -> silver -> latest -> gold from an already-gated raw frame: the wanted
-    layers and those they are made from. Returns layer -> path."""
+    layers and those they are made from, published together. Returns layer -> path."""
     needed = set(wanted)
     for layer in reversed(C.LAYERS):
         if layer in needed and layer in UPSTREAM:
@@ -40,21 +43,30 @@ def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings
         C.GOLD_DAILY: lambda df: L.daily_region_sales(df, settings),
         C.GOLD_CUSTOMER: lambda df: L.customer_metrics(df, settings),
     }
-    paths = {layer: path for layer, path in layer_paths(output_root).items() if layer in needed}
+    version = W.new_version(output_root)
+    paths = {layer: path for layer, path in W.layer_paths(version).items() if layer in needed}
     for layer in C.LAYERS:
         if layer in needed:
-            source = read_layer(spark, paths[UPSTREAM[layer]]) if layer in UPSTREAM else raw
-            write_layer(made[layer](source), paths[layer])
+            source = W.read_layer(spark, paths[UPSTREAM[layer]]) if layer in UPSTREAM else raw
+            W.write_layer(made[layer](source), paths[layer])
+    if ledger is not None:
+        W.write_layer(ledger, f"{version}/{W.LEDGER}")
+    W.publish(spark, output_root, version)
     return paths
 
 
 def build_all(spark: SparkSession, input_paths: str | Sequence[str], output_root: str,
               settings: Settings = DEFAULT) -> dict[str, str]:
-    """Contract gate on the raw batches, then an idempotent full overwrite of
-    every layer. Returns layer -> path."""
-    hs = B.headers(spark, input_paths)
+    """Contract gate on the raw batches, then an idempotent full rebuild of
+    every layer in a new version. Returns layer -> path. Files that the last version's ledger
+    knows unchanged aren't parsed for the contract again; the last two versions stay."""
+    ledger = W.read_ledger(spark, output_root)
+    hs = B.headers(spark, input_paths, ledger)
     if not hs:
         raise FileNotFoundError(f"no input files match {input_paths}")
-    CT.enforce(spark, input_paths, settings.contract, hs, settings.multiline_csv)
-    raw = B.read_batches(spark, input_paths, hs, multiline=settings.multiline_csv)
-    return build_layers(spark, raw, output_root, settings)
+    found = CT.file_profiles(spark, hs, settings.multiline_csv, ledger)
+    CT.passed(CT.summarise(spark, hs, found, settings.contract))
+    raw = B.read_batches(spark, input_paths, CT.with_line_breaks(hs, found), multiline=settings.multiline_csv)
+    paths = build_layers(spark, raw, output_root, settings, ledger=CT.ledger_rows(spark, hs, found))
+    W.drop_old_versions(spark, output_root)
+    return paths

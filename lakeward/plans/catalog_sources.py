@@ -22,7 +22,7 @@ from lakeward.plans.oracle import with_ctes
 from lakeward.session import scratch_path
 from lakeward.sources import batches as B
 from lakeward.sources.fixtures import order_events, write_csv_batches
-from lakeward.sources.layout import (layer_exists, layer_paths, read_layer, read_layers, relative_paths,
+from lakeward.sources.layout import (current_paths, layer_exists, read_layer, read_layers, relative_paths,
                                      write_layer)
 
 
@@ -185,7 +185,7 @@ union all select 'gold_customer_order_metrics', 'gold/gold_customer_order_metric
 
 
 def _layout_counts(spark: SparkSession, root: str, present: set[str] | None = None) -> DataFrame:
-    paths = layer_paths(root)
+    paths = current_paths(spark, root)
     rel = relative_paths(root, paths)
     frames = []
     for layer in C.LAYERS:
@@ -224,8 +224,8 @@ union all select 'gold_customer_order_metrics', false, cast(null as bigint)"""))
 def q_missing_layers(spark, sf):
     """Only bronze, silver and latest are built; the gate sees the golds missing."""
     root = scratch_path(spark, "warehouse-partial")
-    paths = layer_paths(root)
     build_layers(spark, order_events(spark, sf), root, wanted=(C.LATEST,))
+    paths = current_paths(spark, root)
     present = {layer for layer in C.LAYERS if layer_exists(spark, paths[layer])}
     counts = _layout_counts(spark, root, present)
     return counts.select("layer", F.col("layer").isin(*sorted(present)).alias("layer_exists"), "row_count")

@@ -1,7 +1,7 @@
 """Read-only validation of built layers, and the reports built from it.
 
-The run never writes: contract re-check on the raw batches, existence of all
-five layers, one fused metrics job (one aggregate per layer), then the
+The run changes nothing under the warehouse: contract re-check of the raw files that the
+build's ledger doesn't know unchanged, existence of all five layers, one fused metrics job (one aggregate per layer), then the
 ordered gates and the freshness gate on the driver from that one small row.
 """
 
@@ -22,7 +22,7 @@ from lakeward.functions import columns as X
 from lakeward.operators import contract as CT
 from lakeward.operators import freshness as FR
 from lakeward.operators import quality as Q
-from lakeward.sources.layout import assert_layers_exist, layer_paths, read_layers, relative_paths
+from lakeward.sources.layout import assert_layers_exist, layer_paths, read_layers, read_ledger, relative_paths
 
 SUMMARY_SCALARS: tuple[str, ...] = (
     "schema_files_checked", "bronze_rows", "silver_rows", "duplicate_event_ids", "latest_state_rows",
@@ -75,7 +75,8 @@ def validate(spark: SparkSession, output_root: str, input_paths: str | Sequence[
     """Validate built layers; raises ``FileNotFoundError``/``ValueError`` on failure.
     Without ``input_paths`` only the layers are checked; the job always gives them."""
     if input_paths is not None:
-        schema = CT.enforce(spark, input_paths, settings.contract, multiline=settings.multiline_csv)
+        schema = CT.enforce(spark, input_paths, settings.contract, multiline=settings.multiline_csv,
+                            ledger=read_ledger(spark, output_root))
     else:
         schema = CT.ContractSummary(0, {}, [])
     assert_layers_exist(spark, output_root)

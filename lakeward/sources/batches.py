@@ -10,9 +10,11 @@ values. Here:
 
 1. the files are listed once (``headers``): the gate and the build read that
    list, so a file that lands in between waits for the next run;
-2. one distributed job reads the first line of every file, touching only its head;
+2. one distributed job reads the header of every file that the ledger of an earlier
+   run doesn't know unchanged, touching only its head;
 3. files are grouped by distinct header, each group is read with an
-   all-string schema named by that header;
+   all-string schema named by that header; files with quoted line breaks, which the
+   contract finds, are read apart, each by one task;
 4. the groups are combined with ``unionByName(allowMissingColumns=True)``.
 
 Paths and header lines reach the driver (one row per file, as in Spark's own
@@ -78,17 +80,24 @@ class FileHeader:
     batch: str
     label: str
     columns: tuple[str, ...]
+    length: int = 0
+    modified: int = 0  # microseconds since 1970
+    multiline: bool = False  # has quoted line breaks
+    known: bool = False  # unchanged since the ledger was written
 
-    @property
-    def batch_slashes(self) -> int:
-        """``substring_index(file_path, '/', n)`` gives the batch path."""
-        return self.batch.count("/") + 1
+
+def batch_path(file_path: Column) -> Column:
+    """The batch of a file, as ``_batch_of`` has it."""
+    name = F.substring_index(file_path, "/", -1)
+    folder = F.substring(file_path, F.lit(1), F.length(file_path) - F.length(name) - 1)
+    return F.when(F.startswith(name, F.lit("part-")), folder).otherwise(file_path)
 
 
 def parse_header(line: str) -> tuple[str, ...]:
     """Column names of a header line. An unnamed column is named by its place; a name
     that an earlier column has (in any case) gets a number."""
-    cells = next(csv.reader(io.StringIO(line.lstrip("﻿").rstrip("\r\n"))), [])
+    text = line.lstrip("﻿").rstrip("\r\n")
+    cells = next(csv.reader(io.StringIO(text, newline="")), [])
     out: list[str] = []
     taken: set[str] = set()
     for place, cell in enumerate(cells):
@@ -103,7 +112,8 @@ def parse_header(line: str) -> tuple[str, ...]:
 
 
 def _first_lines_fn(head_bytes: int = 1 << 16, max_bytes: int = MAX_HEADER_BYTES):
-    """mapInPandas body: the first line of each file, reading only its head.
+    """mapInPandas body: the first line of each file (more if a quoted name has line breaks),
+    reading only its head.
 
     Built as a closure that imports only the standard library, pandas and
     pyarrow, so it is shipped to executors by value: the workers do not need
@@ -138,16 +148,20 @@ def _first_lines_fn(head_bytes: int = 1 << 16, max_bytes: int = MAX_HEADER_BYTES
                     continue
                 fs, path = place
                 with fs.open_input_stream(path, compression="detect") as stream:
-                    buf = b""
-                    while b"\n" not in buf:
-                        chunk = stream.read(head_bytes)
-                        if not chunk:
-                            break
+                    buf, end, seen = b"", -1, 0
+                    while end < 0 and (chunk := stream.read(head_bytes)):
                         buf += chunk
-                        if len(buf) > max_bytes and b"\n" not in buf:
-                            raise ValueError(f"first line of {uri} is longer than {max_bytes} bytes")
-                heads.append(buf.split(b"\n", 1)[0].decode("utf-8", errors="replace"))
-            yield pd.DataFrame({"file_path": pdf["file_path"], "header": heads})
+                        while (end := buf.find(b"\n", seen)) >= 0 and buf.count(b'"', 0, end) % 2:
+                            seen = end + 1
+                        if len(buf) > max_bytes and end < 0:
+                            # An odd quote isn't closed: the line itself, if there is one, is the header.
+                            end = buf.find(b"\n")
+                            if end < 0:
+                                raise ValueError(f"first line of {uri} is longer than {max_bytes} bytes")
+                first = buf.find(b"\n")
+                line = buf[:end] if end >= 0 else buf[:first] if first >= 0 else buf
+                heads.append(line.decode("utf-8", errors="replace"))
+            yield pdf.assign(header=pd.Series(heads, index=pdf.index, dtype=object))
 
     return first_lines
 
@@ -169,28 +183,37 @@ def _headers_by_text_scan(spark: SparkSession, files: Sequence[str]) -> DataFram
     )
 
 
-def headers(spark: SparkSession, paths: str | Sequence[str]) -> list[FileHeader]:
+def headers(spark: SparkSession, paths: str | Sequence[str], ledger: DataFrame | None = None) -> list[FileHeader]:
     """Every file under ``paths`` with its column names, the list that all later reads
     of a run share. An empty file, or one whose first line is empty, has no columns.
 
     Files are listed with the ``binaryFile`` source without its content
-    column (listing only), then each task reads just the head of its files."""
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_as_list(paths))
-        .select(F.col("path").alias("file_path"))
-    )
+    column (listing only), then each task reads just the head of its files. Files that
+    ``ledger`` holds with the same length and modification time aren't opened."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_as_list(paths))
+    files = listing.select(F.regexp_replace("path", r"^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/").alias("file_path"), "length",
+                           F.unix_micros("modificationTime").alias("modified"))
     # The scan leaves out files of no bytes, the list of the same index doesn't.
-    rows: dict[str, str | None] = {plain_path(unquote(f)): "" for f in listing.inputFiles()}
-    heads = listing.mapInPandas(_first_lines_fn(), "file_path string, header string")
-    rows.update({plain_path(r["file_path"]): r["header"] for r in heads.collect()})
-    unreadable = sorted(p for p, h in rows.items() if h is None)
-    if unreadable:
-        rows.update({r["file_path"]: r["header"] for r in _headers_by_text_scan(spark, unreadable).collect()})
-    out = []
-    for file_path, header in sorted(rows.items()):
-        batch = _batch_of(file_path)
-        out.append(FileHeader(file_path, batch, _label_of(batch), parse_header(header or "")))
-    return out
+    out = {path: _file(path, ()) for path in (plain_path(unquote(f)) for f in listing.inputFiles())}
+    new = files
+    if ledger is not None:
+        same = ["file_path", "length", "modified"]
+        seen = files.join(ledger.select(*same, "columns", "multiline"), same)
+        for r in seen.collect():
+            out[r["file_path"]] = _file(r["file_path"], tuple(r["columns"]), r["length"], r["modified"], r["multiline"], True)
+        new = files.join(ledger.select(*same), same, "left_anti")
+    heads = new.mapInPandas(_first_lines_fn(), "file_path string, length bigint, modified bigint, header string").collect()
+    unreadable = sorted(r["file_path"] for r in heads if r["header"] is None)
+    texts = {r["file_path"]: r["header"] for r in _headers_by_text_scan(spark, unreadable).collect()} if unreadable else {}
+    for r in heads:
+        line = texts.get(r["file_path"]) if r["header"] is None else r["header"]
+        out[r["file_path"]] = _file(r["file_path"], parse_header(line or ""), r["length"], r["modified"])
+    return [out[path] for path in sorted(out)]
+
+
+def _file(path: str, columns: tuple[str, ...], length: int = 0, modified: int = 0, multiline: bool = False, known: bool = False) -> FileHeader:
+    batch = _batch_of(path)
+    return FileHeader(path, batch, _label_of(batch), columns, length, modified, multiline, known)
 
 
 def input_bytes(spark: SparkSession, paths: str | Sequence[str]) -> int:
@@ -199,39 +222,48 @@ def input_bytes(spark: SparkSession, paths: str | Sequence[str]) -> int:
     return listing.agg(F.sum("length")).first()[0] or 0
 
 
-def header_groups(
-    spark: SparkSession, file_headers: Sequence[FileHeader], trim_values: bool = False,
-    malformed: bool = False, multiline: bool = False,
-) -> Iterator[tuple[tuple[str, ...], DataFrame]]:
+def read_csv(spark: SparkSession, files: Sequence[str], columns: Sequence[str], multiline: bool = False, trim_values: bool = False) -> DataFrame:
+    """One scan of CSV files that have headers of ``columns``, all as strings."""
+    return (
+        spark.read.schema(T.StructType([T.StructField(c, T.StringType(), True) for c in columns]))
+        .option("header", "true")
+        .option("enforceSchema", "true")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", str(multiline).lower())
+        .option("ignoreLeadingWhiteSpace", str(trim_values).lower())
+        .option("ignoreTrailingWhiteSpace", str(trim_values).lower())
+        .csv([as_pattern(f) for f in files])
+    )
+
+
+def cells_by_width(spark: SparkSession, file_headers: Sequence[FileHeader], multiline: bool = False) -> Iterator[tuple[int, DataFrame]]:
+    """(width, frame) for each number of columns, whatever their names and order: the cells
+    by position (``c0``, ``c1``, trimmed), the text of rows of another width, and the file's path as the scan has it."""
+    groups: dict[tuple[int, bool], list[str]] = {}
+    for h in file_headers:
+        if h.columns:
+            groups.setdefault((len(h.columns), multiline or h.multiline), []).append(h.file_path)
+    for (width, broken), files in sorted(groups.items()):
+        cells = [f"c{i}" for i in range(width)]
+        yield width, read_csv(spark, files, [*cells, MALFORMED], broken, trim_values=True).select(*cells, MALFORMED, F.col("_metadata.file_path").alias("file"))
+
+
+def header_groups(spark: SparkSession, file_headers: Sequence[FileHeader], multiline: bool = False) -> Iterator[tuple[tuple[str, ...], DataFrame]]:
     """(columns, frame) for each distinct header: all columns as strings and
-    ``source_file``, the batch path. ``malformed`` adds the text of each row whose
-    cells don't match the header (NULL for the others)."""
-    # The batch path of a row is a per-file constant, cut from the file path without
-    # a regular expression; only paths without a host
-    # or with special characters need rewriting.
-    groups: dict[tuple[tuple[str, ...], int, bool], list[str]] = {}
+    ``source_file``, the batch path."""
+    # Only paths without a host or with special characters need rewriting.
+    groups: dict[tuple[tuple[str, ...], bool, bool], list[str]] = {}
     for h in file_headers:
         if h.columns:
             plain = re.fullmatch(r"[A-Za-z0-9+.-]+://[A-Za-z0-9/:._=-]*", h.file_path) is not None
-            groups.setdefault((h.columns, h.batch_slashes, plain), []).append(h.file_path)
-    for (cols, slashes, plain), files in sorted(groups.items()):
-        fields = [*cols, MALFORMED] if malformed else cols
-        df = (
-            spark.read.schema(T.StructType([T.StructField(c, T.StringType(), True) for c in fields]))
-            .option("header", "true")
-            .option("enforceSchema", "true")
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", MALFORMED)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("multiLine", str(multiline).lower())
-            .option("ignoreLeadingWhiteSpace", str(trim_values).lower())
-            .option("ignoreTrailingWhiteSpace", str(trim_values).lower())
-            .csv([as_pattern(f) for f in files])
-        )
+            groups.setdefault((h.columns, plain, multiline or h.multiline), []).append(h.file_path)
+    for (cols, plain, broken), files in sorted(groups.items()):
         path = F.col("_metadata.file_path")
-        batch = F.substring_index(path if plain else plain_paths(path), "/", slashes)
-        yield cols, df.select(*[F.col(f"`{c}`") for c in fields], batch.alias("source_file"))
+        batch = batch_path(path if plain else plain_paths(path))
+        yield cols, read_csv(spark, files, cols, broken).select(*[F.col(f"`{c}`") for c in cols], batch.alias("source_file"))
 
 
 def read_batches(
@@ -244,8 +276,8 @@ def read_batches(
     """All columns of all batches as strings, matched by name, plus
     ``source_file`` (the batch path) and, optionally, ``source_batch``.
 
-    ``multiline`` accepts quoted line breaks; a file is then read by one task, so it is
-    off by default and the contract rejects the rows that such breaks tear."""
+    Files marked ``multiline`` in ``file_headers`` (the contract finds them) may have quoted
+    line breaks and are read by one task each; ``multiline`` reads all files so."""
     hs = file_headers if file_headers is not None else headers(spark, paths)
     if not hs:
         raise FileNotFoundError(f"no input files match {_as_list(paths)}")

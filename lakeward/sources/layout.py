@@ -1,12 +1,33 @@
-"""Layer locations under a warehouse root, Parquet sink and scan."""
+"""Layer locations under a warehouse root, Parquet sink and scan, publication.
+
+A run writes its layers to a folder of its own, ``_versions/<id>``, laid out like the
+root itself, and then appends one row to the publication log, ``_published``. Readers
+take the version of the last row. A run that ends before that leaves the earlier version in
+place, whole; a reader that has resolved a version keeps reading it. The log's row becomes
+visible with the rename of one small file. A root without a log is read as it
+stands, so layers written to the plain paths stay readable.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Collection
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeward import config as C
 
+LOG = "_published"
+VERSIONS = "_versions"
+#: What a run found out about its input files, beside the layers.
+LEDGER = "contract_ledger.parquet"
+LOG_SCHEMA = "version string, sequence bigint, published_at bigint"
+#: Published versions that a build leaves in place.
+KEPT_VERSIONS = 2
+
 
 def layer_paths(root: str) -> dict[str, str]:
     """Five artifact paths (plain strings: ``s3://b/k`` must keep its ``//``)."""
@@ -15,9 +36,73 @@ def layer_paths(root: str) -> dict[str, str]:
 
 
 def relative_paths(root: str, paths: dict[str, str]) -> dict[str, str]:
-    """Paths relative to ``root`` where possible (portable summary)."""
+    """Paths relative to ``root``, or to the version they are in, where possible (portable summary)."""
     prefix = root.rstrip("/") + "/"
-    return {k: (p[len(prefix):] if p.startswith(prefix) else p) for k, p in paths.items()}
+
+    def short(path: str) -> str:
+        if not path.startswith(prefix):
+            return path
+        rest = path[len(prefix):]
+        return rest.split("/", 2)[2] if rest.startswith(f"{VERSIONS}/") else rest
+
+    return {k: short(p) for k, p in paths.items()}
+
+
+# ------------------------------------------------------------------ publication
+
+def new_version(root: str) -> str:
+    """The root of a version that nobody reads yet."""
+    return f"{root.rstrip('/')}/{VERSIONS}/{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}"
+
+
+def publications(spark: SparkSession, root: str) -> list[str]:
+    """Ids of the published versions, the last one first; none for a root without a log."""
+    log = f"{root.rstrip('/')}/{LOG}"
+    if not _exists(spark, log):
+        return []
+    rows = spark.read.schema(LOG_SCHEMA).parquet(log).orderBy(F.desc("sequence"), F.desc("published_at"), F.desc("version")).collect()
+    return [r["version"] for r in rows]
+
+
+def current_root(spark: SparkSession, root: str) -> str:
+    """Where the layers of the last published version are, laid out as under ``root``."""
+    versions = publications(spark, root)
+    return f"{root.rstrip('/')}/{VERSIONS}/{versions[0]}" if versions else root.rstrip("/")
+
+
+def publish(spark: SparkSession, root: str, version_root: str) -> None:
+    """Make a written version the one that readers take."""
+    log = f"{root.rstrip('/')}/{LOG}"
+    row = (version_root.rsplit("/", 1)[-1], len(publications(spark, root)) + 1, time.time_ns() // 1000)
+    spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log)
+
+
+def drop_old_versions(spark: SparkSession, root: str, keep: int = KEPT_VERSIONS) -> list[str]:
+    """Delete published versions but for the last ``keep``; returns their ids. Folders of
+    runs that never published stay: a run may still be writing one."""
+    old = publications(spark, root)[max(keep, 1):]
+    gone = []
+    for version in old:
+        path = _hadoop_path(spark, f"{root.rstrip('/')}/{VERSIONS}/{version}")
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True):
+            gone.append(version)
+    return gone
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = _hadoop_path(spark, path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+# ------------------------------------------------------------------ layers
+
+def current_paths(spark: SparkSession, root: str) -> dict[str, str]:
+    """layer -> path in the last published version."""
+    return layer_paths(current_root(spark, root))
 
 
 def write_layer(df: DataFrame, path: str) -> None:
@@ -34,12 +119,19 @@ def read_layer(spark: SparkSession, path: str, view: str | None = None) -> DataF
 
 
 def read_layers(spark: SparkSession, root: str, register_views: bool = False) -> dict[str, DataFrame]:
+    """The layers of the last published version."""
     return {
         layer: read_layer(spark, path, layer if register_views else None)
-        for layer, path in layer_paths(root).items()
+        for layer, path in current_paths(spark, root).items()
     }
 
 
+def read_ledger(spark: SparkSession, root: str) -> DataFrame | None:
+    """The contract ledger of the last published version, if it has one."""
+    path = f"{current_root(spark, root)}/{LEDGER}"
+    return spark.read.parquet(path) if layer_exists(spark, path) else None
+
+
 def layer_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` resolves to a readable Parquet dataset (metadata only)."""
     try:
@@ -50,7 +142,9 @@ def layer_exists(spark: SparkSession, path: str) -> bool:
 
 
 def missing_layers(spark: SparkSession, root: str) -> list[str]:
-    return [p for p in layer_paths(root).values() if not layer_exists(spark, p)]
+    """Artifact paths, as ``layer_paths`` has them, that the last published version lacks."""
+    plain = layer_paths(root)
+    return [plain[layer] for layer, path in current_paths(spark, root).items() if not layer_exists(spark, path)]
 
 
 def assert_layers_exist(spark: SparkSession, root: str) -> None:

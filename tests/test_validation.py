@@ -13,7 +13,7 @@ from lakeward.config import Settings
 from lakeward.operators import layers as L
 from lakeward.plans.build import build_all, build_layers
 from lakeward.plans.validate import summary_frame, summary_json, validate
-from lakeward.sources.layout import layer_paths, read_layer, write_layer
+from lakeward.sources.layout import current_paths, read_layer, write_layer
 from tests.conftest import GOLDEN_HEADER, write_csv
 
 
@@ -47,7 +47,7 @@ def test_validation_summary_reconciles(spark, golden_dir, tmp_path):
 
 def test_validate_does_not_write(spark, golden_dir, tmp_path):
     root, glob = _golden(spark, golden_dir, tmp_path)
-    path = layer_paths(root)[C.GOLD_DAILY].replace("file:", "")
+    path = current_paths(spark, root)[C.GOLD_DAILY].replace("file:", "")
     before = sorted((f, os.stat(os.path.join(path, f)).st_mtime_ns) for f in os.listdir(path))
     validate(spark, root, glob)
     after = sorted((f, os.stat(os.path.join(path, f)).st_mtime_ns) for f in os.listdir(path))
@@ -63,7 +63,7 @@ def test_missing_layer_raises(spark, golden_dir, tmp_path):
 
 def _tamper(spark, root, layer, fn):
     # Write the tampered copy elsewhere first: a plan never overwrites its own input.
-    path = layer_paths(root)[layer]
+    path = current_paths(spark, root)[layer]
     write_layer(fn(read_layer(spark, path)), path + "_tampered")
     write_layer(read_layer(spark, path + "_tampered"), path)
 
