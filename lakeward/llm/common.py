@@ -29,7 +29,16 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     plans start from files that survive the loss of any executor."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Delete what ``cut`` wrote, once no later plan starts from it."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.cut_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def worker_state(name: str, make):

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import cut, salted_lookup
+from lakeward.llm.common import cut, drop_cut, salted_lookup
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -36,6 +36,7 @@ def components(links: DataFrame) -> DataFrame:
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if state == tuple(seen):
             break
-        state, now = tuple(seen), cut(_small_star(_large_star(now)), "links")
+        before, state, now = now, tuple(seen), cut(_small_star(_large_star(now)), "links")
+        drop_cut(before)
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return stars.unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

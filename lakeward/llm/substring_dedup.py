@@ -1,32 +1,34 @@
-"""Passages that repeat across documents, by MinHash over paragraph units (operator 9).
-
-A paragraph unit is a run of whole sentences in a line. Lines are cut at sentence
-starts that a hash of the next few bytes picks, so a passage that stands inside
-different lines is cut alike in each, but for its ends. Units meet if they agree
-in a band of their MinHash signature over word shingles; in each bucket all units
-are compared with one leader by the exact Jaccard similarity, and those that fail
-are compared with all others of the bucket. Before any pair meets its shingles, 256 bits of
-each unit rule out pairs that can't reach the similarity. Verified links make components. Of
-each component the document of least id keeps its units.
-
-Equal passages are found wherever they begin and end: of every ``SPAN_WORDS`` words in a
-row, the word gram of least hash is an anchor, so each run of that length that two
-documents share holds a common anchor. Anchors of several documents are followed to
-both sides: where all holders go on alike up to the next anchor, that stretch repeats
-as the anchor does; elsewhere each gram near the anchor is looked up by itself.
-
-Units and grams that repeat a document of smaller id and touch or overlap make a span,
+"""Passages that repeat across documents, by MinHash over paragraphs (operator 9).
+
+Near copies. A paragraph is a line; long lines are cut at sentence starts that a hash of the next
+few bytes picks, so a passage that stands inside different lines is cut alike in each, but for its
+ends. Paragraphs meet if they agree in a band of their MinHash signature over word shingles. Bands of
+``ROWS`` rows keep unlike paragraphs apart, and their number follows from the target recall at the least
+similarity. In each bucket all are compared with one leader, the paragraph that shares most buckets with
+others (of edited copies that is as a rule the one they were made from), by the exact Jaccard
+similarity; those that fail are compared with all others of the bucket. Before any pair meets its
+shingles, 256 bits of each paragraph rule out pairs that can't reach the similarity. Verified links
+make components. Of each component the document of least id keeps its paragraphs.
+
+Equal passages are found wherever they begin and end. Of every ``span_words / 2`` word grams of
+that length in a row, the one of least hash is an anchor, so each run of ``span_words`` words that two documents share
+holds a common anchor, and the grams of anchors in a row leave no gap. First the anchors' hashes are
+counted, 8 bytes each; only those of several documents make rows. Anchors in a row that all repeat a
+smaller document make a run, and only at the two ends of a run each gram is looked up by itself, among the
+grams beside the same anchor in other documents.
+
+Paragraphs and runs that repeat a document of smaller id and touch or overlap make a span,
 whichever documents they repeat; it is reported with the least of them if it has
-``SPAN_WORDS`` words or more.
+``span_words`` words or more.
 
-Bands and rows follow from the target recall at the least similarity. Equal units
-are one node, and each task sends a unit at most once for every ``HELD`` rows it
-has read, so a passage that a third of all documents hold makes no large bucket.
+Equal paragraphs are one node, and each task sends a paragraph's bands at most once for every ``HELD``
+paragraphs it has read, so a passage that a third of all documents hold makes no large bucket. Tables that a
+later one replaces are deleted.
 
-Defined cases: null and empty texts have no units; a unit shorter than a shingle
+Defined cases: null and empty texts have no paragraphs; a paragraph shorter than a shingle
 is one shingle; repeats inside one document alone aren't reported; rows that
 repeat an id count as one document, and equal ones among them as one row; each row
-of null id is a document of its own that keeps its units only if no other does; columns beside id and text are ignored;
+of null id is a document of its own that keeps its paragraphs only if no other does; columns beside id and text are ignored;
 an empty table gives an empty result.
 """
 
@@ -42,15 +44,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeward.llm.common import cut, salted_lookup
+from lakeward.llm.bitsets import possibly_in
+from lakeward.llm.common import cut, drop_cut, salted_lookup
 from lakeward.llm.components import components
 
-WIDTH, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.95, 2
+WIDTH, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.95, 5
 #: A sentence start is a cut if its hash is divisible by this.
-CUT_EVERY, CUT_BYTES = 2, 12
+CUT_EVERY, CUT_BYTES = 8, 12
 SPAN_WORDS = 24
-#: Rows after which a task that collects bands sends what it has.
+#: Paragraphs after which a task forgets which ones it has sent.
 HELD = 200_000
+#: Fewer shingles have no unequal neighbour: 4 of 5 shingles in common is the least that reaches the similarity.
+LEAST_SHINGLES = math.ceil(SIMILARITY / (1 - SIMILARITY) - 1e-9)
 SEED = 42
 #: Columns of 64 bits that mark a unit's shingles.
 BITS = [f"bits{k}" for k in range(4)]
@@ -62,6 +67,7 @@ SENTENCE = re.compile(r"[.!?][ \t]+(?=\S)|\n")
 KEY = "doc_id long, doc long, row long"
 UNITS = f"{KEY}, first int, start int, n_chars int, n_words int, h long, bands array<long>"
 PIECE = "first int, last int, start int, stop int"
+ANCHORS = f"{KEY}, at array<int>, h array<long>"
 #: Bytes that part words, as in bytes.split(), a random number for each byte, an odd base and its inverse.
 SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 BYTE = np.random.default_rng(SEED).integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -175,9 +181,8 @@ def anchors_of(gram: np.ndarray, text: np.ndarray, k: int, w: int) -> np.ndarray
     return np.unique(at[text[:n] == text[k + w - 2 :]])
 
 
-def anchor_rows(texts: DataFrame, k: int, w: int) -> DataFrame:
-    """(KEY, at, h, before, after): each anchor, and hashes of what stands from the anchor
-    before, or the text's start, to its end, and from its start on likewise."""
+def anchor_table(texts: DataFrame, k: int, w: int) -> DataFrame:
+    """ANCHORS: one row for each text that has any, in the order of the text."""
 
     def rows(batches):
         for batch in batches:
@@ -189,27 +194,21 @@ def anchor_rows(texts: DataFrame, k: int, w: int) -> DataFrame:
                 if not len(at):
                     continue
                 own = text[at]
-                first, last = np.searchsorted(text, own), np.searchsorted(text, own, "right")
-                fresh = np.r_[True, own[1:] != own[:-1]]
-                done = np.r_[fresh[1:], True]
-                left = np.where(fresh, first, np.r_[0, at[:-1]])
-                right = np.where(done, last, np.r_[at[1:], 0] + k)
-                total = np.r_[np.uint64(0), np.cumsum(code * powers(BASE, len(code)), dtype=np.uint64)]
-                back = powers(INVERSE, len(code))
-                before = mixed((total[at + k] - total[left]) * back[left] + fresh.astype(np.uint64))
-                after = mixed((total[right] - total[at]) * back[at] + done.astype(np.uint64))
-                who = pa.array(own)
+                who, begin = np.unique(own, return_index=True)
+                ends = pa.array(np.r_[begin, len(at)].astype(np.int32))
+                place = (at - np.searchsorted(text, own)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c).take(who) for c in range(3)), pa.array((at - first).astype(np.int32)),
-                     *(pa.array(x.view(np.int64)) for x in (gram[at], before, after))],
-                    names=["doc_id", "doc", "row", "at", "h", "before", "after"])
+                    [*(part.column(c).take(pa.array(who)) for c in range(3)), pa.ListArray.from_arrays(ends, pa.array(place)),
+                     pa.ListArray.from_arrays(ends, pa.array(gram[at].view(np.int64)))],
+                    names=["doc_id", "doc", "row", "at", "h"])
 
-    return texts.mapInArrow(rows, f"{KEY}, at int, h long, before long, after long")
+    return texts.mapInArrow(rows, ANCHORS)
 
 
-def gram_pieces(texts: DataFrame, wanted: DataFrame, k: int, w: int) -> DataFrame:
-    """(KEY, PIECE, h, low) of texts with common anchors: stretches known to repeat document
-    ``low``, and the grams near anchors whose holders part, whose documents aren't known yet."""
+def gram_pieces(texts: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
+    """(KEY, PIECE, h, low) of texts with common anchors: their runs, which repeat document
+    ``low``, and the grams beside anchors at which some document's run ends. Of the latter
+    only those beside the text's own run ends have a place."""
 
     def rows(batches):
         for batch in batches:
@@ -217,60 +216,75 @@ def gram_pieces(texts: DataFrame, wanted: DataFrame, k: int, w: int) -> DataFram
                 part = batch.slice(lot, 100)
                 code, text, start, stop = word_table([t or "" for t in part.column(3).to_pylist()])
                 gram, offset = word_grams(code, k), np.searchsorted(text, np.arange(part.num_rows + 1))
-                docs, out = part.column(1).to_pylist(), []
-                for n, held in enumerate(part.column(4).to_pylist()):
+                out = []
+                for n, (runs, beside) in enumerate(zip(part.column(4).to_pylist(), part.column(5).to_pylist())):
                     size = offset[n + 1] - offset[n]
-                    here = np.array(sorted({(x["at"], x["low"], x["parts_before"], x["parts_after"]) for x in held}), np.int64).reshape(-1, 4)
-                    at, low, ask = here[:, 0], here[:, 1], np.zeros(size - k + 1, bool)
-                    # The anchors of a text are the least grams of its windows; those that aren't common are needed too.
-                    every = anchors_of(gram[offset[n] : offset[n + 1] - k + 1], np.zeros(size, np.int64), k, w)
-                    place = np.searchsorted(every, at)
-                    left = np.where(place > 0, every[np.maximum(place - 1, 0)], 0)
-                    right = np.where(place + 1 < len(every), every[np.minimum(place + 1, len(every) - 1)] + k, size)
-                    for p in at[here[:, 2] == 1]:
-                        ask[max(p - w + 1, 0) : p] = True
-                    for p in at[here[:, 3] == 1]:
-                        ask[p + 1 : p + w] = True
-                    known = low != docs[n]
-                    pieces = np.c_[np.where(here[:, 2] == 1, at, left), np.where(here[:, 3] == 1, at + k, right)]
-                    asked = np.flatnonzero(ask)
-                    first = np.r_[pieces[known, 0], asked]
-                    last = np.r_[pieces[known, 1], asked + k]
-                    h = np.r_[np.zeros(known.sum(), np.int64), gram[offset[n] + asked].view(np.int64)]
-                    out.append((np.full(len(first), n), first, last, start[offset[n] + first], stop[offset[n] + last - 1], h,
-                                np.r_[low[known], np.zeros(len(asked), np.int64)], np.r_[np.ones(known.sum(), bool), np.zeros(len(asked), bool)]))
-                who, *place, h, low, sure = (np.concatenate(x) for x in zip(*out))
+                    given, asked = np.zeros(max(size - k + 1, 0), bool), np.zeros(max(size - k + 1, 0), bool)
+                    for x in beside or ():
+                        if x["before"]:
+                            given[max(x["at"] - k + 1, 0) : x["at"]] = True
+                        if x["after"]:
+                            given[x["at"] + 1 : x["at"] + k] = True
+                    for x in runs or ():
+                        asked[max(x["from"] - k + 1, 0) : x["from"]] = True
+                        asked[x["to"] + 1 : x["to"] + k] = True
+                    spots = np.flatnonzero(given | asked)
+                    first = np.r_[np.array([x["from"] for x in runs or ()], np.int64), spots]
+                    last = np.r_[np.array([x["to"] for x in runs or ()], np.int64), spots] + k
+                    low = np.r_[np.array([x["low"] for x in runs or ()], np.int64), np.zeros(len(spots), np.int64)]
+                    is_run = np.arange(len(first)) < len(first) - len(spots)
+                    placed = np.r_[np.ones(len(first) - len(spots), bool), asked[spots]]
+                    h = np.r_[np.zeros(len(first) - len(spots), np.int64), gram[offset[n] + spots].view(np.int64)]
+                    out.append((np.full(len(first), n), first, last, start[offset[n] + first], stop[offset[n] + last - 1], h, low, is_run, placed))
+                who, *place, h, low, is_run, placed = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c).take(pa.array(who)) for c in range(3)), *(pa.array(x.astype(np.int32)) for x in place),
-                     pa.array(h, mask=sure), pa.array(low, mask=~sure)],
+                    [*(part.column(c).take(pa.array(who)) for c in range(3)), *(pa.array(x.astype(np.int32), mask=~placed) for x in place),
+                     pa.array(h, mask=is_run), pa.array(low, mask=~is_run)],
                     names=["doc_id", "doc", "row", "first", "last", "start", "stop", "h", "low"])
 
-    found = texts.join(wanted.hint("merge"), ["doc", "row"]).select("doc_id", "doc", "row", "text", "anchors")
-    return found.mapInArrow(rows, f"{KEY}, {PIECE}, h long, low long")
+    met = possibly_in(texts, "doc", wanted).join(wanted.hint("merge"), ["doc", "row"])
+    return met.select("doc_id", "doc", "row", "text", "runs", "beside").mapInArrow(rows, f"{KEY}, {PIECE}, h long, low long")
 
 
 def equal_pieces(texts: DataFrame, span_words: int) -> DataFrame:
     """(KEY, PIECE, keep): word ranges that stand in a document of smaller id too; every
     run of ``span_words`` that does is covered from end to end."""
     k = (span_words + 1) // 2
-    w = span_words - k + 1
-    rows = cut(anchor_rows(texts, k, w), "anchors")
-    parts = lambda c: (F.min(c) != F.max(c)).cast("int")
-    common = cut(rows.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), parts("before").alias("parts_before"), parts("after").alias("parts_after"))
+    # Anchors are at most w <= k words apart, so the grams of neighbours touch.
+    table = cut(anchor_table(texts, k, min(k, span_words - k + 1)), "anchors")
+    common = cut(table.select("doc", F.explode("h").alias("h")).groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
                  .where("low != high").drop("high"), "common-anchors")
-    met = salted_lookup(rows.select("doc", "row", "at", "h"), common, ["h"], "doc", how="inner")
-    wanted = met.groupBy("doc", "row").agg(F.collect_list(F.struct("at", "low", "parts_before", "parts_after")).alias("anchors"))
-    pieces = cut(gram_pieces(texts, wanted, k, w), "pieces")
-    asked = pieces.where("low is null").drop("low")
-    least = asked.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low != high").drop("high")
-    more = salted_lookup(asked, least, ["h"], "doc", how="inner").where("low != doc")
+    each = table.select("doc", "row", F.posexplode("h").alias("nth", "h"), "at").withColumn("at", F.col("at")[F.col("nth")])
+    met = cut(possibly_in(each, "h", common).join(common.hint("merge"), "h"), "met-anchors")
+    drop_cut(table)
+    # A run: anchors in a row, each of which stands in a smaller document.
+    text = Window.partitionBy("doc", "row").orderBy("nth")
+    own = met.where("low < doc")
+    apart = lambda c: F.coalesce(F.abs(c - F.col("nth")) > 1, F.lit(True))
+    ends = own.withColumn("opens", apart(F.lag("nth").over(text))).withColumn("closes", apart(F.lead("nth").over(text)))
+    ends = cut(ends.withColumn("run", F.sum(F.col("opens").cast("int")).over(text)), "anchors-in-runs")
+    runs = ends.groupBy("doc", "row", "run").agg(F.min("at").alias("from"), F.max("at").alias("to"), F.min("low").alias("low"))
+    asked = ends.where("opens or closes").groupBy("h").agg(F.max("opens").alias("before"), F.max("closes").alias("after"))
+    beside = met.select("h", "doc", "row", "at").join(asked.hint("merge"), "h").groupBy("doc", "row").agg(
+        F.collect_list(F.struct("at", "before", "after")).alias("beside"))
+    own_runs = runs.groupBy("doc", "row").agg(F.collect_list(F.struct("from", "to", "low")).alias("runs"))
+    wanted = cut(beside.join(own_runs.hint("merge"), ["doc", "row"], "left").select("doc", "row", "runs", "beside"), "wanted")
+    drop_cut(met)
+    drop_cut(ends)
+    pieces = cut(gram_pieces(texts, wanted, k), "pieces")
+    drop_cut(wanted)
+    grams = pieces.where("low is null")
+    least = grams.groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low != high").drop("high")
+    more = grams.where("first is not null").drop("low").join(least.hint("merge"), "h").where("low < doc")
     return pieces.where("low is not null").drop("h").unionByName(more.drop("h")).withColumnRenamed("low", "keep")
 
 
 def paragraph_units(texts: DataFrame) -> DataFrame:
-    """One row per unit: where it is, its hash and its band keys."""
+    """One row per paragraph: where it is, its hash and its band keys; these are null for one the
+    task has lately read and for one too short to have an unequal neighbour."""
 
     def units(batches):
+        sent: set[int] = set()
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
@@ -287,64 +301,60 @@ def paragraph_units(texts: DataFrame) -> DataFrame:
                             owner.append(row)
                 if not words:
                     continue
-                h = np.fromiter(map(unit_hash, words), np.uint64, len(words)).view(np.int64)
-                keys = signatures(words)
+                hashes = list(map(unit_hash, words))
+                fresh = [n for n, h in enumerate(hashes) if len(words[n]) >= WIDTH + LEAST_SHINGLES - 1 and not (h in sent or sent.add(h))]
+                if len(sent) > HELD:
+                    sent.clear()
+                keys = signatures([words[n] for n in fresh]) if fresh else np.zeros((0, BANDS), np.int64)
                 place = np.array(where, np.int32)
-                ends = np.arange(0, keys.size + 1, BANDS, dtype=np.int32)
+                # The list of a paragraph without bands is empty and null.
+                has = np.zeros(len(words), bool)
+                has[fresh] = True
+                ends = np.r_[0, np.cumsum(has * BANDS)].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c).take(pa.array(owner)) for c in range(3)), *(pa.array(place[:, k]) for k in range(4)), pa.array(h),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
+                    [*(part.column(c).take(pa.array(owner)) for c in range(3)), *(pa.array(place[:, k]) for k in range(4)),
+                     pa.array(np.array(hashes, np.uint64).view(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()), mask=pa.array(~has))],
                     names=["doc_id", "doc", "row", "first", "start", "n_chars", "n_words", "h", "bands"])
 
     return texts.mapInArrow(units, UNITS)
 
 
-def band_rows(units: DataFrame) -> DataFrame:
-    """(key, h) for each band; equal units that a task reads in one go are sent once."""
-
-    def rows(batches):
-        held, n = [], 0
-
-        def send():
-            h, one = np.unique(np.concatenate([x[0] for x in held]), return_index=True)
-            keys = np.concatenate([x[1] for x in held])[one]
-            return pa.RecordBatch.from_arrays([pa.array(keys.T.ravel()), pa.array(np.tile(h, BANDS))], names=["key", "h"])
-
-        for batch in batches:
-            if batch.num_rows:
-                held.append((batch.column(0).to_numpy(), batch.column(1).flatten().to_numpy().reshape(-1, BANDS)))
-                n += batch.num_rows
-            if n >= HELD:
-                yield send()
-                held, n = [], 0
-        if n:
-            yield send()
-
-    return units.select("h", "bands").mapInArrow(rows, "key long, h long")
-
-
-def stars(bands: DataFrame) -> DataFrame:
-    """(key, leader, member) of each bucket with two units or more; the leader is the
-    unit of least hash. Buckets come sorted, so a task holds a batch at a time."""
+def shared_buckets(units: DataFrame) -> DataFrame:
+    """(key, h) of the buckets with two unequal paragraphs or more. Buckets come sorted, so a task holds a
+    batch at a time."""
 
     def runs(batches):
-        last_key = last_h = leader = None
+        held = None  # the last row, and whether it went out
         for batch in batches:
             if not batch.num_rows:
                 continue
             key, h = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            fresh = np.r_[last_key is None or key[0] != last_key, key[1:] != key[:-1]]
-            other = np.r_[fresh[0] or h[0] != last_h, (h[1:] != h[:-1]) | fresh[1:]]
-            run = np.cumsum(fresh) - (0 if fresh[0] else 1)
-            leaders = np.r_[[] if fresh[0] else [leader], h[fresh]].astype(np.int64) if not fresh[0] else h[fresh]
-            run = run - 1 if fresh[0] else run
-            lead = leaders[run]
-            member = other & ~fresh
-            if member.any():
-                yield pa.RecordBatch.from_arrays([pa.array(key[member]), pa.array(lead[member]), pa.array(h[member])], names=["key", "leader", "member"])
-            last_key, last_h, leader = key[-1], h[-1], lead[-1]
-
-    return bands.repartition("key").sortWithinPartitions("key", "h").mapInArrow(runs, "key long, leader long, member long")
+            if held is not None:
+                key, h = np.r_[held[0], key], np.r_[held[1], h]
+            same_key = np.r_[False, key[1:] == key[:-1]]
+            repeated = np.r_[False, (h[1:] == h[:-1]) & same_key[1:]]
+            key, h = key[~repeated], h[~repeated]
+            same_key = np.r_[False, key[1:] == key[:-1]]
+            out = same_key.copy()
+            out[:-1] |= same_key[1:]  # the first of its bucket, once there is a second
+            if held is not None and held[2]:
+                out[0] = False
+            if out.any():
+                yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(h[out])], names=["key", "h"])
+            went = bool(out[-1]) or (held is not None and len(key) == 1 and held[2])
+            held = (key[-1], h[-1], went)
+
+    rows = units.where("bands is not null").select("h", F.explode("bands").alias("key"))
+    return rows.select("key", "h").repartition("key").sortWithinPartitions("key", "h").mapInArrow(runs, "key long, h long")
+
+
+def led(buckets: DataFrame) -> DataFrame:
+    """(key, leader, member): in each bucket the paragraph that shares most buckets with others leads."""
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("n"))
+    degree = buckets.join(sizes.hint("merge"), "key").groupBy("h").agg(F.sum("n").alias("met"))
+    leaders = buckets.join(degree.hint("merge"), "h").groupBy("key").agg(F.max_by("h", F.struct("met", "h")).alias("leader"))
+    return buckets.withColumnRenamed("h", "member").join(leaders.hint("merge"), "key").where("member != leader").select("key", "leader", "member")
 
 
 def may_be_near() -> Column:
@@ -385,7 +395,7 @@ def shingle_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                     bits = [np.bitwise_or.reduceat(np.where(column == k, bit, np.uint64(0)), begin).view(np.int64) for k in range(len(BITS))]
                     yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), *map(pa.array, bits), pa.array(grams, pa.list_(pa.int64()))], schema=schema)
 
-    found = texts.select("doc", "text").join(wanted.hint("merge"), "doc").select("text", "hs")
+    found = possibly_in(texts.select("doc", "text"), "doc", wanted).join(wanted.hint("merge"), "doc").select("text", "hs")
     return found.mapInArrow(sets, f"h long, {', '.join(f'{c} long' for c in BITS)}, grams array<long>").dropDuplicates(["h"])
 
 
@@ -399,20 +409,22 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def unit_links(texts: DataFrame, units: DataFrame, of_unit: DataFrame) -> DataFrame:
-    """(a, b): verified links between different units that share a band."""
-    buckets = cut(stars(band_rows(units)), "buckets")
-    nodes = buckets.select(F.col("leader").alias("h")).unionAll(buckets.select(F.col("member").alias("h"))).distinct()
-    wanted = of_unit.join(nodes.hint("merge"), "h").groupBy(F.col("low").alias("doc")).agg(F.collect_list("h").alias("hs"))
-    sets = cut(shingle_sets(texts, wanted), "unit-shingles")
-    members = cut(marked(buckets.select("key", F.col("leader").alias("a"), F.col("member").alias("b")), sets, "b"), "members")
+    """(a, b): verified links between unequal paragraphs that share a band."""
+    buckets = cut(shared_buckets(units), "buckets")
+    wanted = of_unit.join(buckets.select("h").distinct().hint("merge"), "h").groupBy(F.col("low").alias("doc")).agg(F.collect_list("h").alias("hs"))
+    sets = cut(shingle_sets(texts, cut(wanted, "wanted-paragraphs")), "shingles")
+    members = cut(marked(led(buckets).select("key", F.col("leader").alias("a"), F.col("member").alias("b")), sets, "b"), "members")
     spokes = marked(members, sets, "a").where(may_be_near()).select("a", "b").distinct()
     good = cut(verified(spokes, sets), "spokes")
-    # A unit that isn't linked to its leader is held against the others of the bucket.
+    # A paragraph that isn't linked to its leader is held against the others of the bucket.
     alone = members.join(good.hint("merge"), ["a", "b"], "left_anti").select(
         "key", F.col("b").alias("a"), *(F.col(f"b_{c}").alias(f"a_{c}") for c in (*BITS, "grams")))
     close = alone.join(members.select("key", "b", *(f"b_{c}" for c in (*BITS, "grams"))).hint("merge"), "key").where((F.col("a") != F.col("b")) & may_be_near())
     more = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return good.unionAll(verified(more, sets))
+    links = cut(good.unionAll(verified(more, sets)), "paragraph-links")
+    for old in (buckets, sets, members, good):
+        drop_cut(old)
+    return links
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span_words: int = SPAN_WORDS) -> DataFrame:
