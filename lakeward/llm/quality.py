@@ -2,20 +2,19 @@
 
 A text's bytes are cut into overlapping chunks that cover it whole. Each byte
 gets a learned vector; learned filters eight bytes wide slide over a chunk at a
-stride of four and are max-pooled over it. Beside them stand, for each lag from 2
-to 33, the longest density of bytes that equal the byte that many places before,
-which shows words said again and again. The chunk vectors are combined over the
+stride of four and are max-pooled over it. The chunk vectors are combined over the
 document by their greatest value and their mean, and one logistic unit makes the
-probability.
+probability. All features are learned.
 
 Training runs on the driver over a bounded sample of labelled rows: at most
-``SAMPLE`` ids for each class, those with the smallest hash. Training and scoring
+``SAMPLE`` ids for each class, those with the smallest hash, as far as their texts have
+``SAMPLE_BYTES`` bytes together (in the order of the hash; a text that doesn't fit is left out whole). Training and scoring
 read every chunk of a text, pooled in slices. Ids, languages, sources and labels are never inputs of a score.
 
 Defined cases: null and empty texts are scored as one chunk of padding; a text
 longer than any sample is scored in slices of bounded size; labels without a
 text, or with a null quality, are ignored; of several labels of an id the
-greatest counts; without labels every score is 0.5, and with one class only, that
+greatest counts, and of several texts of an id the first in byte order is learned from; without labels every score is 0.5, and with one class only, that
 class's rate; repeated rows get equal scores; other columns are ignored.
 """
 
@@ -25,15 +24,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK, OVERLAP = 512, 32
 STEP, WIDTH = 4, 8
 VECTOR, FILTERS = 8, 32
-LAGS = tuple(range(2, 34))
 #: Labelled rows of each class that training reads at most.
 SAMPLE = 1500
+#: Bytes of text that training reads at most.
+SAMPLE_BYTES = 64 << 20
 EPOCHS, BATCH, RATE, SEED = 10, 48, 5e-3, 7
 #: Chunks that are scored or learned from at a time: bounds memory for any length of text.
 SLICE = 512
@@ -48,16 +48,6 @@ def chunks_of(text: bytes) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(padded, CHUNK)[::stride]
 
 
-def echoes(chunks: np.ndarray) -> np.ndarray:
-    """For each chunk and lag, the greatest share of equal bytes in 32 adjacent ones."""
-    out = np.zeros((len(chunks), len(LAGS)), np.float32)
-    for k, lag in enumerate(LAGS):
-        same = (chunks[:, lag:] == chunks[:, :-lag]) & (chunks[:, lag:] != 0)
-        blocks = same[:, : same.shape[1] // 16 * 16].reshape(len(chunks), -1, 16).sum(axis=2, dtype=np.uint8)
-        out[:, k] = (blocks[:, 1:] + blocks[:, :-1]).max(axis=1) / np.float32(32)
-    return out
-
-
 @dataclass
 class Net:
     embed: np.ndarray  # 256 x VECTOR
@@ -79,9 +69,8 @@ class Net:
         return one[:, :-1] + two[:, 1:]
 
     def pooled(self, chunks: np.ndarray) -> np.ndarray:
-        """Chunk vectors: max-pooled filters, then echoes."""
-        conv = np.maximum(self.filtered(self.blocks(chunks)).max(axis=1) + self.bias, 0)
-        return np.concatenate([conv, echoes(chunks)], axis=1)
+        """Chunk vectors: max-pooled filters."""
+        return np.maximum(self.filtered(self.blocks(chunks)).max(axis=1) + self.bias, 0)
 
     def score(self, text: bytes) -> float:
         chunks = chunks_of(text)
@@ -96,6 +85,44 @@ class Net:
         return 1 / (1 + np.exp(-np.clip(logit.astype(np.float64), -30, 30)))
 
 
+def gradients(net: Net, x: np.ndarray, sizes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, list[np.ndarray]]:
+    """The mean weighted log loss over documents of so many chunks each (x: all chunks in turn), and its
+    gradients by embed, first, second, bias, weight and offset."""
+    begin = np.r_[0, np.cumsum(sizes)[:-1]]
+    top, hidden = np.zeros((len(x), FILTERS), np.int64), np.zeros((len(x), FILTERS), net.first.dtype)
+    slices = [slice(i, i + SLICE) for i in range(0, len(x), SLICE)]
+    for part in slices:
+        conv = net.filtered(net.blocks(x[part]))
+        top[part] = conv.argmax(axis=1)
+        hidden[part] = np.maximum(np.take_along_axis(conv, top[part][:, None], axis=1)[:, 0] + net.bias, 0)
+    greatest = np.maximum.reduceat(hidden, begin)
+    doc = np.concatenate([greatest, np.add.reduceat(hidden, begin) / sizes[:, None]], axis=1)
+    z = (doc - net.mean) / net.scale
+    p = 1 / (1 + np.exp(-np.clip(z @ net.weight + net.offset, -30, 30)))
+    loss = float(-(weights * np.log(np.where(labels == 1, p, 1 - p))).mean())
+    err = ((p - labels) * weights / len(sizes)).astype(net.first.dtype)
+    g_doc = err[:, None] * (net.weight / net.scale)[None]
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    # The greatest value's gradient goes to the first chunk that reaches it.
+    reach = hidden == greatest[of]
+    rank = np.cumsum(reach, axis=0)
+    before = np.concatenate([np.zeros((1, FILTERS), rank.dtype), rank])[begin]
+    g_hidden = (np.where(reach & (rank == before[of] + 1), g_doc[of, :FILTERS], 0) + g_doc[of, FILTERS:] / sizes[of, None]) * (hidden > 0)
+    # Only the winning position of each filter passes a gradient on.
+    g_first, g_second, g_embed = np.zeros_like(net.first), np.zeros_like(net.second), np.zeros_like(net.embed)
+    kernel = np.concatenate([net.first, net.second]).T.reshape(FILTERS, WIDTH, VECTOR)
+    for part in slices:
+        chunks, at_top, g_part = x[part], top[part], g_hidden[part]
+        line, blocks = np.arange(len(chunks))[:, None], net.blocks(chunks)
+        g_first += np.einsum("rf,rfi->if", g_part, blocks[line, at_top])
+        g_second += np.einsum("rf,rfi->if", g_part, blocks[line, at_top + 1])
+        spots = (at_top * STEP)[:, :, None] + np.arange(WIDTH)
+        back = (g_part[:, :, None, None] * kernel).reshape(-1, VECTOR)
+        hit = chunks[line[:, :, None], spots].ravel()
+        g_embed += np.stack([np.bincount(hit, back[:, d], 256) for d in range(VECTOR)], axis=1).astype(net.embed.dtype)
+    return loss, [g_embed, g_first, g_second, g_hidden.sum(axis=0), z.T @ err, np.array([err.sum()], err.dtype)]
+
+
 def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int = SEED) -> Net:
     """Fit on all chunks of the texts; ``weights`` give each class its
     share among all labelled rows."""
@@ -105,9 +132,8 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int
     starts = np.cumsum([0, *map(len, parts)])
     net = Net(
         rng.normal(0, 0.5, (256, VECTOR)).astype(np.float32), *(rng.normal(0, 0.2, (STEP * VECTOR, FILTERS)).astype(np.float32) for _ in range(2)),
-        np.zeros(FILTERS, np.float32), np.zeros(2 * (FILTERS + len(LAGS)), np.float32), 0.0, np.zeros(1, np.float32), np.ones(1, np.float32))
+        np.zeros(FILTERS, np.float32), np.zeros(2 * FILTERS, np.float32), 0.0, np.zeros(1, np.float32), np.ones(1, np.float32))
     net.embed[0] = 0
-    echo = np.concatenate([echoes(chunks[i : i + SLICE]) for i in range(0, len(chunks), SLICE)])
     vectors = np.concatenate([net.pooled(chunks[i : i + SLICE]) for i in range(0, len(chunks), SLICE)])
     docs = np.concatenate([np.maximum.reduceat(vectors, starts[:-1]), np.add.reduceat(vectors, starts[:-1]) / np.diff(starts)[:, None]], axis=1)
     net.mean, net.scale = docs.mean(axis=0), docs.std(axis=0) + 0.05
@@ -122,46 +148,15 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray, seed: int
         for at in range(0, n, BATCH):
             pick = order[at : at + BATCH]
             rows = np.concatenate([np.arange(starts[d], starts[d + 1]) for d in pick])
-            sizes = np.array([starts[d + 1] - starts[d] for d in pick])
-            begin = np.r_[0, np.cumsum(sizes)[:-1]]
-            top, hidden = np.zeros((len(rows), FILTERS), np.int64), np.zeros((len(rows), FILTERS), np.float32)
-            slices = [slice(i, i + SLICE) for i in range(0, len(rows), SLICE)]
-            for part in slices:
-                conv = net.filtered(net.blocks(chunks[rows[part]]))
-                top[part] = conv.argmax(axis=1)
-                hidden[part] = np.maximum(np.take_along_axis(conv, top[part][:, None], axis=1)[:, 0] + net.bias, 0)
-            both = np.concatenate([hidden, echo[rows]], axis=1)
-            greatest = np.maximum.reduceat(both, begin)
-            doc = np.concatenate([greatest, np.add.reduceat(both, begin) / sizes[:, None]], axis=1)
-            z = (doc - net.mean) / net.scale
-            p = 1 / (1 + np.exp(-np.clip(z @ net.weight + offset[0], -30, 30)))
-            err = ((p - labels[pick]) * weights[pick] / len(pick)).astype(np.float32)
-            g_doc = err[:, None] * (net.weight / net.scale)[None]
-            of = np.repeat(np.arange(len(pick)), sizes)
-            width = both.shape[1]
-            g_both = np.where(both == greatest[of], g_doc[of, :width], 0) + g_doc[of, width:] / sizes[of, None]
-            g_hidden = g_both[:, :FILTERS] * (hidden > 0)
-            # Only the winning position of each filter passes a gradient on.
-            g_first, g_second, g_embed = np.zeros_like(net.first), np.zeros_like(net.second), np.zeros_like(net.embed)
-            filters = np.arange(FILTERS)
-            kernel = np.concatenate([net.first, net.second]).T.reshape(FILTERS, WIDTH, VECTOR)
-            for part in slices:
-                x, at_top, g_part = chunks[rows[part]], top[part], g_hidden[part]
-                line, blocks = np.arange(len(x))[:, None], net.blocks(x)
-                g_first += np.einsum("rf,rfi->if", g_part, blocks[line, at_top])
-                g_second += np.einsum("rf,rfi->if", g_part, blocks[line, at_top + 1])
-                spots = (at_top * STEP)[:, :, None] + np.arange(WIDTH)
-                back = (g_part[:, :, None, None] * kernel[filters]).reshape(-1, VECTOR)
-                hit = x[line[:, :, None], spots].ravel()
-                g_embed += np.stack([np.bincount(hit, back[:, d], 256) for d in range(VECTOR)], axis=1).astype(np.float32)
-            grads = [g_embed, g_first, g_second, g_hidden.sum(axis=0), z.T @ err + 1e-4 * net.weight, np.array([err.sum()], np.float32)]
+            _, grads = gradients(net, chunks[rows], np.array([starts[d + 1] - starts[d] for d in pick]), labels[pick], weights[pick])
+            grads[4] = grads[4] + 1e-4 * net.weight
             step += 1
             for p_, g_, (m, v) in zip(params, grads, moments, strict=True):
                 m += 0.1 * (g_ - m)
                 v += 0.001 * (g_ * g_ - v)
                 p_ -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
             net.embed[0] = 0
-    net.offset = float(offset[0])
+            net.offset = float(offset[0])
     return net
 
 
@@ -179,9 +174,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     few = known.where("y = 1").orderBy(drawn).limit(SAMPLE).unionAll(known.where("y != 1").orderBy(drawn).limit(SAMPLE))
     # At most 2 * SAMPLE ids: small enough for any task.
-    rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"])
-            .select("doc_id", "y", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("body")).collect())
+    body = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
+    found = (docs.select(F.col(id_col).alias("doc_id"), body.alias("body")).join(F.broadcast(few), "doc_id")
+             .groupBy("doc_id", "y").agg(F.min("body").alias("body")))
+    # One row for each id by now, so this window has a bounded number of them.
+    upto = F.sum(F.length("body")).over(Window.partitionBy(F.lit(0)).orderBy(drawn, "doc_id"))
+    rows = found.withColumn("_upto", upto).where(F.col("_upto") <= SAMPLE_BYTES).drop("_upto").collect()
     rows.sort(key=lambda r: r["doc_id"])
     y = np.array([r["y"] == 1 for r in rows], np.float32)
     if not len(y) or y.min() == y.max():
