@@ -111,6 +111,23 @@ def _parts(settings: Settings) -> list[tuple[str, Callable[[DataFrame], DataFram
     ]
 
 
+#: Metrics that one pass of plain aggregates over the written rows can't give.
+NOT_OBSERVED: tuple[str, ...] = ("duplicate_event_ids", "distinct_customers_from_latest_state")
+
+
+def observable(layer: str, settings: Settings = DEFAULT) -> list[Column]:
+    """The metrics of a layer that can be observed while it is written."""
+    return [expr.alias(name) for of, _, exprs in _parts(settings) for name, expr in exprs.items() if of == layer and name not in NOT_OBSERVED]
+
+
+def metrics_with(values: Mapping[str, object], layers: Mapping[str, DataFrame], settings: Settings = DEFAULT) -> DataFrame:
+    """The metrics row of a build from what its writes observed; only the metrics that can't be
+    observed read their layers."""
+    rest = metrics(layers, settings, only=[k for k in METRIC_TYPES if k not in values])
+    types = _typed(settings)
+    return rest.select(*[(F.lit(values[k]).cast(types[k]) if k in values else F.col(k)).alias(k) for k in METRIC_TYPES])
+
+
 def metric_layers(only: Collection[str]) -> set[str]:
     """The layers that the named metrics read."""
     return {layer for layer, _, exprs in _parts(DEFAULT) if not exprs.keys().isdisjoint(only)}

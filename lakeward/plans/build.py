@@ -13,13 +13,15 @@ published once it is whole (``sources.layout``).
 from __future__ import annotations
 
 from collections.abc import Collection, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from lakeward import config as C
 from lakeward.config import DEFAULT, Settings
 from lakeward.operators import contract as CT
 from lakeward.operators import layers as L
+from lakeward.operators import quality as Q
 from lakeward.sources import batches as B
 from lakeward.sources import layout as W
 
@@ -29,9 +31,11 @@ UPSTREAM: dict[str, str] = {C.SILVER: C.BRONZE, C.LATEST: C.SILVER, C.GOLD_DAILY
 
 
 def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings: Settings = DEFAULT,
-                 wanted: Collection[str] = C.LAYERS, ledger: DataFrame | None = None) -> dict[str, str]:
+                 wanted: Collection[str] = C.LAYERS, ledger: DataFrame | None = None,
+                 observed: dict[str, object] | None = None) -> dict[str, str]:
     """Bronze -> silver -> latest -> gold from an already-gated raw frame: the wanted
-    layers and those they are made from, published together. Returns layer -> path."""
+    layers and those they are made from, published together. Returns layer -> path.
+    ``observed`` gets the metrics of each layer that its write sees anyway."""
     needed = set(wanted)
     for layer in reversed(C.LAYERS):
         if layer in needed and layer in UPSTREAM:
@@ -48,25 +52,45 @@ def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings
     for layer in C.LAYERS:
         if layer in needed:
             source = W.read_layer(spark, paths[UPSTREAM[layer]]) if layer in UPSTREAM else raw
-            W.write_layer(made[layer](source), paths[layer])
+            frame = made[layer](source)
+            if observed is None:
+                W.write_layer(frame, paths[layer])
+            else:
+                seen = Observation(layer)
+                W.write_layer(frame.observe(seen, *Q.observable(layer, settings)), paths[layer])
+                observed.update(seen.get)
     if ledger is not None:
         W.write_layer(ledger, f"{version}/{W.LEDGER}")
     W.publish(spark, output_root, version)
     return paths
 
 
-def build_all(spark: SparkSession, input_paths: str | Sequence[str], output_root: str,
-              settings: Settings = DEFAULT) -> dict[str, str]:
-    """Contract gate on the raw batches, then an idempotent full rebuild of
-    every layer in a new version. Returns layer -> path. Files that the last version's ledger
-    knows unchanged aren't parsed for the contract again; the last two versions stay."""
+@dataclass(frozen=True)
+class BuildReport:
+    paths: dict[str, str]
+    contract: CT.ContractSummary
+    observed: dict[str, object] = field(default_factory=dict)
+
+
+def build_with_report(spark: SparkSession, input_paths: str | Sequence[str], output_root: str,
+                      settings: Settings = DEFAULT, observe: bool = True) -> BuildReport:
+    """``build_all`` with the contract's summary and the metrics observed while the layers were written."""
     ledger = W.read_ledger(spark, output_root)
     hs = B.headers(spark, input_paths, ledger)
     if not hs:
         raise FileNotFoundError(f"no input files match {input_paths}")
     found = CT.file_profiles(spark, hs, settings.multiline_csv, ledger)
-    CT.passed(CT.summarise(spark, hs, found, settings.contract))
+    contract = CT.passed(CT.summarise(spark, hs, found, settings.contract))
     raw = B.read_batches(spark, input_paths, CT.with_line_breaks(hs, found), multiline=settings.multiline_csv)
-    paths = build_layers(spark, raw, output_root, settings, ledger=CT.ledger_rows(spark, hs, found))
+    observed: dict[str, object] = {}
+    paths = build_layers(spark, raw, output_root, settings, ledger=CT.ledger_rows(spark, hs, found), observed=observed if observe else None)
     W.drop_old_versions(spark, output_root)
-    return paths
+    return BuildReport(paths, contract, observed)
+
+
+def build_all(spark: SparkSession, input_paths: str | Sequence[str], output_root: str,
+              settings: Settings = DEFAULT) -> dict[str, str]:
+    """Contract gate on the raw batches, then an idempotent full rebuild of
+    every layer in a new version. Returns layer -> path. Files that the last version's ledger
+    knows unchanged aren't parsed for the contract again; the last two versions stay."""
+    return build_with_report(spark, input_paths, output_root, settings, observe=False).paths

@@ -22,7 +22,7 @@ from lakeward.functions import columns as X
 from lakeward.operators import contract as CT
 from lakeward.operators import freshness as FR
 from lakeward.operators import quality as Q
-from lakeward.sources.layout import assert_layers_exist, layer_paths, read_layers, read_ledger, relative_paths
+from lakeward.sources.layout import assert_layers_exist, layer_paths, read_layer, read_layers, read_ledger, relative_paths
 
 SUMMARY_SCALARS: tuple[str, ...] = (
     "schema_files_checked", "bronze_rows", "silver_rows", "duplicate_event_ids", "latest_state_rows",
@@ -80,8 +80,11 @@ def validate(spark: SparkSession, output_root: str, input_paths: str | Sequence[
     else:
         schema = CT.ContractSummary(0, {}, [])
     assert_layers_exist(spark, output_root)
-    layers = read_layers(spark, output_root)
-    m = metrics_row(spark, layers, settings)
+    return judged(metrics_row(spark, read_layers(spark, output_root), settings), schema, settings)
+
+
+def judged(m: DataFrame, schema: CT.ContractSummary, settings: Settings = DEFAULT) -> ValidationSummary:
+    """The gates and the freshness gate over one metrics row; raises on the first that fails."""
     failure = first_failed_gate(Q.checks(m))
     if failure:
         raise ValueError(failure)
@@ -179,13 +182,17 @@ def summary_json(summary_df: DataFrame) -> DataFrame:
 
 def snapshot(spark: SparkSession, input_paths: str | Sequence[str], output_root: str,
              settings: Settings = DEFAULT) -> dict:
-    """Build, then validate; ``ready`` with the summary or ``degraded`` with the error."""
-    from lakeward.plans.build import build_all
+    """Build, then judge the build by the contract summary and the metrics it observed while it
+    wrote; ``ready`` with the summary or ``degraded`` with the error. Only silver and latest state are
+    read again, once, one column each; ``validate`` is the check that reads all anew."""
+    from lakeward.plans.build import build_with_report
 
     paths = layer_paths(output_root)
     try:
-        build_all(spark, input_paths, output_root, settings)
-        summary = validate(spark, output_root, input_paths, settings)
+        report = build_with_report(spark, input_paths, output_root, settings)
+        layers = {layer: read_layer(spark, path) for layer, path in report.paths.items()}
+        rest = Q.metrics_with(report.observed, layers, settings)
+        summary = judged(spark.createDataFrame(rest.collect(), rest.schema), report.contract, settings)
     except Exception as exc:  # noqa: BLE001 - surfaced in the snapshot
         return {"status": "degraded", "error": str(exc), "artifacts": relative_paths(output_root, paths),
                 "validation": None}
