@@ -254,7 +254,7 @@ def equal_pieces(texts: DataFrame, span_words: int) -> DataFrame:
     table = cut(anchor_table(texts, k, min(k, span_words - k + 1)), "anchors")
     common = cut(table.select("doc", F.explode("h").alias("h")).groupBy("h").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
                  .where("low != high").drop("high"), "common-anchors")
-    each = table.select("doc", "row", F.posexplode("h").alias("nth", "h"), "at").withColumn("at", F.col("at")[F.col("nth")])
+    each = table.select("doc", "row", F.posexplode(F.arrays_zip("at", "h")).alias("nth", "x")).select("doc", "row", "nth", "x.at", "x.h")
     met = cut(possibly_in(each, "h", common).join(common.hint("merge"), "h"), "met-anchors")
     drop_cut(table)
     # A run: anchors in a row, each of which stands in a smaller document.
