@@ -52,16 +52,18 @@ def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings
     for layer in C.LAYERS:
         if layer in needed:
             source = W.read_layer(spark, paths[UPSTREAM[layer]]) if layer in UPSTREAM else raw
-            frame = made[layer](source)
-            if observed is None:
-                W.write_layer(frame, paths[layer])
+            frame, seen = made[layer](source), Observation(layer)
+            if observed is not None:
+                frame = frame.observe(seen, *Q.observable(layer, settings))
+            if layer == C.SILVER and settings.silver_buckets:
+                W.write_bucketed(frame, paths[layer], W.BUCKET_KEY, settings.silver_buckets)
             else:
-                seen = Observation(layer)
-                W.write_layer(frame.observe(seen, *Q.observable(layer, settings)), paths[layer])
+                W.write_layer(frame, paths[layer])
+            if observed is not None:
                 observed.update(seen.get)
     if ledger is not None:
         W.write_layer(ledger, f"{version}/{W.LEDGER}")
-    W.publish(spark, output_root, version)
+    W.publish(spark, output_root, version, settings.silver_buckets if C.SILVER in needed else 0)
     return paths
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward import config as C
+from lakeward.config import Settings
 from lakeward.functions import columns as X
 from lakeward.operators import contract as CT
 from lakeward.operators import freshness as FR
@@ -22,7 +23,7 @@ from lakeward.plans.oracle import with_ctes
 from lakeward.session import scratch_path
 from lakeward.sources import batches as B
 from lakeward.sources.fixtures import order_events, write_csv_batches
-from lakeward.sources.layout import (current_paths, layer_exists, read_layer, read_layers, relative_paths,
+from lakeward.sources.layout import (BUCKET_KEY, current_paths, layer_exists, read_bucketed, read_layer, read_layers, relative_paths,
                                      write_layer)
 
 
@@ -231,6 +232,19 @@ def q_missing_layers(spark, sf):
     return counts.select("layer", F.col("layer").isin(*sorted(present)).alias("layer_exists"), "row_count")
 
 
+@register("bucketed_silver_keys", with_ctes("silver", """
+select count(*) as silver_rows, count(distinct event_id) as keys,
+       (select count(*) from (select event_id from silver group by 1 having count(*) > 1)) as duplicate_keys
+from silver"""))
+def q_bucketed_silver(spark, sf):
+    """Silver written in buckets of its key: rows, keys and duplicate keys from one scan without a shuffle of rows."""
+    root = scratch_path(spark, "warehouse-bucketed")
+    build_layers(spark, order_events(spark, sf), root, Settings(silver_buckets=8), wanted=(C.SILVER,))
+    silver = read_bucketed(spark, current_paths(spark, root)[C.SILVER], BUCKET_KEY, 8)
+    keys = silver.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+    return keys.agg(F.sum("n").alias("silver_rows"), F.count(F.lit(1)).alias("keys"), F.count_if(F.col("n") > 1).alias("duplicate_keys"))
+
+
 # ------------------------------------------------------------------ C: contract
 
 def _profile(spark, sf):

@@ -56,8 +56,12 @@ def main(argv: list[str] | None = None) -> int:
                              "shuffle (dedupe), AQE coalesces the small ones")
     parser.add_argument("--multiline", action="store_true",
                         help="accept quoted line breaks in the CSV input (one task per file)")
+    parser.add_argument("--silver-buckets", type=int, default=DEFAULT.silver_buckets,
+                        help="write silver in so many buckets of event_id, so that validation counts its keys "
+                             "without a shuffle (0: no buckets); as many as shuffle partitions of 128-256 MB")
     args = parser.parse_args(argv)
-    settings = Settings(money_total_type=args.money_total_type, multiline_csv=args.multiline)
+    settings = Settings(money_total_type=args.money_total_type, multiline_csv=args.multiline,
+                        silver_buckets=args.silver_buckets)
 
     own = SparkSession.getActiveSession() is None
     spark = builder("lakeward-job", shuffle_partitions=args.shuffle_partitions).getOrCreate()

@@ -6,13 +6,19 @@ take the version of the last row. A run that ends before that leaves the earlier
 place, whole; a reader that has resolved a version keeps reading it. The log's row becomes
 visible with the rename of one small file. A root without a log is read as it
 stands, so layers written to the plain paths stay readable.
+
+Silver can be written in buckets of its key, sorted by it. Its readers go through a table
+of the session's catalog that names the buckets, so what groups or joins by the key needs no
+shuffle. The tables are external: dropping one leaves the files.
 """
 
 from __future__ import annotations
 
+import contextlib
+import hashlib
 import time
 import uuid
-from collections.abc import Collection
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +30,9 @@ LOG = "_published"
 VERSIONS = "_versions"
 #: What a run found out about its input files, beside the layers.
 LEDGER = "contract_ledger.parquet"
-LOG_SCHEMA = "version string, sequence bigint, published_at bigint"
+LOG_SCHEMA = "version string, sequence bigint, published_at bigint, silver_buckets int"
+#: What silver is bucketed by.
+BUCKET_KEY = "event_id"
 #: Published versions that a build leaves in place.
 KEPT_VERSIONS = 2
 
@@ -55,25 +63,34 @@ def new_version(root: str) -> str:
     return f"{root.rstrip('/')}/{VERSIONS}/{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}"
 
 
-def publications(spark: SparkSession, root: str) -> list[str]:
-    """Ids of the published versions, the last one first; none for a root without a log."""
+def _log_rows(spark: SparkSession, root: str) -> list:
     log = f"{root.rstrip('/')}/{LOG}"
     if not _exists(spark, log):
         return []
-    rows = spark.read.schema(LOG_SCHEMA).parquet(log).orderBy(F.desc("sequence"), F.desc("published_at"), F.desc("version")).collect()
-    return [r["version"] for r in rows]
+    return spark.read.schema(LOG_SCHEMA).parquet(log).orderBy(F.desc("sequence"), F.desc("published_at"), F.desc("version")).collect()
+
+
+def publications(spark: SparkSession, root: str) -> list[str]:
+    """Ids of the published versions, the last one first; none for a root without a log."""
+    return [r["version"] for r in _log_rows(spark, root)]
 
 
 def current_root(spark: SparkSession, root: str) -> str:
     """Where the layers of the last published version are, laid out as under ``root``."""
-    versions = publications(spark, root)
-    return f"{root.rstrip('/')}/{VERSIONS}/{versions[0]}" if versions else root.rstrip("/")
+    return _current(spark, root)[0]
+
+
+def _current(spark: SparkSession, root: str) -> tuple[str, int]:
+    """The last published version's root and its silver's buckets."""
+    rows = _log_rows(spark, root)
+    plain = root.rstrip("/")
+    return (f"{plain}/{VERSIONS}/{rows[0]['version']}", rows[0]["silver_buckets"] or 0) if rows else (plain, 0)
 
 
-def publish(spark: SparkSession, root: str, version_root: str) -> None:
+def publish(spark: SparkSession, root: str, version_root: str, silver_buckets: int = 0) -> None:
     """Make a written version the one that readers take."""
     log = f"{root.rstrip('/')}/{LOG}"
-    row = (version_root.rsplit("/", 1)[-1], len(publications(spark, root)) + 1, time.time_ns() // 1000)
+    row = (version_root.rsplit("/", 1)[-1], len(publications(spark, root)) + 1, time.time_ns() // 1000, silver_buckets)
     spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log)
 
 
@@ -83,7 +100,9 @@ def drop_old_versions(spark: SparkSession, root: str, keep: int = KEPT_VERSIONS)
     old = publications(spark, root)[max(keep, 1):]
     gone = []
     for version in old:
-        path = _hadoop_path(spark, f"{root.rstrip('/')}/{VERSIONS}/{version}")
+        folder = f"{root.rstrip('/')}/{VERSIONS}/{version}"
+        spark.sql(f"drop table if exists {_bucket_table(layer_paths(folder)[C.SILVER])}")
+        path = _hadoop_path(spark, folder)
         if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True):
             gone.append(version)
     return gone
@@ -111,6 +130,44 @@ def write_layer(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+@contextlib.contextmanager
+def session_conf(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Settings that hold within the block; ``__`` stands for a dot."""
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _bucket_table(path: str) -> str:
+    return f"lakeward_silver_{hashlib.md5(path.encode()).hexdigest()[:16]}"
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    """Write a layer in buckets of ``key``, sorted by it. A frame that was last shuffled by the key (as
+    the dedupe is) is shuffled into the buckets themselves: one task and one file for each."""
+    spark = df.sparkSession
+    name = f"{_bucket_table(path)}_writer"
+    with session_conf(spark, spark__sql__shuffle__partitions=str(buckets), spark__sql__adaptive__coalescePartitions__enabled="false"):
+        df.write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    spark.sql(f"drop table if exists {name}")
+
+
+def read_bucketed(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
+    """A layer that ``write_bucketed`` wrote, through a table that knows the buckets."""
+    name = _bucket_table(path)
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        place = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"create table if not exists {name} ({columns}) using parquet clustered by (`{key}`) sorted by (`{key}`) into {buckets} buckets location '{place}'")
+    return spark.table(name)
+
+
 def read_layer(spark: SparkSession, path: str, view: str | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     if view:
@@ -120,10 +177,14 @@ def read_layer(spark: SparkSession, path: str, view: str | None = None) -> DataF
 
 def read_layers(spark: SparkSession, root: str, register_views: bool = False) -> dict[str, DataFrame]:
     """The layers of the last published version."""
-    return {
-        layer: read_layer(spark, path, layer if register_views else None)
-        for layer, path in current_paths(spark, root).items()
-    }
+    version, buckets = _current(spark, root)
+    out = {}
+    for layer, path in layer_paths(version).items():
+        bucketed = buckets and layer == C.SILVER
+        out[layer] = read_bucketed(spark, path, BUCKET_KEY, buckets) if bucketed else read_layer(spark, path)
+        if register_views:
+            out[layer].createOrReplaceTempView(layer)
+    return out
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame | None:
