@@ -16,12 +16,15 @@ that constants are most of an article, they stay.
 Tags and class words are hints within that: the main text is what stands in elements
 named or marked as article or main, from the outermost on and all of them, if they hold
 any of the page's own text, and else all of the body; without parts that are navigation,
-headers, footers, asides, forms, scripts or, by their class, id or role, adverts, notices,
-comments and the like. Class words don't rule out an element that holds the page's
-longest article or, where no article stands apart from it, over half of its text. In
+headers, footers, asides, scripts or, by their class, id or role, adverts, notices,
+comments and the like. A class name counts if all its words say so (``social-science`` doesn't).
+Neither class words nor forms rule out an element that holds the page's
+longest article or, where no article stands apart from it, over half of its text. In an
+article, headings, paragraphs, list items and cells stay even where all pages share them. In
 texts outside articles, ones that only some pages have are constant from
 ``CONSTANT_PAGES`` pages on.
 
+End tags that HTML leaves out (of paragraphs, list items, cells) are implied.
 Character references are decoded, white space inside a block becomes one space,
 and blocks are joined in page order by two newlines.
 
@@ -37,6 +40,7 @@ import html as markup
 import json
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +52,7 @@ from lakeward.llm.url_filters import host_of
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>", re.S)
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s<>\"']?[^\s<>]*+)|[\"'])*+)>", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 RAW = re.compile(r"(script|style|noscript|template|textarea|title|iframe|svg|select|math)\Z", re.I)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -58,7 +62,21 @@ APART_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer "
     "header login masthead menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promotion "
     "recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget".split())
+#: Words that may stand beside those in a class name without changing what it means; with any
+#: other word (social-science, related-work, has-sidebar) it names something else.
+BESIDE_NAMES = frozenset(
+    "area bar block body bottom box btn button buttons col column container content fixed form global group head inner item items layer left link "
+    "links list main menu module nav outer overlay page panel post right row section site slot sticky strip text title top unit wrap wrapper zone".split())
 MAIN_NAMES = frozenset("article main articlebody".split())
+#: Elements whose texts are prose: in an article they stay although all pages of the host share them.
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th caption figcaption blockquote pre summary".split())
+#: End tags that HTML leaves out: what opens closes these, up to the elements that hold them.
+BLOCKS = frozenset("address article aside blockquote details dialog div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: (members, what opens and closes the nearest member, what a member isn't closed across).
+IMPLIED = (
+    (("p",), BLOCKS, ("td", "th", "button", "object", "caption", "body")), (("li",), ("li",), ("ul", "ol", "menu")), (("dt", "dd"), ("dt", "dd"), ("dl",)),
+    (("option",), ("option",), ("select",)), (("tr",), ("tr",), ("table",)), (("td", "th"), ("td", "th"), ("table", "tr")))
+MEMBER, CLOSES, HOLDS = ({name: sum(1 << i for i, group in enumerate(IMPLIED) if name in group[k]) for group in IMPLIED for name in group[k]} for k in range(3))
 #: Class words that an article's own parts may have.
 OWN_NAMES = frozenset(["header"])
 #: Marks of texts in articles lie above those of others; the mark that counts pages.
@@ -94,16 +112,22 @@ def tokens(page: str):
         yield ("t", page[at:])
 
 
-def names_of(attributes: str) -> tuple[set[str], set[str]]:
-    """Words of class, id and role, and the values of role and itemprop."""
-    words, roles = set(), set()
+def names_of(attributes: str) -> tuple[set[str], set[str], set[str]]:
+    """Words of class, id and role, those of them that name a part apart, and the values of
+    role and itemprop."""
+    words, apart, roles = set(), set(), set()
     for name, *values in ATTRIBUTE.findall(attributes):
         value = next((v for v in values if v), "")
         if name.lower() in ("class", "id", "role"):
-            words.update(w.lower() for w in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", value) if w)
+            for one in value.split():
+                own = {w.lower() for w in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", one) if w}
+                words |= own
+                told = own & APART_NAMES
+                if told and all(w in BESIDE_NAMES or not w.isalpha() for w in own - told):
+                    apart |= told
         if name.lower() in ("role", "itemprop"):
             roles.add(value.lower())
-    return words, roles
+    return words, apart, roles
 
 
 class Page:
@@ -116,9 +140,12 @@ class Page:
         self.apart: list[bool] = []
         self.main: list[int] = []  # the outermost article that a text stands in, or -1
         self.path: list[int] = []  # hash of the tags around a text in its article, or 0
+        self.prose: list[bool] = []
         # Of each element: name, parent, ruled out by tag, by class words, an article, outermost article, path.
         nodes: list[tuple[str, int, bool, bool, bool, int, int]] = [("", -1, False, False, False, -1, 0)]
         stack, owner, block = [0], [], 0
+        opened = Counter({"": 1})  # names on the stack
+        scope = [0]  # of each element on the stack, a bit for each group of IMPLIED that has an open member in reach
         for token in tokens(page):
             at = stack[-1]
             if token[0] == "t":
@@ -134,11 +161,21 @@ class Page:
             block += name not in INLINE
             if token[0] == ">":
                 self.stream.append(f"/{name}")
-                if any(name == nodes[s][0] for s in stack):
-                    while nodes[stack.pop()][0] != name:
-                        pass
+                while opened[name]:
+                    last = nodes[stack.pop()][0]
+                    scope.pop()
+                    opened[last] -= 1
+                    if last == name:
+                        break
                 continue
-            words, roles = names_of(token[2]) if token[2] else (set(), set())
+            implied = scope[-1] & CLOSES.get(name, 0)
+            while scope[-1] & implied:
+                last = nodes[stack.pop()][0]
+                scope.pop()
+                opened[last] -= 1
+                implied &= ~MEMBER.get(last, 0)
+            at = stack[-1]
+            words, told, roles = names_of(token[2]) if token[2] else (set(), set(), set())
             self.stream.append(".".join([name, *sorted(words)]))
             if name == "br" and self.texts and self.block[-1] == block:
                 self.texts[-1] += " "
@@ -147,12 +184,14 @@ class Page:
             main = nodes[at][5]
             marked = name in ("article", "main") or bool(roles & MAIN_NAMES)
             # A header inside an article is the article's own.
-            out = nodes[at][2] or bool(RAW.match(name)) or (name in APART and not (main >= 0 and name == "header"))
-            named = name not in ("html", "body") and bool(words & APART_NAMES - (OWN_NAMES if main >= 0 else set()))
+            out = nodes[at][2] or bool(RAW.match(name)) or (name in APART and name != "form" and not (main >= 0 and name == "header"))
+            named = name not in ("html", "body") and (name == "form" or bool(told - (OWN_NAMES if main >= 0 else set())))
             if main < 0 and marked:
                 main = len(nodes)
             nodes.append((name, at, out, named, marked, main, zlib.crc32(name.encode(), nodes[at][6]) if main >= 0 else 0))
             stack.append(len(nodes) - 1)
+            opened[name] += 1
+            scope.append(scope[-1] & ~HOLDS.get(name, 0) | MEMBER.get(name, 0))
         sizes = [0] * len(nodes)
         for text, at in zip(self.texts, owner):
             if not nodes[at][2]:
@@ -164,6 +203,9 @@ class Page:
             self.apart.append(nodes[at][2] or ruled[at])
             self.main.append(nodes[at][5])
             self.path.append(nodes[at][6])
+            while nodes[at][0] in INLINE:
+                at = nodes[at][1]
+            self.prose.append(nodes[at][0] in PROSE)
 
     @staticmethod
     def ruled_out(nodes: list, sizes: list[int]) -> list[bool]:
@@ -193,14 +235,15 @@ class Page:
         size = lambda some: sum(len(self.texts[i]) for i in some)
         kept = [i for i, apart in enumerate(self.apart) if not apart]
         inside = [i for i in kept if self.main[i] >= 0]
-        if inside and 2 * size(constant.intersection(inside)) > size(inside):
-            # Copies of one article, or a region that is the host's: what varies tells which.
-            if set(inside) <= constant and not set(kept) - set(inside) <= constant:
-                inside = []
-            else:
-                constant = constant.difference(inside)
+        if inside and set(inside) <= constant and not set(kept) - set(inside) <= constant:
+            inside = []  # a region that is the host's: what varies stands elsewhere
         if inside:
             kept = inside
+            # The article's own headings and paragraphs stay, whatever other pages have, and so does
+            # the rest where it is most of the article: the pages are copies of each other.
+            constant = {i for i in constant.intersection(inside) if not self.prose[i]}
+            if 2 * size(constant) > size(inside):
+                constant = set()
         if not set(kept) <= constant:
             kept = [i for i in kept if i not in constant]
         blocks: dict[int, list[str]] = {}
