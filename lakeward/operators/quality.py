@@ -111,6 +111,15 @@ def _parts(settings: Settings) -> list[tuple[str, Callable[[DataFrame], DataFram
     ]
 
 
+def layer_row_counts(footers: Mapping[str, DataFrame]) -> DataFrame:
+    """(layer, row_count) of layers as ``layout.read_footers`` reads them: no row is scanned."""
+    frames = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(layer).alias("layer"), "row_count") for layer, df in footers.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 #: Metrics that one pass of plain aggregates over the written rows can't give.
 NOT_OBSERVED: tuple[str, ...] = ("duplicate_event_ids", "distinct_customers_from_latest_state")
 

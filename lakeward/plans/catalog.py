@@ -22,7 +22,7 @@ from lakeward.plans.build import build_layers
 from lakeward.plans.oracle import with_ctes
 from lakeward.session import scratch_path
 from lakeward.sources.fixtures import order_events
-from lakeward.sources.layout import read_layer
+from lakeward.sources.layout import read_footers, read_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -272,13 +272,22 @@ union all select 'silver_orders', count(*) from silver
 union all select 'silver_latest_order_state', count(*) from latest
 union all select 'gold_customer_order_metrics', count(*) from customer_metrics"""))
 def q_layer_counts(spark, sf):
-    layers = built_layers(spark, sf, (C.BRONZE, C.SILVER, C.LATEST, C.GOLD_CUSTOMER))
-    frames = [layers[n].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("layer"), "row_count")
-              for n in (C.BRONZE, C.SILVER, C.LATEST, C.GOLD_CUSTOMER)]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    """Rows of four built layers, from their footers."""
+    wanted = (C.BRONZE, C.SILVER, C.LATEST, C.GOLD_CUSTOMER)
+    paths = build_layers(spark, order_events(spark, sf), scratch_path(spark, "warehouse"), wanted=wanted)
+    return Q.layer_row_counts({layer: read_footers(spark, paths[layer]) for layer in wanted})
+
+
+@register("agg_layer_last_dates", with_ctes(("latest", "daily"), """
+select 'silver_latest_order_state' as layer, max(event_date) as last_date, count(*) as row_count from latest
+union all select 'gold_daily_region_sales', max(event_date), count(*) from daily"""))
+def q_layer_last_dates(spark, sf):
+    """Last day and rows of the two layers with an event date, from their footers."""
+    wanted = (C.LATEST, C.GOLD_DAILY)
+    paths = build_layers(spark, order_events(spark, sf), scratch_path(spark, "warehouse"), wanted=wanted)
+    frames = [read_footers(spark, paths[layer]).agg(F.max("event_date").alias("last_date"), F.count(F.lit(1)).alias("row_count"))
+              .select(F.lit(layer).alias("layer"), "last_date", "row_count") for layer in wanted]
+    return frames[0].unionByName(frames[1])
 
 
 @register("agg_filtered_count", with_ctes("latest", """

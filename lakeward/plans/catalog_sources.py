@@ -28,7 +28,7 @@ from lakeward.sources.layout import (BUCKET_KEY, current_paths, layer_exists, re
 
 
 def _csv(spark: SparkSession, sf: str, variant: str = "clean") -> str:
-    return write_csv_batches(spark, sf, scratch_path(spark, f"csv-{variant}"), variant)
+    return write_csv_batches(spark, sf, scratch_path(spark, f"csv-{variant.replace(' ', '-')}"), variant)
 
 
 def _view(spark: SparkSession, df: DataFrame, base: str) -> str:
@@ -342,6 +342,19 @@ def q_build_all(spark, sf):
     return out
 
 
+@register("csv_quoted_line_breaks", with_ctes("oe", """
+select source_file || '.csv' as source_batch, event_id, order_amount,
+       case when source_file = 'batch_1' and length(event_id) % 2 = 0 then customer_id || chr(10) || 'second line' else customer_id end as customer_id
+from oe"""))
+def q_line_breaks(spark, sf):
+    """A build over batches of which one has quoted line breaks: its bronze rows."""
+    glob = _csv(spark, sf, "line breaks")
+    root = scratch_path(spark, "warehouse-line-breaks")
+    build_all(spark, glob, root)
+    bronze = read_layers(spark, root)[C.BRONZE]
+    return bronze.select(B.batch_label(F.col("source_file")).alias("source_batch"), "event_id", "order_amount", "customer_id")
+
+
 SUMMARY_CTES = {"csv_text": TEXT_CTE, "adds": """
 select source_batch, max(case when source_system is not null then 'source_system' end) as added
 from csv_text group by 1"""}

@@ -64,6 +64,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 #   batch_2: contract + additive ``source_system`` (allowed drift)
 #   batch_3: contract order ("clean") or, in the "breaking" variant, ``status``
 #            renamed to ``state`` and some amounts not numbers
+# In the "line breaks" variant some customers of batch_1 have a line break in their name.
 CONTRACT_ORDER = ("event_id", "order_id", "customer_id", "region", "status",
                   "order_amount", "event_ts", "ingestion_ts")
 CSV_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -88,6 +89,9 @@ def write_csv_batches(spark: SparkSession, sf_dir: str, root: str, variant: str
     for k in range(4):
         part = text.where(F.col("source_file") == f"batch_{k}").drop("source_file")
         if k == 1:
+            if variant == "line breaks":
+                part = part.withColumn("customer_id", F.when(F.length("event_id") % 2 == 0, F.concat("customer_id", F.lit("\nsecond line")))
+                                       .otherwise(F.col("customer_id")))
             part = part.select(*reversed(CONTRACT_ORDER))
         elif k == 2:
             part = part.withColumn("source_system", F.concat(F.lit("erp-"), F.length("event_id") % 3))

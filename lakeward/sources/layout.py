@@ -175,6 +175,17 @@ def read_layer(spark: SparkSession, path: str, view: str | None = None) -> DataF
     return df
 
 
+def read_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A layer through the reader that answers counts, and greatest and least dates and
+    numbers, from the file footers alone where nothing is filtered or grouped. Timestamps,
+    texts and decimals are scanned as ever."""
+    others = [x for x in spark.conf.get("spark.sql.sources.useV1SourceList").split(",") if x.strip().lower() != "parquet"]
+    # Holds when the plan is made and is of no effect on the usual reader.
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    with session_conf(spark, spark__sql__sources__useV1SourceList=",".join(others)):
+        return spark.read.parquet(path)
+
+
 def read_layers(spark: SparkSession, root: str, register_views: bool = False) -> dict[str, DataFrame]:
     """The layers of the last published version."""
     version, buckets = _current(spark, root)

@@ -102,3 +102,19 @@ def test_a_check_reads_only_its_layers(spark):
     assert plan_text(queries["check_bronze_non_empty"](spark, SF)).count("\nLocation:") == 5
     assert plan_text(queries["check_customer_coverage"](spark, SF)).count("\nLocation:") == 2
     assert plan_text(queries["freshness_silver"](spark, SF)).count("\nLocation:") == 2
+
+
+def test_row_counts_come_from_footers(spark, golden_dir, tmp_path):
+    from lakeward.operators import quality as Q
+    from lakeward.sources.layout import current_paths, read_footers
+
+    root = str(tmp_path / "wh")
+    build_all(spark, str(golden_dir / "*.csv"), root)
+    paths = current_paths(spark, root)
+    counts = Q.layer_row_counts({layer: read_footers(spark, paths[layer]) for layer in C.LAYERS})
+    assert plan_text(counts).count("PushedAggregation: [COUNT(*)]") == 5
+    assert {r["layer"]: r["row_count"] for r in counts.collect()} == dict(zip(C.LAYERS, (11, 10, 6, 5, 5)))
+    last = read_footers(spark, paths[C.GOLD_DAILY]).agg(F.max("event_date").alias("d"))
+    assert "PushedAggregation: [MAX(event_date)]" in plan_text(last) and str(last.first()["d"]) == "2026-04-22"
+    # The usual reader is as before.
+    assert "PushedAggregation" not in plan_text(read_layers(spark, root)[C.BRONZE].agg(F.count(F.lit(1))))
