@@ -1,7 +1,7 @@
-"""Bitmaps of fixed size that spare rows a shuffle.
+"""Bitmaps of bounded size that spare rows a shuffle.
 
 The cluster sets the bits (Spark's own bitmap aggregates, one row of 4 kB for each 32,768
-bits that hold any), the driver joins them to at most ``BITS`` bits and every task gets a copy. A set
+bits that hold any), the driver joins them and every task gets a copy: ``FOR_EACH`` bits a key, at most ``BITS``. A set
 bit proves nothing, an unset one proves that a key isn't wanted, so a join that follows gives the same rows
 with or without the bitmap; on more keys than bits it spares less."""
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: 16 MB.
 BITS = 1 << 27
+FOR_EACH = 16
 #: Bits of one bitmap that Spark's bitmap_construct_agg makes.
 LOT = 32768
 
@@ -33,9 +34,10 @@ def bitmap_of(keys: DataFrame, key: str, bits: int = BITS) -> np.ndarray:
     return out.ravel()
 
 
-def possibly_in(rows: DataFrame, key: str, keys: DataFrame, bits: int = BITS) -> DataFrame:
-    """``rows`` without such whose ``key`` is not in the column of that name of ``keys`` (some
-    others may stay): what a semi join would keep is kept."""
+def possibly_in(rows: DataFrame, key: str, keys: DataFrame, most: int = BITS) -> DataFrame:
+    """``rows`` without such whose ``key`` is not in the column of that name of ``keys``, a written
+    table (some others may stay): what a semi join would keep is kept."""
+    bits = max(LOT, min(most, 1 << (FOR_EACH * keys.count()).bit_length()))
     held = rows.sparkSession.sparkContext.broadcast(bitmap_of(keys, key, bits))
 
     @F.arrow_udf("boolean")

@@ -48,7 +48,7 @@ from lakeward.llm.bitsets import possibly_in
 from lakeward.llm.common import cut, drop_cut, salted_lookup
 from lakeward.llm.components import components
 
-WIDTH, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.95, 5
+WIDTH, SIMILARITY, RECALL, ROWS = 5, 0.8, 0.95, 4
 #: A sentence start is a cut if its hash is divisible by this.
 CUT_EVERY, CUT_BYTES = 8, 12
 SPAN_WORDS = 24
@@ -264,11 +264,15 @@ def equal_pieces(texts: DataFrame, span_words: int) -> DataFrame:
     ends = own.withColumn("opens", apart(F.lag("nth").over(text))).withColumn("closes", apart(F.lead("nth").over(text)))
     ends = cut(ends.withColumn("run", F.sum(F.col("opens").cast("int")).over(text)), "anchors-in-runs")
     runs = ends.groupBy("doc", "row", "run").agg(F.min("at").alias("from"), F.max("at").alias("to"), F.min("low").alias("low"))
-    asked = ends.where("opens or closes").groupBy("h").agg(F.max("opens").alias("before"), F.max("closes").alias("after"))
-    beside = met.select("h", "doc", "row", "at").join(asked.hint("merge"), "h").groupBy("doc", "row").agg(
-        F.collect_list(F.struct("at", "before", "after")).alias("beside"))
+    # What a run's end asks for only documents of smaller ids can give.
+    last = lambda c: F.max(F.when(F.col(c), F.col("doc"))).alias(c)
+    asked = ends.where("opens or closes").groupBy("h").agg(last("opens"), last("closes"))
+    gives = lambda c: F.coalesce(F.col("doc") < F.col(c), F.lit(False))
+    given = met.select("h", "doc", "row", "at").join(asked.hint("merge"), "h").select(
+        "doc", "row", "at", gives("opens").alias("before"), gives("closes").alias("after")).where("before or after")
+    beside = given.groupBy("doc", "row").agg(F.collect_list(F.struct("at", "before", "after")).alias("beside"))
     own_runs = runs.groupBy("doc", "row").agg(F.collect_list(F.struct("from", "to", "low")).alias("runs"))
-    wanted = cut(beside.join(own_runs.hint("merge"), ["doc", "row"], "left").select("doc", "row", "runs", "beside"), "wanted")
+    wanted = cut(beside.join(own_runs.hint("merge"), ["doc", "row"], "full").select("doc", "row", "runs", "beside"), "wanted")
     drop_cut(met)
     drop_cut(ends)
     pieces = cut(gram_pieces(texts, wanted, k), "pieces")
