@@ -83,7 +83,7 @@ def build_with_report(spark: SparkSession, input_paths: str | Sequence[str], out
         raise FileNotFoundError(f"no input files match {input_paths}")
     found = CT.file_profiles(spark, hs, settings.multiline_csv, ledger)
     contract = CT.passed(CT.summarise(spark, hs, found, settings.contract))
-    raw = B.read_batches(spark, input_paths, CT.with_line_breaks(hs, found), multiline=settings.multiline_csv)
+    raw = B.read_columns(spark, CT.with_line_breaks(hs, found), C.RAW_COLUMNS, settings.multiline_csv)
     observed: dict[str, object] = {}
     paths = build_layers(spark, raw, output_root, settings, ledger=CT.ledger_rows(spark, hs, found), observed=observed if observe else None)
     W.drop_old_versions(spark, output_root)

@@ -12,10 +12,11 @@ values. Here:
    list, so a file that lands in between waits for the next run;
 2. one distributed job reads the header of every file that the ledger of an earlier
    run doesn't know unchanged, touching only its head;
-3. files are grouped by distinct header, each group is read with an
-   all-string schema named by that header; files with quoted line breaks, which the
-   contract finds, are read apart, each by one task;
-4. the groups are combined with ``unionByName(allowMissingColumns=True)``.
+3. ``read_columns`` groups files by where the wanted columns stand, ``read_batches``, which
+   returns all columns, by distinct header; each group is one scan with an
+   all-string schema. Files with quoted line breaks, which the contract finds, are read apart,
+   each by one task;
+4. the groups are combined by name.
 
 Paths and header lines reach the driver (one row per file, as in Spark's own
 file index); the rows themselves never leave the executors.
@@ -266,6 +267,29 @@ def header_groups(spark: SparkSession, file_headers: Sequence[FileHeader], multi
         yield cols, read_csv(spark, files, cols, broken).select(*[F.col(f"`{c}`") for c in cols], batch.alias("source_file"))
 
 
+def read_columns(spark: SparkSession, file_headers: Sequence[FileHeader], columns: Sequence[str], multiline: bool = False) -> DataFrame:
+    """The named columns of all batches as strings, NULL where a header lacks one, and ``source_file``.
+    Files share a scan if these columns stand at the same places of equally many, whatever
+    the others are called."""
+    groups: dict[tuple, list[str]] = {}
+    for h in file_headers:
+        if h.columns:
+            place = {c: i for i, c in enumerate(h.columns)}
+            plain = re.fullmatch(r"[A-Za-z0-9+.-]+://[A-Za-z0-9/:._=-]*", h.file_path) is not None
+            key = (len(h.columns), tuple(place.get(c, -1) for c in columns), plain, multiline or h.multiline)
+            groups.setdefault(key, []).append(h.file_path)
+    out = None
+    for (width, places, plain, broken), files in sorted(groups.items()):
+        path = F.col("_metadata.file_path")
+        cells = read_csv(spark, files, [f"c{i}" for i in range(width)], broken)
+        own = cells.select(*[(F.col(f"c{i}") if i >= 0 else F.lit(None).cast("string")).alias(c) for c, i in zip(columns, places)],
+                           batch_path(path if plain else plain_paths(path)).alias("source_file"))
+        out = own if out is None else out.unionByName(own)
+    if out is None:
+        raise ValueError("no input file has a header")
+    return out
+
+
 def read_batches(
     spark: SparkSession,
     paths: str | Sequence[str],

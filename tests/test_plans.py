@@ -118,3 +118,22 @@ def test_row_counts_come_from_footers(spark, golden_dir, tmp_path):
     assert "PushedAggregation: [MAX(event_date)]" in plan_text(last) and str(last.first()["d"]) == "2026-04-22"
     # The usual reader is as before.
     assert "PushedAggregation" not in plan_text(read_layers(spark, root)[C.BRONZE].agg(F.count(F.lit(1))))
+
+
+def test_fifty_headers_make_one_scan(spark, tmp_path):
+    from lakeward.sources.batches import headers, read_batches, read_columns
+    from tests.conftest import GOLDEN_HEADER, write_csv
+
+    for i in range(50):
+        write_csv(tmp_path, f"b{i:02d}.csv", f"{GOLDEN_HEADER},extra{i}", [f"e{i},o{i},c,north,created,{i}.50,2026-05-03 07:00:00,2026-05-03 07:30:00,x"])
+    hs = headers(spark, str(tmp_path / "*.csv"))
+    raw = read_columns(spark, hs, C.RAW_COLUMNS)
+    assert plan_text(raw).count("Scan csv") == plan_text(raw.groupBy("region").count()).count("Scan csv") == 2  # in the tree and in the list
+    assert sorted(raw.collect()) == sorted(read_batches(spark, "", hs).select(*raw.columns).collect())
+    assert plan_text(CT._measured(spark, hs, False)).count("Scan csv") == 2
+    # Other places of the contract's columns, or another width, make one scan more each.
+    write_csv(tmp_path, "c.csv", ",".join(reversed(GOLDEN_HEADER.split(","))) + ",more", ["2026-05-03 07:30:00,2026-05-03 07:00:00,9.50,created,north,c,o9,e99,x"])
+    write_csv(tmp_path, "d.csv", "event_id", ["e100"])
+    more = read_columns(spark, headers(spark, str(tmp_path / "*.csv")), C.RAW_COLUMNS)
+    rows = {r["event_id"]: r for r in more.collect()}
+    assert plan_text(more).count("Scan csv") == 6 and rows["e99"]["order_amount"] == "9.50" and rows["e100"]["region"] is None
