@@ -57,8 +57,10 @@ HELD = 200_000
 #: Fewer shingles have no unequal neighbour: 4 of 5 shingles in common is the least that reaches the similarity.
 LEAST_SHINGLES = math.ceil(SIMILARITY / (1 - SIMILARITY) - 1e-9)
 SEED = 42
+#: Leaders of a bucket, and steps that labels spread over links before the rest is compared.
+LEADERS, SPREAD = 6, 4
 #: Columns of 64 bits that mark a unit's shingles.
-BITS = [f"bits{k}" for k in range(4)]
+BITS = [f"bits{k}" for k in range(8)]
 #: Rows of null id count down from here.
 LAST_ID = (1 << 63) - 1
 
@@ -354,29 +356,46 @@ def shared_buckets(units: DataFrame) -> DataFrame:
 
 
 def led(buckets: DataFrame) -> DataFrame:
-    """(key, leader, member): in each bucket the paragraph that shares most buckets with others leads."""
+    """(a, b): each paragraph with the leaders of its buckets."""
     sizes = buckets.groupBy("key").agg(F.count("*").alias("n"))
     degree = buckets.join(sizes.hint("merge"), "key").groupBy("h").agg(F.sum("n").alias("met"))
-    leaders = buckets.join(degree.hint("merge"), "h").groupBy("key").agg(F.max_by("h", F.struct("met", "h")).alias("leader"))
-    return buckets.withColumnRenamed("h", "member").join(leaders.hint("merge"), "key").where("member != leader").select("key", "leader", "member")
+    drawn = [F.max_by("h", F.xxhash64("key", "h", F.lit(r))) for r in range(1, LEADERS)]
+    leaders = buckets.join(degree.hint("merge"), "h").groupBy("key").agg(F.array_distinct(F.array(F.max_by("h", F.struct("met", "h")), *drawn)).alias("leaders"))
+    pairs = buckets.join(leaders.hint("merge"), "key").select("h", F.explode("leaders").alias("l")).where("h != l")
+    return pairs.select(F.least("h", "l").alias("a"), F.greatest("h", "l").alias("b")).distinct()
 
 
 def may_be_near() -> Column:
-    """A condition that every pair (a, b) of sufficient similarity J meets: it differs in at
-    most (1 / J - 1) of the smaller set's shingles, each of which changes one bit."""
+    """A condition that every pair (a, b) of sufficient similarity J meets: of the shingles of
+    both sides together it has at most (1 - J) / (1 + J) on one side only, each of which changes one bit."""
     changed = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in BITS), F.lit(0))
-    return changed <= (1 / SIMILARITY - 1) * F.least("a_grams", "b_grams") + 1e-9
+    return changed <= (1 - SIMILARITY) / (1 + SIMILARITY) * (F.col("a_grams") + F.col("b_grams")) + 1e-9
 
 
-def marked(pairs: DataFrame, marks: DataFrame, side: str) -> DataFrame:
-    """``pairs`` with the bits and shingle number of one side."""
-    own = marks.select(F.col("h").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in BITS), F.size("grams").alias(f"{side}_grams"))
-    return salted_lookup(pairs, own, [side], "b" if side == "a" else "a", how="inner")
+def marks_of(sets: DataFrame, side: str) -> DataFrame:
+    """The bits and shingle numbers, named for one side of pairs."""
+    return sets.select(F.col("h").alias(side), *(F.col(c).alias(f"{side}_{c}") for c in BITS), F.size("grams").alias(f"{side}_grams"))
+
+
+def near_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the bits don't rule out."""
+    both = pairs.join(marks_of(sets, "a").hint("merge"), "a").join(marks_of(sets, "b").hint("merge"), "b")
+    return both.where(may_be_near()).select("a", "b")
+
+
+def labels_of(links: DataFrame, steps: int = SPREAD) -> DataFrame:
+    """(h, label) of linked paragraphs: the least hash within some steps. Equal labels are linked."""
+    ways = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    out = ways.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"))
+    for _ in range(steps - 1):
+        beside = ways.join(out.withColumnRenamed("a", "b").hint("merge"), "b").groupBy("a").agg(F.min("label").alias("near"))
+        out = out.join(beside.hint("merge"), "a").select("a", F.least("label", "near").alias("label"))
+    return out.withColumnRenamed("a", "h")
 
 
 def shingle_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, BITS, grams) of the units in (doc, hs): from one document that holds each, its
-    shingle hashes and one of 256 bits for each of them."""
+    shingle hashes, and 512 bits each of which tells whether an odd number of them fall on it."""
 
     def sets(batches):
         schema = pa.schema([("h", pa.int64()), *((c, pa.int64()) for c in BITS), ("grams", pa.list_(pa.int64()))])
@@ -394,9 +413,12 @@ def shingle_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                             own.append(h)
                 if words:
                     gram, begin = shingled(words)
-                    grams = [np.unique(g).view(np.int64) for g in np.split(gram, begin[1:])]
-                    bit, column = np.uint64(1) << (gram >> np.uint64(58)), gram >> np.uint64(56) & np.uint64(len(BITS) - 1)
-                    bits = [np.bitwise_or.reduceat(np.where(column == k, bit, np.uint64(0)), begin).view(np.int64) for k in range(len(BITS))]
+                    grams = [np.unique(g) for g in np.split(gram, begin[1:])]
+                    first = np.cumsum([0, *map(len, grams[:-1])])
+                    gram = np.concatenate(grams)
+                    grams = [g.view(np.int64) for g in grams]
+                    bit, column = np.uint64(1) << (gram >> np.uint64(58)), gram >> np.uint64(52) & np.uint64(len(BITS) - 1)
+                    bits = [np.bitwise_xor.reduceat(np.where(column == k, bit, np.uint64(0)), first).view(np.int64) for k in range(len(BITS))]
                     yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), *map(pa.array, bits), pa.array(grams, pa.list_(pa.int64()))], schema=schema)
 
     found = possibly_in(texts.select("doc", "text"), "doc", wanted).join(wanted.hint("merge"), "doc").select("text", "hs")
@@ -407,7 +429,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose units have a Jaccard similarity of SIMILARITY or more."""
     a = sets.select(F.col("h").alias("a"), F.col("grams").alias("_a"))
     b = sets.select(F.col("h").alias("b"), F.col("grams").alias("_b"))
-    both = salted_lookup(salted_lookup(pairs, a, ["a"], "b", how="inner"), b, ["b"], "a", how="inner")
+    both = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
     common = F.size(F.array_intersect("_a", "_b"))
     return both.where(common >= SIMILARITY * (F.size("_a") + F.size("_b") - common) - 1e-9).select("a", "b")
 
@@ -417,16 +439,20 @@ def unit_links(texts: DataFrame, units: DataFrame, of_unit: DataFrame) -> DataFr
     buckets = cut(shared_buckets(units), "buckets")
     wanted = of_unit.join(buckets.select("h").distinct().hint("merge"), "h").groupBy(F.col("low").alias("doc")).agg(F.collect_list("h").alias("hs"))
     sets = cut(shingle_sets(texts, cut(wanted, "wanted-paragraphs")), "shingles")
-    members = cut(marked(led(buckets).select("key", F.col("leader").alias("a"), F.col("member").alias("b")), sets, "b"), "members")
-    spokes = marked(members, sets, "a").where(may_be_near()).select("a", "b").distinct()
-    good = cut(verified(spokes, sets), "spokes")
-    # A paragraph that isn't linked to its leader is held against the others of the bucket.
-    alone = members.join(good.hint("merge"), ["a", "b"], "left_anti").select(
-        "key", F.col("b").alias("a"), *(F.col(f"b_{c}").alias(f"a_{c}") for c in (*BITS, "grams")))
-    close = alone.join(members.select("key", "b", *(f"b_{c}" for c in (*BITS, "grams"))).hint("merge"), "key").where((F.col("a") != F.col("b")) & may_be_near())
-    more = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    good = cut(verified(near_pairs(led(buckets), sets), sets), "spokes")
+    # Those that lack their bucket's most frequent label are held against the others of another label.
+    label = cut(labels_of(good), "labels")
+    placed = buckets.join(marks_of(sets, "h").hint("merge"), "h").join(label.hint("merge"), "h", "left").withColumn("label", F.coalesce("label", "h"))
+    members = cut(placed, "members")
+    counts = members.groupBy("key", "label").agg(F.count("*").alias("n"))
+    main = counts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1")
+    side = lambda rows, s: rows.select("key", *(F.col(c).alias(c.replace("h", s, 1) if c.startswith("h") else f"{s}_{c}")
+                                                for c in ["h", "label", *(f"h_{c}" for c in (*BITS, "grams"))]))
+    alone = side(members.join(main.hint("merge"), "key").where("label != main"), "a")
+    met = alone.join(side(members, "b").hint("merge"), "key").where((F.col("a_label") != F.col("b_label")) & may_be_near())
+    more = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = cut(good.unionAll(verified(more, sets)), "paragraph-links")
-    for old in (buckets, sets, members, good):
+    for old in (buckets, sets, label, members, good):
         drop_cut(old)
     return links
 
