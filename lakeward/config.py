@@ -6,6 +6,7 @@ for results to match; everything is a default that callers may override.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------------------
@@ -123,7 +124,7 @@ class Settings:
     """Knobs of one pipeline run; defaults are the reference's values."""
 
     money_type: str = MONEY_TYPE
-    # Type used for revenue totals; raise it to decimal(38,2) for large data.
+    # Type of the gold tables' revenue, a total for each key; raise it to decimal(38,2) for hot keys.
     money_total_type: str = MONEY_TYPE
     delivered: str = DELIVERED
     required_keys: tuple[str, ...] = REQUIRED_KEYS
@@ -135,5 +136,11 @@ class Settings:
     # Buckets of silver by event_id; 0 writes it without. Keys are then counted without a shuffle.
     silver_buckets: int = 0
 
+    @property
+    def grand_total_type(self) -> str:
+        """Of totals over a whole layer, which grow with it: as wide as decimals go, with the scale of gold's."""
+        scale = re.search(r",\s*(\d+)", self.money_total_type)
+        return f"decimal(38,{scale[1] if scale else 0})"
+
 
 DEFAULT = Settings()

@@ -42,7 +42,7 @@ METRIC_TYPES: dict[str, str] = {
 
 
 def _typed(settings: Settings) -> dict[str, str]:
-    return {k: (settings.money_total_type if t == "money" else t) for k, t in METRIC_TYPES.items()}
+    return {k: (settings.grand_total_type if t == "money" else t) for k, t in METRIC_TYPES.items()}
 
 
 def _one_row(df: DataFrame, exprs: Mapping[str, Column], settings: Settings) -> DataFrame:
@@ -54,8 +54,10 @@ def _one_row(df: DataFrame, exprs: Mapping[str, Column], settings: Settings) ->
     ])
 
 
-def coalesced_sum(c: str, type_name: str) -> Column:
-    return X.coalesce_zero(F.sum(c).cast(type_name), type_name)
+def coalesced_sum(c: str | Column) -> Column:
+    """The sum, 0 for none, as wide as Spark sums decimals: a cast here could raise, and an observed
+    metric that raises is never delivered."""
+    return F.coalesce(F.sum(c), F.lit(0))
 
 
 def duplicate_key_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -69,7 +71,6 @@ def duplicate_key_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _parts(settings: Settings) -> list[tuple[str, Callable[[DataFrame], DataFrame], dict[str, Column]]]:
     """(layer, what is aggregated, metrics) for each pass over a layer."""
-    money = settings.money_total_type
     delivered = X.is_status("status", settings.delivered)
 
     def whole(df: DataFrame) -> DataFrame:
@@ -90,8 +91,7 @@ def _parts(settings: Settings) -> list[tuple[str, Callable[[DataFrame], DataFram
         }),
         (C.LATEST, whole, {
             "latest_state_rows": F.count(F.lit(1)),
-            "delivered_revenue_from_silver": X.coalesce_zero(
-                F.sum(F.when(delivered, F.col("order_amount"))).cast(money), money),
+            "delivered_revenue_from_silver": coalesced_sum(F.when(delivered, F.col("order_amount"))),
             "delivered_orders_from_latest_state": F.count_if(delivered),
             "distinct_customers_from_latest_state": F.count_distinct("customer_id"),
             "source_max_event_ts": F.max("event_ts"),
@@ -99,12 +99,12 @@ def _parts(settings: Settings) -> list[tuple[str, Callable[[DataFrame], DataFram
             "latest_state_max_ingestion_ts": F.max("ingestion_ts"),
         }),
         (C.GOLD_DAILY, whole, {
-            "delivered_revenue_from_gold_daily": coalesced_sum("delivered_revenue", money),
+            "delivered_revenue_from_gold_daily": coalesced_sum("delivered_revenue"),
             "gold_daily_max_event_date": F.max("event_date"),
         }),
         (C.GOLD_CUSTOMER, whole, {
             "gold_customer_metric_rows": F.count(F.lit(1)),
-            "delivered_revenue_from_gold_customer": coalesced_sum("delivered_revenue", money),
+            "delivered_revenue_from_gold_customer": coalesced_sum("delivered_revenue"),
             "delivered_orders_from_gold_customer": X.coalesce_zero(F.sum("delivered_orders"), "bigint"),
             "customer_metrics_max_event_ts": F.max("latest_order_event_ts"),
         }),

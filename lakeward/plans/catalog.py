@@ -9,6 +9,7 @@ same result; queries without an oracle entry are checked on rows only.
 from __future__ import annotations
 
 from collections.abc import Callable, Collection
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from lakeward.plans.build import build_layers
 from lakeward.plans.oracle import with_ctes
 from lakeward.session import scratch_path
 from lakeward.sources.fixtures import order_events
-from lakeward.sources.layout import read_footers, read_layer
+from lakeward.sources.layout import read_footers, read_layer, write_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,6 +60,16 @@ def built_layers(spark: SparkSession, sf_dir: str, wanted: Collection[str] = C.L
     return {layer: read_layer(spark, path) for layer, path in paths.items()}
 
 
+def as_sql_money(df: DataFrame, *totals: str) -> DataFrame:
+    """A small report, worked out once and kept: its totals as the SQL types them where all of them
+    fit, else, where the SQL's cast raises, as wide as they were summed."""
+    path = scratch_path(df.sparkSession, "totals")
+    write_layer(df, path)
+    kept = read_layer(df.sparkSession, path)
+    wide = reduce(lambda a, b: a | b, [F.col(c).isNotNull() & F.col(c).try_cast(C.MONEY_TYPE).isNull() for c in totals])
+    return kept if kept.where(wide).limit(1).count() else kept.withColumns({c: F.col(c).cast(C.MONEY_TYPE) for c in totals})
+
+
 def _keyed(spark, sf):
     return L.required_keys_present(L.bronze(order_events(spark, sf)))
 
@@ -238,7 +249,7 @@ def q_group_count(spark, sf):
 @register("agg_decimal_sum", with_ctes("latest", """
 select region, cast(sum(order_amount) as decimal(12,2)) as total_amount from latest group by 1"""))
 def q_decimal_sum(spark, sf):
-    return _latest(spark, sf).groupBy("region").agg(F.sum("order_amount").cast(C.MONEY_TYPE).alias("total_amount"))
+    return as_sql_money(_latest(spark, sf).groupBy("region").agg(F.sum("order_amount").alias("total_amount")), "total_amount")
 
 
 @register("agg_conditional_count", with_ctes("latest", """
@@ -327,13 +338,13 @@ union all select 'gold_customer_order_metrics',
        coalesce(cast(sum(delivered_revenue) as decimal(12,2)), cast(0 as decimal(12,2))) from customer_metrics"""))
 def q_coalesced_revenue(spark, sf):
     layers = built_layers(spark, sf)
-    m = C.MONEY_TYPE
-    a = L.delivered(layers[C.LATEST]).agg(Q.coalesced_sum("order_amount", m).alias("delivered_revenue"))
-    b = layers[C.GOLD_DAILY].agg(Q.coalesced_sum("delivered_revenue", m).alias("delivered_revenue"))
-    c = layers[C.GOLD_CUSTOMER].agg(Q.coalesced_sum("delivered_revenue", m).alias("delivered_revenue"))
-    return (a.select(F.lit(C.LATEST).alias("source"), "delivered_revenue")
-            .unionByName(b.select(F.lit(C.GOLD_DAILY).alias("source"), "delivered_revenue"))
-            .unionByName(c.select(F.lit(C.GOLD_CUSTOMER).alias("source"), "delivered_revenue")))
+    a = L.delivered(layers[C.LATEST]).agg(Q.coalesced_sum("order_amount").alias("delivered_revenue"))
+    b = layers[C.GOLD_DAILY].agg(Q.coalesced_sum("delivered_revenue").alias("delivered_revenue"))
+    c = layers[C.GOLD_CUSTOMER].agg(Q.coalesced_sum("delivered_revenue").alias("delivered_revenue"))
+    out = (a.select(F.lit(C.LATEST).alias("source"), "delivered_revenue")
+           .unionByName(b.select(F.lit(C.GOLD_DAILY).alias("source"), "delivered_revenue"))
+           .unionByName(c.select(F.lit(C.GOLD_CUSTOMER).alias("source"), "delivered_revenue")))
+    return as_sql_money(out, "delivered_revenue")
 
 
 @register("agg_coalesced_orders", with_ctes("customer_metrics", """

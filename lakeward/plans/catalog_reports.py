@@ -10,7 +10,7 @@ from lakeward.operators import freshness as FR
 from lakeward.operators import layers as L
 from lakeward.operators import quality as Q
 from lakeward.plans import validate as V
-from lakeward.plans.catalog import _silver, built_layers, oe_layers, register
+from lakeward.plans.catalog import _silver, as_sql_money, built_layers, oe_layers, register
 from lakeward.plans.oracle import with_ctes
 from lakeward.sources.fixtures import order_events
 
@@ -69,7 +69,7 @@ def q_layer_freshness(spark, sf):
 
 @register("validation_metrics", with_ctes("metrics", "select * from metrics"))
 def q_validation_metrics(spark, sf):
-    return _metrics(spark, sf)
+    return as_sql_money(_metrics(spark, sf), *[k for k, t in Q.METRIC_TYPES.items() if t == "money"])
 
 
 @register("fn_sla_status", with_ctes("silver", """

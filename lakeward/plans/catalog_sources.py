@@ -18,7 +18,7 @@ from lakeward.operators import freshness as FR
 from lakeward.operators import layers as L
 from lakeward.plans import validate as V
 from lakeward.plans.build import build_all, build_layers
-from lakeward.plans.catalog import _latest, _silver, built_layers, register
+from lakeward.plans.catalog import _latest, _silver, as_sql_money, built_layers, register
 from lakeward.plans.oracle import with_ctes
 from lakeward.session import scratch_path
 from lakeward.sources import batches as B
@@ -391,9 +391,10 @@ def flatten_summary(summary_df: DataFrame) -> DataFrame:
         F.filter(F.sort_array(F.map_entries("schema_additive_columns")), lambda e: F.size(e["value"]) > 0),
         lambda e: F.concat(e["key"], F.lit(":"), F.array_join(e["value"], "|")))
     fresh = F.transform("layer_freshness", lambda f: F.concat(f["layer"], F.lit(":"), f["status"]))
-    return summary_df.select(
+    flat = summary_df.select(
         "schema_files_checked", F.array_join(adds, ",").alias("schema_additive_columns"),
         *V.SUMMARY_SCALARS[1:], F.array_join(fresh, ",").alias("layer_freshness"))
+    return as_sql_money(flat, *[k for k in V.SUMMARY_SCALARS if k.startswith("delivered_revenue")])
 
 
 def _summary(spark, sf):

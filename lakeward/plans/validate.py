@@ -124,7 +124,7 @@ FRESHNESS_TYPE = T.StructType([
 ])
 
 
-def summary_schema(money_type: str = C.MONEY_TYPE) -> T.StructType:
+def summary_schema(money_type: str = DEFAULT.grand_total_type) -> T.StructType:
     money = T._parse_datatype_string(money_type)
     fields = [T.StructField("schema_files_checked", T.LongType()),
               T.StructField("schema_additive_columns", T.MapType(T.StringType(), T.ArrayType(T.StringType())))]
@@ -139,7 +139,7 @@ def summary_frame(spark: SparkSession, summary: ValidationSummary, settings: Set
     values = [summary.schema_files_checked, summary.schema_additive_columns] + [
         getattr(summary, k) for k in SUMMARY_SCALARS[1:]
     ] + [[Row(**{k: f[k] for k in FRESHNESS_FIELDS}) for f in summary.layer_freshness]]
-    return spark.createDataFrame([tuple(values)], summary_schema(settings.money_total_type))
+    return spark.createDataFrame([tuple(values)], summary_schema(settings.grand_total_type))
 
 
 def summary_from_frames(metrics_df: DataFrame, freshness_df: DataFrame, files_checked: DataFrame,
