@@ -133,7 +133,7 @@ class Settings:
     contract: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(RAW_CONTRACT))
     # Accept quoted line breaks in CSV input; each file is then read by one task.
     multiline_csv: bool = False
-    # Buckets of silver by event_id; 0 writes it without. Keys are then counted without a shuffle.
+    # Least buckets of silver by event_id, more for more rows; 0 writes it without. Keys are then counted without a shuffle.
     silver_buckets: int = 0
 
     @property

@@ -49,6 +49,7 @@ def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings
     }
     version = W.new_version(output_root)
     paths = {layer: path for layer, path in W.layer_paths(version).items() if layer in needed}
+    buckets = 0
     for layer in C.LAYERS:
         if layer in needed:
             source = W.read_layer(spark, paths[UPSTREAM[layer]]) if layer in UPSTREAM else raw
@@ -56,14 +57,15 @@ def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings
             if observed is not None:
                 frame = frame.observe(seen, *Q.observable(layer, settings))
             if layer == C.SILVER and settings.silver_buckets:
-                W.write_bucketed(frame, paths[layer], W.BUCKET_KEY, settings.silver_buckets)
+                buckets = W.buckets_for(source.count(), settings.silver_buckets)
+                W.write_bucketed(frame, paths[layer], W.BUCKET_KEY, buckets)
             else:
                 W.write_layer(frame, paths[layer])
             if observed is not None:
                 observed.update(seen.get)
     if ledger is not None:
         W.write_layer(ledger, f"{version}/{W.LEDGER}")
-    W.publish(spark, output_root, version, settings.silver_buckets if C.SILVER in needed else 0)
+    W.publish(spark, output_root, version, buckets)
     return paths
 
 

@@ -23,7 +23,7 @@ from lakeward.plans.oracle import with_ctes
 from lakeward.session import scratch_path
 from lakeward.sources import batches as B
 from lakeward.sources.fixtures import order_events, write_csv_batches
-from lakeward.sources.layout import (BUCKET_KEY, current_paths, layer_exists, read_bucketed, read_layer, read_layers, relative_paths,
+from lakeward.sources.layout import (BUCKET_KEY, current_buckets, current_paths, layer_exists, read_bucketed, read_layer, read_layers, relative_paths,
                                      write_layer)
 
 
@@ -240,7 +240,7 @@ def q_bucketed_silver(spark, sf):
     """Silver written in buckets of its key: rows, keys and duplicate keys from one scan without a shuffle of rows."""
     root = scratch_path(spark, "warehouse-bucketed")
     build_layers(spark, order_events(spark, sf), root, Settings(silver_buckets=8), wanted=(C.SILVER,))
-    silver = read_bucketed(spark, current_paths(spark, root)[C.SILVER], BUCKET_KEY, 8)
+    silver = read_bucketed(spark, current_paths(spark, root)[C.SILVER], BUCKET_KEY, current_buckets(spark, root))
     keys = silver.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
     return keys.agg(F.sum("n").alias("silver_rows"), F.count(F.lit(1)).alias("keys"), F.count_if(F.col("n") > 1).alias("duplicate_keys"))
 

@@ -33,6 +33,8 @@ LEDGER = "contract_ledger.parquet"
 LOG_SCHEMA = "version string, sequence bigint, published_at bigint, silver_buckets int"
 #: What silver is bucketed by.
 BUCKET_KEY = "event_id"
+#: Rows of bronze that one bucket of silver may take: what bounds the memory of the task that sorts and writes it.
+BUCKET_ROWS = 500_000
 #: Published versions that a build leaves in place.
 KEPT_VERSIONS = 2
 
@@ -87,6 +89,11 @@ def _current(spark: SparkSession, root: str) -> tuple[str, int]:
     return (f"{plain}/{VERSIONS}/{rows[0]['version']}", rows[0]["silver_buckets"] or 0) if rows else (plain, 0)
 
 
+def current_buckets(spark: SparkSession, root: str) -> int:
+    """Buckets of the last published version's silver, 0 for none."""
+    return _current(spark, root)[1]
+
+
 def publish(spark: SparkSession, root: str, version_root: str, silver_buckets: int = 0) -> None:
     """Make a written version the one that readers take."""
     log = f"{root.rstrip('/')}/{LOG}"
@@ -158,6 +165,11 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
     spark.sql(f"drop table if exists {name}")
 
 
+def buckets_for(rows: int, least: int) -> int:
+    """Buckets of silver made from so many rows: ``least``, or as many as hold ``BUCKET_ROWS`` each."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 def read_bucketed(spark: SparkSession, path: str, key: str, buckets: int) -> DataFrame:
     """A layer that ``write_bucketed`` wrote, through a table that knows the buckets."""
     name = _bucket_table(path)

@@ -70,3 +70,12 @@ def test_versions_change_their_buckets_and_tables_go(spark, golden_dir, tmp_path
         assert W.read_layers(spark, root)[C.SILVER].count() == 10
     left = [t.name for t in spark.catalog.listTables() if t.name.endswith("_writer")]
     assert left == []
+
+
+def test_buckets_grow_with_the_rows(spark, golden_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "BUCKET_ROWS", 2, raising=False)
+    root = str(tmp_path / "wh")
+    build_all(spark, str(golden_dir / "*.csv"), root, Settings(silver_buckets=3))
+    silver = W.read_layers(spark, root)[C.SILVER]
+    assert W.current_buckets(spark, root) == 6 and "Bucketed: true" in plan_text(silver.groupBy("event_id").count())
+    assert silver.count() == 10 and silver.select("event_id").distinct().count() == 10
