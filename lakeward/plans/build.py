@@ -13,6 +13,7 @@ published once it is whole (``sources.layout``).
 from __future__ import annotations
 
 from collections.abc import Collection, Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -28,6 +29,8 @@ from lakeward.sources import layout as W
 
 # layer -> the layer it is made from
 UPSTREAM: dict[str, str] = {C.SILVER: C.BRONZE, C.LATEST: C.SILVER, C.GOLD_DAILY: C.LATEST, C.GOLD_CUSTOMER: C.LATEST}
+# layers whose rows are sorted by key before the shuffle
+SORTED: tuple[str, ...] = (C.SILVER, C.LATEST)
 
 
 def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings: Settings = DEFAULT,
@@ -56,11 +59,12 @@ def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings
             frame, seen = made[layer](source), Observation(layer)
             if observed is not None:
                 frame = frame.observe(seen, *Q.observable(layer, settings))
-            if layer == C.SILVER and settings.silver_buckets:
-                buckets = W.buckets_for(source.count(), settings.silver_buckets)
-                W.write_bucketed(frame, paths[layer], W.BUCKET_KEY, buckets)
-            else:
-                W.write_layer(frame, paths[layer])
+            with W.small_splits(spark) if layer in SORTED else nullcontext():
+                if layer == C.SILVER and settings.silver_buckets:
+                    buckets = W.buckets_for(source.count(), settings.silver_buckets)
+                    W.write_bucketed(frame, paths[layer], W.BUCKET_KEY, buckets)
+                else:
+                    W.write_layer(frame, paths[layer])
             if observed is not None:
                 observed.update(seen.get)
     if ledger is not None:

@@ -78,7 +78,7 @@ def write_csv_batches(spark: SparkSession, sf_dir: str, root: str, variant: str
     it (one scan each), so the fixture joins run only once."""
     root = root.rstrip("/")
     staged = f"{root}/staged_order_events"
-    order_events(spark, sf_dir).write.mode("overwrite").parquet(staged)
+    order_events(spark, sf_dir).write.mode("overwrite").option("compression", "zstd").parquet(staged)
     events = spark.read.parquet(staged)
     text = events.select(
         "source_file", "event_id", "order_id", "customer_id", "region", "status",

@@ -35,6 +35,8 @@ LOG_SCHEMA = "version string, sequence bigint, published_at bigint, silver_bucke
 BUCKET_KEY = "event_id"
 #: Rows of bronze that one bucket of silver may take: what bounds the memory of the task that sorts and writes it.
 BUCKET_ROWS = 500_000
+#: What a task reads of a layer whose rows it sorts by key before the shuffle: 128 MB of files are over 1 GB of rows.
+SORTED_SPLIT = 32 << 20
 #: Published versions that a build leaves in place.
 KEPT_VERSIONS = 2
 
@@ -134,7 +136,7 @@ def current_paths(spark: SparkSession, root: str) -> dict[str, str]:
 def write_layer(df: DataFrame, path: str) -> None:
     """Full overwrite of one layer. Each layer has its own path, so a plan
     never overwrites what it reads."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 @contextlib.contextmanager
@@ -151,6 +153,12 @@ def session_conf(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def small_splits(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Scans within the block read ``SORTED_SPLIT`` a task, or less if the session says so."""
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return session_conf(spark, spark__sql__files__maxPartitionBytes=str(min(now, SORTED_SPLIT)))
+
+
 def _bucket_table(path: str) -> str:
     return f"lakeward_silver_{hashlib.md5(path.encode()).hexdigest()[:16]}"
 
