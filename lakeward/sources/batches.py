@@ -55,8 +55,10 @@ def _label_of(batch: str) -> str:
 
 
 def batch_label(batch: Column) -> Column:
-    """Basename of a batch path; a Hive-style ``key=`` prefix is dropped."""
-    return F.regexp_replace(F.regexp_extract(batch, r"[^/]+$", 0), r"^[^=/]+=", "")
+    """Basename of a batch path; a Hive-style ``key=`` prefix is dropped. The name is cut off, not
+    matched: a pattern for the end of a path is tried from each of its characters, for every row."""
+    name = F.substring_index(batch, "/", -1)
+    return F.when(F.contains(name, F.lit("=")), F.regexp_replace(name, r"^[^=/]+=", "")).otherwise(name)
 
 
 def as_pattern(path: str) -> str:
