@@ -12,6 +12,7 @@ published once it is whole (``sources.layout``).
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Collection, Sequence
 from contextlib import nullcontext
 from dataclasses import dataclass, field
@@ -35,14 +36,17 @@ SORTED: tuple[str, ...] = (C.SILVER, C.LATEST)
 
 def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings: Settings = DEFAULT,
                  wanted: Collection[str] = C.LAYERS, ledger: DataFrame | None = None,
-                 observed: dict[str, object] | None = None) -> dict[str, str]:
+                 observed: dict[str, object] | None = None, only_wanted: bool = False) -> dict[str, str]:
     """Bronze -> silver -> latest -> gold from an already-gated raw frame: the wanted
     layers and those they are made from, published together. Returns layer -> path.
-    ``observed`` gets the metrics of each layer that its write sees anyway."""
+    ``observed`` gets the metrics of each layer that its write sees anyway. With ``only_wanted`` a layer that
+    isn't wanted and that one other is made from is derived as that one is written."""
     needed = set(wanted)
     for layer in reversed(C.LAYERS):
         if layer in needed and layer in UPSTREAM:
             needed.add(UPSTREAM[layer])
+    uses = Counter(UPSTREAM[layer] for layer in needed if layer in UPSTREAM)
+    written = {layer for layer in needed if not only_wanted or layer in wanted or uses[layer] > 1}
     made = {
         C.BRONZE: lambda df: L.bronze(df, settings),
         C.SILVER: lambda df: L.silver(df, settings),
@@ -51,12 +55,17 @@ def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings
         C.GOLD_CUSTOMER: lambda df: L.customer_metrics(df, settings),
     }
     version = W.new_version(output_root)
-    paths = {layer: path for layer, path in W.layer_paths(version).items() if layer in needed}
+    paths = {layer: path for layer, path in W.layer_paths(version).items() if layer in written}
     buckets = 0
+    derived: dict[str, DataFrame] = {}
     for layer in C.LAYERS:
         if layer in needed:
-            source = W.read_layer(spark, paths[UPSTREAM[layer]]) if layer in UPSTREAM else raw
+            above = UPSTREAM.get(layer)
+            source = raw if above is None else W.read_layer(spark, paths[above]) if above in paths else derived[above]
             frame, seen = made[layer](source), Observation(layer)
+            if layer not in paths:
+                derived[layer] = frame
+                continue
             if observed is not None:
                 frame = frame.observe(seen, *Q.observable(layer, settings))
             with W.small_splits(spark) if layer in SORTED else nullcontext():

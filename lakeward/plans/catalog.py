@@ -55,9 +55,10 @@ def oe_layers(spark: SparkSession, sf_dir: str, strategy: str = "window") -> dic
 
 def built_layers(spark: SparkSession, sf_dir: str, wanted: Collection[str] = C.LAYERS) -> dict[str, DataFrame]:
     """The wanted layers, each written once and read back: for queries that read more
-    than one, which would otherwise derive the lower layers again for each."""
-    paths = build_layers(spark, order_events(spark, sf_dir), scratch_path(spark, "warehouse"), wanted=wanted)
-    return {layer: read_layer(spark, path) for layer, path in paths.items()}
+    than one, which would otherwise derive the lower layers again for each. Layers that only one of
+    these is made from, and that no query reads, aren't written."""
+    paths = build_layers(spark, order_events(spark, sf_dir), scratch_path(spark, "warehouse"), wanted=wanted, only_wanted=True)
+    return {layer: read_layer(spark, path) for layer, path in paths.items() if layer in wanted}
 
 
 def as_sql_money(df: DataFrame, *totals: str) -> DataFrame:
