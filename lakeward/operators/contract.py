@@ -45,10 +45,11 @@ CLASSES: tuple[str, ...] = (BOOLEAN, BIGINT, HUGEINT, DOUBLE, TIME, DATE, TIMEST
 BIT: dict[str, int] = {name: 1 << i for i, name in enumerate(CLASSES)}
 
 RE_INTEGER = r"^-?(0|[1-9][0-9]*)$"
-RE_DOUBLE = r"^-?(([0-9]+\.[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?|[0-9]+[eE][-+]?[0-9]+)$|^NaN$"
+RE_DOUBLE = r"^-?(?:(?:\d+\.\d*|\.\d+)(?:[eE][-+]?\d+)?|\d+[eE][-+]?\d+)$"  # NaN is known without a pattern
 RE_TIME = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
 RE_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-_TS = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?"
+# Digits one by one and no capturing groups: these run for nearly every number and timestamp.
+_TS = r"^\d\d\d\d-\d\d-\d\d[ T]\d\d:\d\d(?::\d\d(?:\.\d+)?)?"
 RE_TIMESTAMP = _TS + r"$"
 RE_TIMESTAMPTZ = _TS + r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
 
@@ -70,19 +71,21 @@ def value_class_bit(value: str) -> str:
     Cheap dispatch first: text whose first character cannot start a number,
     date or time is BOOLEAN, NaN or VARCHAR without any regular expression; a
     value with ``:`` can only be a time or timestamp, one without only a
-    number or date. At most three anchored patterns run per value. Text in the form of a
-    date or timestamp that no calendar has is VARCHAR."""
+    number or date, one with a point no whole number. At most three anchored patterns run per value, one
+    for the usual amounts and timestamps. Text in the form of a date or timestamp that no calendar has is VARCHAR.
+
+    All of this becomes one generated method, which must stay well under 8,000 bytes: the JVM only interprets larger ones."""
     b, v = BIT, value
     return f"""case
       when {v} is null then 0
-      when substring({v}, 1, 1) not in ({", ".join(_text(c) for c in "0123456789-.")}) then case
-        when length({v}) <= 5 and lower({v}) in ('true', 'false') then {b[BOOLEAN]}
+      when {v} < '-' or {v} >= ':' or startswith({v}, '/') then case
+        when octet_length({v}) <= 5 and lower({v}) in ('true', 'false') then {b[BOOLEAN]}
         when {v} = 'NaN' then {b[DOUBLE]} else {b[VARCHAR]} end
       when instr({v}, ':') > 0 then case
         when {v} rlike r'{RE_TIMESTAMP}' and try_cast({v} as timestamp_ntz) is not null then {b[TIMESTAMP]}
         when {v} rlike r'{RE_TIMESTAMPTZ}' and try_cast({v} as timestamp) is not null then {b[TIMESTAMPTZ]}
         when {v} rlike r'{RE_TIME}' then {b[TIME]} else {b[VARCHAR]} end
-      when {v} rlike r'{RE_INTEGER}' then if(try_cast({v} as bigint) is not null, {b[BIGINT]}, {b[HUGEINT]})
+      when instr({v}, '.') = 0 and {v} rlike r'{RE_INTEGER}' then if(try_cast({v} as bigint) is not null, {b[BIGINT]}, {b[HUGEINT]})
       when {v} rlike r'{RE_DOUBLE}' then {b[DOUBLE]}
       when {v} rlike r'{RE_DATE}' and try_cast({v} as date) is not null then {b[DATE]}
       else {b[VARCHAR]} end"""

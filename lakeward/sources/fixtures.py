@@ -20,9 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns: event_id, order_id, customer_id, region, status, order_amount,
-    event_ts, ingestion_ts, source_file (contract order + lineage last)."""
+def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order events with the numbers that their ids are made of."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate",
@@ -40,11 +39,8 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = li.join(order_region, F.col("l_orderkey") == F.col("o_orderkey"))
 
     return joined.select(
-        F.concat(F.lit("evt-"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("event_id"),
-        F.concat(F.lit("ord-"), F.col("l_orderkey")).alias("order_id"),
-        F.when(F.col("l_partkey") % 101 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("cust-"), F.col("o_custkey")))
-        .alias("customer_id"),
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_partkey") % 101 == 0, F.lit(None)).otherwise(F.col("o_custkey")).alias("custkey"),
         F.col("r_name").alias("region"),
         F.when(F.col("l_returnflag") == "R", F.lit("CANCELLED"))
         .when(F.col("l_linestatus") == "F", F.lit("Delivered"))
@@ -58,6 +54,21 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_ids(numbered: DataFrame) -> DataFrame:
+    return numbered.select(
+        F.concat(F.lit("evt-"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")).alias("event_id"),
+        F.concat(F.lit("ord-"), F.col("l_orderkey")).alias("order_id"),
+        F.concat(F.lit("cust-"), F.col("custkey")).alias("customer_id"),
+        "region", "status", "order_amount", "event_ts", "ingestion_ts", "source_file",
+    )
+
+
+def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns: event_id, order_id, customer_id, region, status, order_amount,
+    event_ts, ingestion_ts, source_file (contract order + lineage last)."""
+    return _with_ids(_numbered_events(spark, sf_dir))
+
+
 # Shapes of the four CSV batches written from the view (test input).
 #   batch_0: contract order
 #   batch_1: columns in reverse order (allowed drift)
@@ -74,12 +85,12 @@ def write_csv_batches(spark: SparkSession, sf_dir: str, root: str, variant: str
     """Write the order-event view as four CSV batch directories under
     ``root``; returns the glob that matches them (``root/*.csv``).
 
-    The view is materialised once as Parquet, then each batch is written from
-    it (one scan each), so the fixture joins run only once."""
+    The view is materialised once as Parquet, with numbers for its ids, then each batch is
+    written from it (one scan each), so the fixture joins run only once."""
     root = root.rstrip("/")
     staged = f"{root}/staged_order_events"
-    order_events(spark, sf_dir).write.mode("overwrite").option("compression", "zstd").parquet(staged)
-    events = spark.read.parquet(staged)
+    _numbered_events(spark, sf_dir).write.mode("overwrite").option("compression", "zstd").parquet(staged)
+    events = _with_ids(spark.read.parquet(staged))
     text = events.select(
         "source_file", "event_id", "order_id", "customer_id", "region", "status",
         F.col("order_amount").cast("string").alias("order_amount"),
