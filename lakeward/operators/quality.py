@@ -9,6 +9,7 @@ per-layer results are stitched into a single row by ``union`` + ``max``
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Mapping, Sequence
+from decimal import localcontext
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,6 +130,17 @@ def observable(layer: str, settings: Settings = DEFAULT) -> list[Column]:
     return [expr.alias(name) for of, _, exprs in _parts(settings) for name, expr in exprs.items() if of == layer and name not in NOT_OBSERVED]
 
 
+def together(parts: Sequence[Mapping[str, object]]) -> dict[str, object]:
+    """The metrics of a layer from those observed over parts of it: numbers add up, of times the last counts."""
+    out: dict[str, object] = {}
+    with localcontext(prec=38):  # Python's own 28 digits are fewer than Spark's decimals have
+        for name in parts[0]:
+            values = [p[name] for p in parts if p[name] is not None]
+            last = METRIC_TYPES[name] in ("timestamp_ntz", "date")
+            out[name] = None if not values else max(values) if last else sum(values[1:], values[0])
+    return out
+
+
 def metrics_with(values: Mapping[str, object], layers: Mapping[str, DataFrame], settings: Settings = DEFAULT) -> DataFrame:
     """The metrics row of a build from what its writes observed; only the metrics that can't be
     observed read their layers."""

@@ -4,7 +4,9 @@ Writing each layer and reading it back cuts the lineage (a lost executor
 recomputes from the last written layer, not from the raw CSV), and lets the
 next step's filters and column pruning reach a Parquet scan. Shuffles: one
 for dedupe (``event_id``), one for latest state (``order_id``), and the two
-small partial/final aggregations of gold.
+small partial/final aggregations of gold. The first two go in a few passes over shares of the keys
+where the layer above is large, and shuffle files are deleted with each write: so the disk holds
+the layers and one pass's shuffle.
 
 All layers of a run, and the ledger of its input files, go to a version of their own that is
 published once it is whole (``sources.layout``).
@@ -30,8 +32,8 @@ from lakeward.sources import layout as W
 
 # layer -> the layer it is made from
 UPSTREAM: dict[str, str] = {C.SILVER: C.BRONZE, C.LATEST: C.SILVER, C.GOLD_DAILY: C.LATEST, C.GOLD_CUSTOMER: C.LATEST}
-# layers whose rows are sorted by key before the shuffle
-SORTED: tuple[str, ...] = (C.SILVER, C.LATEST)
+# layers whose rows are sorted by key before the shuffle, with that key
+SORTED: dict[str, str] = {C.SILVER: "event_id", C.LATEST: "order_id"}
 
 
 def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings: Settings = DEFAULT,
@@ -62,20 +64,29 @@ def build_layers(spark: SparkSession, raw: DataFrame, output_root: str, settings
         if layer in needed:
             above = UPSTREAM.get(layer)
             source = raw if above is None else W.read_layer(spark, paths[above]) if above in paths else derived[above]
-            frame, seen = made[layer](source), Observation(layer)
             if layer not in paths:
-                derived[layer] = frame
+                derived[layer] = made[layer](source)
                 continue
+            bucketed = layer == C.SILVER and settings.silver_buckets
+            # Buckets are written at once, one file each.
+            passes = W.passes_for(spark, paths[above]) if layer in SORTED and above in paths and not bucketed else 1
+            found = []
+            for number in range(passes):
+                frame, seen = made[layer](W.share_of(source, SORTED.get(layer, ""), number, passes)), Observation(layer)
+                if observed is not None:
+                    frame = frame.observe(seen, *Q.observable(layer, settings))
+                with W.small_splits(spark) if layer in SORTED else nullcontext():
+                    if bucketed:
+                        buckets = W.buckets_for(source.count(), settings.silver_buckets)
+                        W.write_bucketed(frame, paths[layer], W.BUCKET_KEY, buckets)
+                    elif number:
+                        W.add_to_layer(frame, paths[layer])
+                    else:
+                        W.write_layer(frame, paths[layer])
+                if observed is not None:
+                    found.append(seen.get)
             if observed is not None:
-                frame = frame.observe(seen, *Q.observable(layer, settings))
-            with W.small_splits(spark) if layer in SORTED else nullcontext():
-                if layer == C.SILVER and settings.silver_buckets:
-                    buckets = W.buckets_for(source.count(), settings.silver_buckets)
-                    W.write_bucketed(frame, paths[layer], W.BUCKET_KEY, buckets)
-                else:
-                    W.write_layer(frame, paths[layer])
-            if observed is not None:
-                observed.update(seen.get)
+                observed.update(Q.together(found))
     if ledger is not None:
         W.write_layer(ledger, f"{version}/{W.LEDGER}")
     W.publish(spark, output_root, version, buckets)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeward.sources.layout import drop_folder, shuffles_dropped, small_splits
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -86,10 +88,12 @@ def write_csv_batches(spark: SparkSession, sf_dir: str, root: str, variant: str
     ``root``; returns the glob that matches them (``root/*.csv``).
 
     The view is materialised once as Parquet, with numbers for its ids, then each batch is
-    written from it (one scan each), so the fixture joins run only once."""
+    written from it (one scan each), so the fixture joins run only once. The batches are gzipped, about a quarter of
+    their text, in files of a small split each, which a reader can't split; the Parquet is deleted after them."""
     root = root.rstrip("/")
     staged = f"{root}/staged_order_events"
-    _numbered_events(spark, sf_dir).write.mode("overwrite").option("compression", "zstd").parquet(staged)
+    with shuffles_dropped(spark):
+        _numbered_events(spark, sf_dir).write.mode("overwrite").option("compression", "zstd").parquet(staged)
     events = _with_ids(spark.read.parquet(staged))
     text = events.select(
         "source_file", "event_id", "order_id", "customer_id", "region", "status",
@@ -112,6 +116,9 @@ def write_csv_batches(spark: SparkSession, sf_dir: str, root: str, variant: str
                 F.when(F.minute(F.col("ingestion_ts").cast("timestamp")) % 7 == 3, F.lit("not-a-decimal"))
                 .otherwise(F.col("order_amount")),
             ).withColumnRenamed("status", "state")
-        (part.write.mode("overwrite").option("header", "true")
-         .csv(f"{root}/batch_{k}.csv"))
+        with small_splits(spark):
+            (part.write.mode("overwrite").option("header", "true")
+             .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+             .csv(f"{root}/batch_{k}.csv"))
+    drop_folder(spark, staged)
     return f"{root}/*.csv"

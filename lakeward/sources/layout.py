@@ -37,6 +37,10 @@ BUCKET_KEY = "event_id"
 BUCKET_ROWS = 500_000
 #: What a task reads of a layer whose rows it sorts by key before the shuffle: 128 MB of files are over 1 GB of rows.
 SORTED_SPLIT = 32 << 20
+#: What a pass shuffles of a layer by key, in bytes of the layer's files, which are about 0.4 of what the shuffle writes.
+PASS_BYTES = 256 << 20
+#: Each pass reads the whole layer, so their number is bounded.
+MOST_PASSES = 3
 #: Published versions that a build leaves in place.
 KEPT_VERSIONS = 2
 
@@ -111,19 +115,26 @@ def drop_old_versions(spark: SparkSession, root: str, keep: int = KEPT_VERSIONS)
     for version in old:
         folder = f"{root.rstrip('/')}/{VERSIONS}/{version}"
         spark.sql(f"drop table if exists {_bucket_table(layer_paths(folder)[C.SILVER])}")
-        path = _hadoop_path(spark, folder)
-        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True):
+        if drop_folder(spark, folder):
             gone.append(version)
     return gone
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+def drop_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a folder; False if there is none."""
+    path, fs = _hadoop_file(spark, folder)
+    return fs.delete(path, True)
+
+
+def _hadoop_file(spark: SparkSession, path: str) -> tuple:
+    """A path as Hadoop has it, and its file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    p = _hadoop_path(spark, path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = _hadoop_file(spark, path)
+    return fs.exists(p)
 
 
 # ------------------------------------------------------------------ layers
@@ -136,7 +147,27 @@ def current_paths(spark: SparkSession, root: str) -> dict[str, str]:
 def write_layer(df: DataFrame, path: str) -> None:
     """Full overwrite of one layer. Each layer has its own path, so a plan
     never overwrites what it reads."""
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def add_to_layer(df: DataFrame, path: str) -> None:
+    """Further rows of a layer that ``write_layer`` began."""
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("append").option("compression", "zstd").parquet(path)
+
+
+def passes_for(spark: SparkSession, path: str) -> int:
+    """In how many passes a written layer is shuffled by key: shuffle files stay until all rows are through, and are
+    larger than the layer itself."""
+    p, fs = _hadoop_file(spark, path)
+    return min(MOST_PASSES, max(1, -(-fs.getContentSummary(p).getLength() // PASS_BYTES)))
+
+
+def share_of(df: DataFrame, key: str, number: int, shares: int) -> DataFrame:
+    """One of ``shares`` parts of a frame that have no key in common. Not by the hash that deals rows out
+    in a shuffle: of that, a share would meet but a part of the tasks."""
+    return df if shares == 1 else df.where(F.pmod(F.xxhash64(key), F.lit(shares)) == number)
 
 
 @contextlib.contextmanager
@@ -153,6 +184,12 @@ def session_conf(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def shuffles_dropped(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """What a write within the block has shuffled is deleted when it ends. Otherwise the files stay until the
+    driver happens to collect its garbage: over a build, more than all its layers."""
+    return session_conf(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true")
+
+
 def small_splits(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
     """Scans within the block read ``SORTED_SPLIT`` a task, or less if the session says so."""
     now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
@@ -168,7 +205,7 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
     the dedupe is) is shuffled into the buckets themselves: one task and one file for each."""
     spark = df.sparkSession
     name = f"{_bucket_table(path)}_writer"
-    with session_conf(spark, spark__sql__shuffle__partitions=str(buckets), spark__sql__adaptive__coalescePartitions__enabled="false"):
+    with shuffles_dropped(spark), session_conf(spark, spark__sql__shuffle__partitions=str(buckets), spark__sql__adaptive__coalescePartitions__enabled="false"):
         df.write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
     spark.sql(f"drop table if exists {name}")
 
