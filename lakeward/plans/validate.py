@@ -22,7 +22,7 @@ from lakeward.functions import columns as X
 from lakeward.operators import contract as CT
 from lakeward.operators import freshness as FR
 from lakeward.operators import quality as Q
-from lakeward.sources.layout import assert_layers_exist, layer_paths, read_layer, read_layers, read_ledger, relative_paths
+from lakeward.sources.layout import assert_layers_exist, layer_paths, read_layer, read_layers, read_ledger, relative_paths, shuffles_dropped
 
 SUMMARY_SCALARS: tuple[str, ...] = (
     "schema_files_checked", "bronze_rows", "silver_rows", "duplicate_event_ids", "latest_state_rows",
@@ -61,8 +61,9 @@ class ValidationSummary:
 
 def metrics_row(spark: SparkSession, layers: dict[str, DataFrame], settings: Settings = DEFAULT) -> DataFrame:
     """The metrics computed once and held as a one-row local frame."""
-    m = Q.metrics(layers, settings)
-    row = m.collect()[0]
+    with shuffles_dropped(spark):
+        m = Q.metrics(layers, settings)
+        row = m.collect()[0]
     return spark.createDataFrame([row], m.schema)
 
 

@@ -185,8 +185,9 @@ def session_conf(spark: SparkSession, **values: str) -> Iterator[None]:
 
 
 def shuffles_dropped(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
-    """What a write within the block has shuffled is deleted when it ends. Otherwise the files stay until the
-    driver happens to collect its garbage: over a build, more than all its layers."""
+    """What a write, or a frame made and collected, within the block has shuffled is deleted when it
+    ends. Otherwise the files stay until the driver happens to collect its garbage: over a build,
+    more than all its layers."""
     return session_conf(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true")
 
 

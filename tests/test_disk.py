@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lakeward import config as C
 from lakeward.operators import quality as Q
 from lakeward.plans.build import build_layers
+from lakeward.plans.validate import metrics_row
 from lakeward.sources import batches as B
 from lakeward.sources import layout as W
 from lakeward.sources.fixtures import order_events, write_csv_batches
@@ -82,6 +83,14 @@ def test_layers_made_in_passes_are_the_same(spark, golden_dir, tmp_path, monkeyp
     assert Q.metrics_with(observed, layers).collect() == Q.metrics(layers).collect()
 
 
+def test_a_validation_leaves_no_shuffle_files(spark, golden_dir, tmp_path):
+    root = str(tmp_path / "wh")
+    build_layers(spark, B.read_batches(spark, str(golden_dir / "*.csv")), root)
+    layers, before = W.read_layers(spark, root), shuffle_files(spark)
+    assert metrics_row(spark, layers).first()["bronze_rows"] == 11
+    assert left_of(spark, before) == set()
+
+
 @pytest.mark.parametrize("size,passes", [(0, 1), (1, 1), (100, 1), (101, 2), (300, 3), (99_999, 3)])
 def test_passes_go_by_size_and_are_bounded(spark, tmp_path, monkeypatch, size, passes):
     monkeypatch.setattr(W, "PASS_BYTES", 100)
