@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lakeward import config as C
 from lakeward.operators import quality as Q
 from lakeward.plans.build import build_layers
-from lakeward.plans.validate import metrics_row
+from lakeward.plans.validate import metrics_row, snapshot, validate
 from lakeward.sources import batches as B
 from lakeward.sources import layout as W
 from lakeward.sources.fixtures import order_events, write_csv_batches
@@ -91,6 +91,14 @@ def test_a_validation_leaves_no_shuffle_files(spark, golden_dir, tmp_path):
     assert left_of(spark, before) == set()
 
 
+def test_the_snapshot_of_a_build_in_passes_equals_a_validation(spark, golden_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "PASS_BYTES", 1)
+    root, pattern = str(tmp_path / "wh"), str(golden_dir / "*.csv")
+    snap = snapshot(spark, pattern, root)
+    assert snap["status"] == "ready" and snap["validation"] == validate(spark, root, pattern).to_dict()
+    assert (snap["validation"]["silver_rows"], snap["validation"]["delivered_revenue_from_silver"]) == (10, "604.75")
+
+
 @pytest.mark.parametrize("size,passes", [(0, 1), (1, 1), (100, 1), (101, 2), (300, 3), (99_999, 3)])
 def test_passes_go_by_size_and_are_bounded(spark, tmp_path, monkeypatch, size, passes):
     monkeypatch.setattr(W, "PASS_BYTES", 100)
