@@ -22,13 +22,16 @@ from lakeward.plans.catalog import _latest, _silver, as_sql_money, built_layers,
 from lakeward.plans.oracle import with_ctes
 from lakeward.session import scratch_path
 from lakeward.sources import batches as B
-from lakeward.sources.fixtures import order_events, write_csv_batches
-from lakeward.sources.layout import (BUCKET_KEY, current_buckets, current_paths, layer_exists, read_bucketed, read_layer, read_layers, relative_paths,
-                                     write_layer)
+from lakeward.sources.fixtures import STAGED, order_events, write_csv_batches
+from lakeward.sources.layout import (BUCKET_KEY, current_buckets, current_paths, drop_folder, layer_exists, read_bucketed, read_layer, read_layers,
+                                     relative_paths, write_layer)
 
 
 def _csv(spark: SparkSession, sf: str, variant: str = "clean") -> str:
-    return write_csv_batches(spark, sf, scratch_path(spark, f"csv-{variant.replace(' ', '-')}"), variant)
+    root = scratch_path(spark, f"csv-{variant.replace(' ', '-')}")
+    glob = write_csv_batches(spark, sf, root, variant)
+    drop_folder(spark, f"{root}/{STAGED}")
+    return glob
 
 
 def _view(spark: SparkSession, df: DataFrame, base: str) -> str:

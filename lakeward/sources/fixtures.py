@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeward.sources.layout import drop_folder, shuffles_dropped, small_splits
+from lakeward.sources.layout import shuffles_dropped, small_splits
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -81,6 +81,8 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 CONTRACT_ORDER = ("event_id", "order_id", "customer_id", "region", "status",
                   "order_amount", "event_ts", "ingestion_ts")
 CSV_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+#: Folder of the staged view, beside the batches.
+STAGED = "staged_order_events"
 
 
 def write_csv_batches(spark: SparkSession, sf_dir: str, root: str, variant: str = "clean") -> str:
@@ -89,9 +91,9 @@ def write_csv_batches(spark: SparkSession, sf_dir: str, root: str, variant: str
 
     The view is materialised once as Parquet, with numbers for its ids, then each batch is
     written from it (one scan each), so the fixture joins run only once. The batches are gzipped, about a quarter of
-    their text, in files of a small split each, which a reader can't split; the Parquet is deleted after them."""
+    their text, in files of a small split each, which a reader can't split. The Parquet, ``STAGED``, stays for the caller to delete."""
     root = root.rstrip("/")
-    staged = f"{root}/staged_order_events"
+    staged = f"{root}/{STAGED}"
     with shuffles_dropped(spark):
         _numbered_events(spark, sf_dir).write.mode("overwrite").option("compression", "zstd").parquet(staged)
     events = _with_ids(spark.read.parquet(staged))
@@ -120,5 +122,4 @@ def write_csv_batches(spark: SparkSession, sf_dir: str, root: str, variant: str
             (part.write.mode("overwrite").option("header", "true")
              .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
              .csv(f"{root}/batch_{k}.csv"))
-    drop_folder(spark, staged)
     return f"{root}/*.csv"

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from lakeward import config as C
 from lakeward.operators import quality as Q
 from lakeward.plans.build import build_layers
+from lakeward.plans.catalog_sources import _csv as batches_of
 from lakeward.plans.validate import metrics_row, snapshot, validate
 from lakeward.sources import batches as B
 from lakeward.sources import layout as W
-from lakeward.sources.fixtures import order_events, write_csv_batches
+from lakeward.sources.fixtures import order_events
 from tests.test_totals import tables
 
 
@@ -52,10 +53,10 @@ def test_a_written_layer_leaves_no_shuffle_files(spark, tmp_path):
 
 def test_written_batches_leave_the_batches_alone_gzipped(spark, tmp_path):
     sf, before = tables(spark, tmp_path, Decimal("1.50")), shuffle_files(spark)
-    pattern = write_csv_batches(spark, sf, str(tmp_path / "csv"))
+    pattern = batches_of(spark, sf)
     assert left_of(spark, before) == set()
-    assert sorted(os.listdir(tmp_path / "csv")) == [f"batch_{k}.csv" for k in range(4)]
-    parts = glob.glob(f"{pattern}/part-*")
+    assert sorted(os.listdir(os.path.dirname(pattern).removeprefix("file:"))) == [f"batch_{k}.csv" for k in range(4)]
+    parts = glob.glob(f"{pattern.removeprefix('file:')}/part-*")
     assert parts and all(p.endswith(".csv.gz") for p in parts)
     of = ("event_id", "order_id", "customer_id", "region", "status")
     assert rows(B.read_batches(spark, pattern).select(*of)) == rows(order_events(spark, sf).select(*of))
